@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from polycat.llm import decontaminate, license_scan, line_dedup
+from polycat.llm import decontaminate, license_scan, line_dedup, minhash
 from polycat.llm.common import table
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -16,6 +16,10 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("matched", F.col("license_id").isNotNull())
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -27,7 +31,7 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_license_scan, op8_line_dedup, op9_decontaminate)}
+    return {f.__name__: f for f in (op2_license_scan, op6_near_duplicates, op8_line_dedup, op9_decontaminate)}
 
 
 def _canonical_sql(text: str) -> str:
@@ -49,6 +53,16 @@ def oracle_sql() -> dict[str, str]:
 with known as (select sha256({_canonical_sql("t")}) digest, min(i) license_id from (values {rows}) v(i, t) group by 1),
 d as (select doc_id, sha256({_canonical_sql("text")}) digest from documents)
 select doc_id, digest, license_id, license_id is not null as matched from d left join known using (digest)""",
+        "op6_near_duplicates": f"""
+with recursive d as (select doc_id, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') w from documents),
+s as (select distinct doc_id, case when len(w) >= 4 then array_to_string(w[i:i + 3], ' ') else array_to_string(w, ' ') end g from (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) i from d where len(w) > 0)),
+c as (select doc_id, count(*) n from s group by 1),
+p as (select a.doc_id x, b.doc_id y, count(*) m from s a join s b using (g) where a.doc_id < b.doc_id group by 1, 2),
+l as (select x, y from p join c cx on cx.doc_id = x join c cy on cy.doc_id = y where 100 * m >= 80 * (cx.n + cy.n - m)),
+e as (select x, y from l union all select y, x from l),
+r as (select x, y from e union select r.x, e.y from r join e on r.y = e.x),
+k as (select x, min(y) y from r group by 1)
+select d.doc_id, coalesce(n, 0) n_shingles, least(d.doc_id, coalesce(y, d.doc_id)) component_id, d.doc_id <= coalesce(y, d.doc_id) kept from d left join c using (doc_id) left join k on k.x = d.doc_id""",
         "op8_line_dedup": f"""
 with l as (select doc_id, unnest(s) as line, generate_subscripts(s, 1) as pos from (select doc_id, string_split(coalesce(text, ''), chr(10)) s from documents)),
 k as (select doc_id, pos, line, {LOWER.format(f"trim(line, {white})")} as key from l),
