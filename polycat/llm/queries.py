@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from polycat.llm import decontaminate, license_scan, line_dedup, minhash
+from polycat.llm import decontaminate, license_scan, line_dedup, minhash, mixing
 from polycat.llm.common import table
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -16,6 +16,11 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("matched", F.col("license_id").isNotNull())
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.mix_rates(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "rate")
+
+
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
 
@@ -31,7 +36,7 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_license_scan, op6_near_duplicates, op8_line_dedup, op9_decontaminate)}
+    return {f.__name__: f for f in (op2_license_scan, op4_mixing, op6_near_duplicates, op8_line_dedup, op9_decontaminate)}
 
 
 def _canonical_sql(text: str) -> str:
