@@ -44,3 +44,8 @@ def stored(df: DataFrame) -> DataFrame:
 def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """df (already stored or cheap to count), marked for broadcast if it has few enough rows; else left to a shuffle join."""
     return F.broadcast(df) if df.count() <= rows else df
+
+
+def let(value: Column, use) -> Column:
+    """use(value) with value worked out once: Catalyst writes a column's expression out wherever it is used, also in the lambdas of higher-order functions."""
+    return F.element_at(F.transform(F.array(value), use), 1)

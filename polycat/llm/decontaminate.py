@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from polycat.llm.common import ascii_lower, bounded, stored
+from polycat.llm.common import ascii_lower, bounded, let, stored
 
 NOT_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
@@ -20,8 +20,9 @@ def words(text: Column) -> Column:
 
 def _grams(w: Column, n: int | Column, step: int = 1) -> Column:
     """Runs of n words as strings, at every step-th word; none if there are fewer words."""
-    last = F.floor((F.size(w) - n) / F.lit(step)).cast("int")
-    return F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.array_join(F.slice(w, i * step + 1, F.lit(n) if isinstance(n, int) else n), " "))).otherwise(F.array().cast("array<string>"))
+    n = F.lit(n) if isinstance(n, int) else n
+    starts = lambda w: F.filter(F.sequence(F.lit(1), F.greatest(F.size(w), F.lit(1)), F.lit(step)), lambda i: i + n - 1 <= F.size(w))
+    return let(w, lambda w: F.transform(starts(w), lambda i: F.array_join(F.slice(w, i, n), " ")))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
@@ -46,15 +47,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_co
     runs = sorted({(n + 1) // 2 for n in lengths})
     if not lengths:
         return docs.select(F.col(id_col), F.size(words(F.col(text_col))).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<string>").alias("items"))
-    split = F.split("_gram", " ")
-    of_items = [windows.where((F.col("_len") + 1).cast("int").isin(2 * n, 2 * n + 1)).select(F.explode(F.transform(_grams(split, n), lambda g: F.xxhash64(g))).alias("_run")) for n in runs]
+    of_items = [windows.where((F.col("_len") + 1).cast("int").isin(2 * n, 2 * n + 1)).select(F.explode(F.transform(_grams(F.split("_gram", " "), n), lambda g: F.xxhash64(g))).alias("_run")) for n in runs]
     run_set = stored(reduce(DataFrame.union, of_items).distinct())
-    of_docs = [F.transform(_grams(F.col("_w"), n, n), lambda g: F.xxhash64(g)) for n in runs]
-    scanned = texts.withColumn("_w", w).select("_id", F.size("_w").cast("long").alias("n_words"), (F.concat(*of_docs) if len(of_docs) > 1 else of_docs[0]).alias("_runs"))
-    found = scanned.select("_id", F.explode("_runs").alias("_run")).join(bounded(run_set), "_run", "left_semi").select("_id").distinct()
+    of_docs = let(w, lambda w: F.concat(*[F.transform(_grams(w, n, n), lambda g: F.xxhash64(g)) for n in runs]))
+    found = texts.select("_id", F.explode(of_docs).alias("_run")).join(bounded(run_set), "_run", "left_semi").select("_id").distinct()
     found = stored(found.withColumnRenamed("_id", "_found"))
-    suspects = texts.join(bounded(found), F.col("_id").eqNullSafe(F.col("_found")), "left_semi").withColumn("_w", w)
-    spans = reduce(DataFrame.union, [suspects.select("_id", F.lit(n).alias("_len"), F.posexplode(_grams(F.col("_w"), n)).alias("_start", "_gram")) for n in lengths])
+    suspects = texts.join(bounded(found), F.col("_id").eqNullSafe(F.col("_found")), "left_semi")
+    spans = reduce(DataFrame.union, [suspects.select("_id", F.lit(n).alias("_len"), F.posexplode(_grams(w, n)).alias("_start", "_gram")) for n in lengths])
     hits = stored(spans.join(bounded(windows), ["_len", "_gram"]).select("_id", "_start", (F.col("_start") + F.col("_len")).alias("_end"), "_item"))
     before = F.max("_end").over(Window.partitionBy("_id").orderBy("_start", "_end").rowsBetween(Window.unboundedPreceding, -1))
     covered = F.greatest(F.col("_end") - F.greatest(F.col("_start"), F.coalesce(F.col("_before"), F.lit(0))), F.lit(0))
