@@ -5,12 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from polycat.llm import decontaminate, license_scan, line_dedup, minhash, mixing
+from polycat.llm import decontaminate, license_scan, line_dedup, minhash, mixing, sstable, toxicity
 from polycat.llm.common import table
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = license_scan.scan_licenses(table(spark, sf_dir, "documents"), license_scan.known_licenses(spark))
     return out.withColumn("matched", F.col("license_id").isNotNull())
@@ -21,10 +27,20 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "rate")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return out.select("doc_id", (F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2).alias("held_out"), "score", "predicted")
+
+
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+def op7_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sstable.encode_table(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -36,7 +52,7 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_license_scan, op4_mixing, op6_near_duplicates, op8_line_dedup, op9_decontaminate)}
+    return {f.__name__: f for f in (op2_license_scan, op4_mixing, op5_toxicity, op6_near_duplicates, op7_token_shards, op8_line_dedup, op9_decontaminate)}
 
 
 def _canonical_sql(text: str) -> str:

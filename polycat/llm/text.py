@@ -17,6 +17,9 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Bytes of words: all but white space, or only ASCII letters and digits and non-ASCII characters.
+ANY, ALNUM = ~_SPACE, np.zeros(256, bool)
+ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _powers: list[np.ndarray] = [np.ones(1, U), np.ones(1, U)]
 
 
@@ -63,9 +66,9 @@ def slices(texts: pa.Array, most: int = SLICE) -> Iterator[tuple[int, int, np.nd
         lo = hi
 
 
-def spans(off: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of words (runs without space and \\x09-\\x0D) and how many words each row has."""
-    inside = ~_SPACE[data]
+def spans(off: np.ndarray, data: np.ndarray, kind: np.ndarray = ANY) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of words (runs of bytes of a kind within a row) and how many words each row has."""
+    inside = kind[data]
     before, after = np.zeros(len(data), bool), np.zeros(len(data), bool)
     before[1:], after[:-1] = inside[:-1], inside[1:]
     before[off[:-1][off[:-1] < len(data)]] = False
