@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from polycat.llm import decontaminate, license_scan, line_dedup, minhash, mixing, sstable, toxicity
+from polycat.llm import decontaminate, license_scan, line_dedup, minhash, mixing, ngram, sstable, toxicity
 from polycat.llm.common import table
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -22,6 +22,10 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("matched", F.col("license_id").isNotNull())
 
 
+def op3_ngram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram.score_corpus(table(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix_rates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "rate")
@@ -52,7 +56,7 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_license_scan, op4_mixing, op5_toxicity, op6_near_duplicates, op7_token_shards, op8_line_dedup, op9_decontaminate)}
+    return {f.__name__: f for f in (op2_license_scan, op3_ngram_scores, op4_mixing, op5_toxicity, op6_near_duplicates, op7_token_shards, op8_line_dedup, op9_decontaminate)}
 
 
 def _canonical_sql(text: str) -> str:
