@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from polycat.llm import decontaminate, license_scan, line_dedup, minhash, mixing, ngram, sstable, toxicity
+from polycat.llm import decontaminate, license_scan, line_dedup, minhash, mixing, ngram, secret_scan, sstable, toxicity
 from polycat.llm.common import table
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -55,8 +55,12 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"), secret_scan.train())
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_license_scan, op3_ngram_scores, op4_mixing, op5_toxicity, op6_near_duplicates, op7_token_shards, op8_line_dedup, op9_decontaminate)}
+    return {f.__name__: f for f in (op2_license_scan, op3_ngram_scores, op4_mixing, op5_toxicity, op6_near_duplicates, op7_token_shards, op8_line_dedup, op9_decontaminate, op10_secret_scan)}
 
 
 def _canonical_sql(text: str) -> str:
