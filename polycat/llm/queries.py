@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from polycat.llm import decontaminate, license_scan, line_dedup, minhash, mixing, ngram, secret_scan, sstable, toxicity
+from polycat.llm import decontaminate, license_scan, line_dedup, minhash, mixing, neighbours, ngram, secret_scan, sstable, toxicity
 from polycat.llm.common import table
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -17,6 +17,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = license_scan.scan_licenses(table(spark, sf_dir, "documents"), license_scan.known_licenses(spark))
     return out.withColumn("matched", F.col("license_id").isNotNull())
@@ -60,7 +64,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_license_scan, op3_ngram_scores, op4_mixing, op5_toxicity, op6_near_duplicates, op7_token_shards, op8_line_dedup, op9_decontaminate, op10_secret_scan)}
+    return {f.__name__: f for f in (op1_neighbours, op2_license_scan, op3_ngram_scores, op4_mixing, op5_toxicity, op6_near_duplicates, op7_token_shards, op8_line_dedup, op9_decontaminate, op10_secret_scan)}
 
 
 def _canonical_sql(text: str) -> str:
