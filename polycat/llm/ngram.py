@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,15 +18,15 @@ END = U(0xE0D0C0B0A0908071)
 #: Level q of a count c: 1 + floor(STEPS * log2(c)); a count is kept by the keys of its levels 1 to q.
 STEPS = {1: 4, 2: 2}
 #: Bits of the filter for each key, and bits set for a key in its 64-bit block.
-KEY_BITS, KEY_SET = 12, 5
+KEY_BITS, KEY_SET = 8, 5
 #: Bytes of the filter that are broadcast at once; more are read in several passes.
-FILTER_BYTES = 256 << 20
+FILTER_BYTES = 128 << 20
 #: Words whose exact counts are broadcast for the base score; rarer ones are joined by a shuffle.
 HEAD = 1 << 20
 #: Weight of the word's own probability against the pair's count: MU, and SHARE times the count of what stands before.
 MU, SHARE = 4.0, 1.0
 #: Bytes of text whose n-grams are summed before they are sent on.
-GATHER = 8 << 20
+GATHER = 4 << 20
 
 
 def pair_hashes(words: np.ndarray, before: np.ndarray) -> np.ndarray:
@@ -128,13 +128,15 @@ def _merge(t: pa.Table) -> pa.Table:
 class Filter:
     """Some segments of the filter: levels of keys by repeated membership probes."""
 
-    def __init__(self, pieces: list[tuple[int, int, bytes]], segments: int):
+    def __init__(self, pieces: Iterable[tuple[int, int, bytes]], size: int, segments: int):
         self.segments = segments
         self.at = {o: np.full((2, segments), -1, np.int64) for o in (1, 2)}
-        self.bits, at = np.frombuffer(b"".join(p[2] for p in pieces), U), 0
+        self.bits, at = np.zeros(size // 8, U), 0
         for order, segment, raw in pieces:
-            self.at[order][:, segment] = at, len(raw) // 8
-            at += len(raw) // 8
+            n = len(raw) // 8
+            self.bits[at : at + n] = np.frombuffer(raw, U)
+            self.at[order][:, segment] = at, n
+            at += n
 
     def levels(self, keys: np.ndarray, order: int) -> np.ndarray:
         """Level of each key, 0 if it was never seen or belongs to a segment that isn't here; probed upwards until a level is absent."""
@@ -161,14 +163,14 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(k.as_buffer(), np.int64)), pa.array(np.frombuffer(n.as_buffer(), np.int64))], ["_word", "_c"])
 
 
-def _passes(pieces: list[tuple[int, int, int]]) -> list[list[tuple[int, int]]]:
+def _passes(pieces: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int]]]:
     """(order, segment, bytes) in groups of FILTER_BYTES at most, a larger piece alone."""
     out, size = [[]], 0
     for order, segment, n in sorted(pieces):
         if out[-1] and size + n > FILTER_BYTES:
             out.append([])
             size = 0
-        out[-1].append((order, segment))
+        out[-1].append((order, segment, n))
         size += n
     return out
 
@@ -194,9 +196,9 @@ def score(docs: DataFrame, model: DataFrame, segments: int, id_col: str = "doc_i
     groups = _passes(sizes)
 
     def loaded(group):
-        want = spark.createDataFrame(group or [(0, -1)], "order int, segment int")
-        got = model.join(F.broadcast(want), ["order", "segment"]).select("order", "segment", "filter").collect()
-        return spark.sparkContext.broadcast(Filter([(r[0], r[1], bytes(r[2])) for r in got], segments))
+        want = spark.createDataFrame(group or [(0, -1, 0)], "order int, segment int, bytes long").select("order", "segment")
+        rows = model.join(F.broadcast(want), ["order", "segment"]).select("order", "segment", "filter").toLocalIterator()
+        return spark.sparkContext.broadcast(Filter(rows, sum(n for _, _, n in group), segments))
 
     texts = docs.select(F.col(text_col).alias("_text"), F.lit(None).cast("binary").alias("_levels"), F.col(id_col).alias("_id"), *keep)
     for group in groups[:-1]:
