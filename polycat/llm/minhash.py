@@ -72,51 +72,72 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     for j in range(width):
                         if j != out:
                             key = mix(key) + sig[:, chunk * width + j]
-                    keys.append(mix(key).view(np.int64))
+                    keys.append((mix(key) & ~U(63) | U(chunk * width + out)).view(np.int64))  # the low bits say which key it is
             ids = np.tile(np.asarray(batch.column(0)), len(keys))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(ids, pa.int64())], ["_key", "_rep"])
 
 
-def _close(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
-    """Which sizes allow the similarity."""
-    return 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
+def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets are as similar as asked."""
+    both = int((a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b).sum())
+    return 100 * both >= percent * (len(a) + len(b) - both)
 
 
 def _within(percent: int):
-    """mapInArrow function over rows sorted by bucket: pairs of a bucket in different components whose signatures are close."""
+    """mapInArrow function over rows sorted by cell, a bucket or a block of two of its parts: links that join components.
 
-    def pairs(side, rep, comp, n, sig) -> np.ndarray:
-        found = []
-        for i in range(len(rep)):
-            other = (comp[i + 1 :] != comp[i]) & _close(n[i + 1 :], n[i], percent) & ((side[i + 1 :] != side[i]) | (side[i] == 2))
-            j = np.flatnonzero(other) + i + 1
-            j = j[(sig[j] != sig[i]).sum(axis=1) <= DISTANCE]
-            found += [(min(rep[i], rep[k]), max(rep[i], rep[k])) for k in j]
-        return np.array(sorted(set(found)), np.int64).reshape(-1, 2)
+    A pair is looked at in the first of the buckets that it shares only, and only while its components are apart.
+    """
+    width = COMPONENTS // CHUNKS
+
+    def links(index, side, rep, comp, sig, sets) -> list[tuple[int, int]]:
+        names, label = np.unique(comp, return_inverse=True)
+        n, found = np.array([len(x) for x in sets]), []
+        for i in range(len(rep) - 1):
+            rest = slice(i + 1, len(rep))
+            near = (label[rest] != label[i]) & ((side[rest] != side[i]) | (side[i] == 2)) & (100 * np.minimum(n[rest], n[i]) >= percent * np.maximum(n[rest], n[i]))
+            j = np.flatnonzero(near) + i + 1
+            same = sig[j] == sig[i]
+            j, same = j[(far := same.sum(axis=1) >= COMPONENTS - DISTANCE)], same[far]
+            if not len(j):
+                continue
+            chunks = same.reshape(-1, CHUNKS, width)
+            first = np.argmax(chunks.sum(axis=2) >= width - 1, axis=1)
+            out = np.argmin(chunks[np.arange(len(j)), first], axis=1)  # the component that differs, or 0
+            for k in j[first * width + out == index]:
+                if label[k] != label[i] and _linked(sets[i], sets[k], percent):
+                    found.append((min(rep[i], rep[k]), max(rep[i], rep[k])))
+                    label[label == label[k]] = label[i]
+        return found
 
     def emit(t: pa.Table) -> pa.RecordBatch:
-        t = t.combine_chunks()
-        cell, side, rep, comp, n = (np.asarray(t.column(k)) for k in ("_cell", "_side", "_rep", "_comp", "_n"))
-        sig, ends = _matrix(t.column("_sig")), [*np.flatnonzero(np.diff(cell)) + 1, len(cell)]
-        parts, lo = [np.zeros((0, 2), np.int64)], 0
-        for hi in ends:
-            parts.append(pairs(side[lo:hi], rep[lo:hi], comp[lo:hi], n[lo:hi], sig[lo:hi]))
+        cell, index, side, rep, comp = (np.asarray(t.column(k).combine_chunks()) for k in ("_cell", "_index", "_side", "_rep", "_comp"))
+        lists = t.column("_set").combine_chunks()
+        off, every = np.asarray(lists.offsets), np.asarray(lists.values)
+        sets, sig, out, lo = [every[off[i] : off[i + 1]] for i in range(len(cell))], _matrix(t.column("_sig")), [], 0
+        for hi in [*np.flatnonzero(np.diff(cell)) + 1, len(cell)]:
+            out += links(index[lo], side[lo:hi], rep[lo:hi], comp[lo:hi], sig[lo:hi], sets[lo:hi])
             lo = hi
-        out = np.concatenate(parts)
+        out = np.array(out, np.int64).reshape(-1, 2)
         return pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
+        parts: list[pa.Table] = []  # rows of the last cell so far
         for batch in batches:
             t = pa.Table.from_batches([batch])
-            t = pa.concat_tables([rest, t]) if rest is not None else t
-            cell = np.asarray(t.column("_cell").combine_chunks())
-            cut = int(np.searchsorted(cell != cell[-1], False)) if len(cell) and cell[0] == cell[-1] else int(np.flatnonzero(cell != cell[-1])[-1]) + 1 if len(cell) else 0
-            rest = t.slice(cut)
-            if cut:
-                yield emit(t.slice(0, cut))
-        if rest is not None and len(rest):
-            yield emit(rest)
+            if not len(t):
+                continue
+            cell = np.asarray(batch.column(0))
+            if parts and parts[-1].column("_cell")[-1].as_py() != cell[0]:
+                yield emit(pa.concat_tables(parts))
+                parts = []
+            last = np.flatnonzero(cell != cell[-1])
+            if len(last):
+                yield emit(pa.concat_tables([*parts, t.slice(0, last[-1] + 1)]))
+                parts, t = [], t.slice(last[-1] + 1)
+            parts.append(t)
+        if parts:
+            yield emit(pa.concat_tables(parts))
 
     return run
 
@@ -135,8 +156,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
        pigeonhole all pairs within the signature distance meet. In each bucket the smallest and the largest id are
        candidates with every member: linear in the bucket, however many near copies it holds.
     3. Candidates within the distance are confirmed on their whole sets and joined to components.
-    4. What is left in a bucket between different components is compared too, signature by signature, in blocks of a
-       fixed number of rows, then confirmed: so no link is lost whatever the bucket's size.
+    4. What is left in a bucket between different components is compared too, by signature and then whole sets, in
+       blocks of a fixed number of rows and each pair in one bucket only; only links that join components leave the
+       task. So no link is lost whatever the bucket's size.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
     signed = stored(texts.mapInArrow(_signatures(words), "_id long, n_shingles long, _digest binary, _sig binary"))
@@ -146,23 +168,22 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     members = stored(keys.join(buckets, "_key"))
     ends = F.explode(F.array("_low", "_high")).alias("_end")
     stars = members.select("_rep", ends).where("_rep <> _end").select(F.least("_rep", "_end").alias("a"), F.greatest("_rep", "_end").alias("b")).distinct()
-    tested = stored(_near(stars, classes, percent))
-    links = _confirmed(tested, texts, words, percent)
+    links = _confirmed(stored(_near(stars, classes, percent)), texts, words, percent)
     labels = components(links)
-    known = stored(classes.join(labels, F.col("_rep") == F.col("id"), "left").select("_rep", "_n", "_sig", F.coalesce("component", "_rep").alias("_comp")))
+    known = stored(classes.join(labels, F.col("_rep") == F.col("id"), "left").select("_rep", "_sig", F.coalesce("component", "_rep").alias("_comp")))
     placed = members.where("_rep <> _low and _rep <> _high").select("_key", "_rep").join(known.select("_rep", "_comp"), "_rep")
     mixed = placed.groupBy("_key").agg(F.count(F.lit(1)).alias("_size"), F.min("_comp").alias("_c0"), F.max("_comp").alias("_c1")).where("_c0 < _c1").select("_key", "_size")
-    rest = placed.select("_key", "_rep").join(mixed, "_key")
+    rest = stored(placed.select("_key", "_rep").join(mixed, "_key"))
     blocks = F.ceil(F.col("_size") / BLOCK).cast("int")
     rest = rest.withColumn("_blocks", blocks).withColumn("_block", F.pmod(F.xxhash64("_rep"), F.col("_blocks")).cast("int"))
     rest = rest.withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
     low, high = F.least("_block", "_with"), F.greatest("_block", "_with")
     side = F.when(F.col("_block") == F.col("_with"), 2).when(F.col("_block") < F.col("_with"), 0).otherwise(1)
-    cells = rest.select(F.xxhash64("_key", low, high).alias("_cell"), side.alias("_side"), "_rep").join(known, "_rep").select("_cell", "_side", "_rep", "_comp", "_n", "_sig")
-    cells = cells.repartition("_cell").sortWithinPartitions("_cell")
-    more = cells.mapInArrow(_within(percent), "a long, b long").distinct()
-    more = stored(more.join(tested, ["a", "b"], "left_anti"))
-    links = links.union(_confirmed(more, texts, words, percent))
+    ids = stored(rest.select(F.col("_rep").alias("_want")).distinct())
+    sets = stored(texts.join(bounded(ids), F.col("_id") == F.col("_want"), "left_semi").mapInArrow(_sets(words), "_id long, _set array<long>").dropDuplicates(["_id"]))
+    cells = rest.select(F.xxhash64("_key", low, high).alias("_cell"), F.col("_key").bitwiseAND(63).cast("int").alias("_index"), side.alias("_side"), "_rep").join(known, "_rep").join(sets, F.col("_rep") == F.col("_id"))
+    cells = cells.select("_cell", "_index", "_side", "_rep", "_comp", "_sig", "_set").repartition("_cell").sortWithinPartitions("_cell")
+    links = links.union(stored(cells.mapInArrow(_within(percent), "a long, b long")))
     labels = components(links)
     of_class = classes.select("_digest", "_rep").join(labels, F.col("_rep") == F.col("id"), "left").select("_digest", F.coalesce("component", "_rep").alias("component_id"))
     out = signed.select("_id", "n_shingles", "_digest").join(of_class, "_digest", "left")
