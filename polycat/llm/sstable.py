@@ -15,6 +15,7 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +35,7 @@ ENTRY = struct.Struct("<BBI")  # key bytes shared with the one before, own key b
 BLOCK = 1 << 16
 BLOOM_BITS, BLOOM_HASHES = 10, 7
 #: Distinct pieces of text whose ids a worker keeps at most.
-KEPT = 1_000_000
+KEPT = 1_800_000
 
 
 def key_of(doc_id: int | None) -> bytes:
@@ -180,20 +181,16 @@ class Encoder:
         for t in texts:
             pieces = _PIECE.findall(t or "")
             found = list(map(kept.get, pieces))
-            if None in found:
-                new.update(p for p, f in zip(pieces, found, strict=True) if f is None)
-                rows.append((pieces, None))
-            else:
-                rows.append((None, b"".join(found)))
-        if new:
-            new = list(new)
-            ids = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            ids = [e.ids for e in ids]
-            every = np.fromiter((i for x in ids for i in x), "<u4").tobytes()
-            at = 0
-            for p, x in zip(new, ids, strict=True):
-                kept[p] = every[at : (at := at + 4 * len(x))]
-        return [b"".join(map(kept.__getitem__, pieces)) if ids is None else ids for pieces, ids in rows]
+            missing = [k for k, f in enumerate(found) if f is None]
+            new.update([pieces[k] for k in missing])
+            rows.append((found, missing, [pieces[k] for k in missing]))
+        new = list(new)
+        for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+            kept[p] = array("I", e.ids).tobytes()
+        for found, missing, pieces in rows:
+            for k, p in zip(missing, pieces, strict=True):
+                found[k] = kept[p]
+        return [b"".join(found) for found, _, _ in rows]
 
 
 def encoder(path: str) -> Encoder:
