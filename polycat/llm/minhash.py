@@ -113,7 +113,7 @@ def _within(percent: int):
     def emit(t: pa.Table) -> pa.RecordBatch:
         cell, index, side, rep, comp = (np.asarray(t.column(k).combine_chunks()) for k in ("_cell", "_index", "_side", "_rep", "_comp"))
         lists = t.column("_set").combine_chunks()
-        off, every = np.asarray(lists.offsets), np.asarray(lists.values)
+        off, every = np.asarray(lists.offsets), np.asarray(lists.values).view(U)  # sorted as unsigned numbers
         sets, sig, out, lo = [every[off[i] : off[i + 1]] for i in range(len(cell))], _matrix(t.column("_sig")), [], 0
         for hi in [*np.flatnonzero(np.diff(cell)) + 1, len(cell)]:
             out += links(index[lo], side[lo:hi], rep[lo:hi], comp[lo:hi], sig[lo:hi], sets[lo:hi])
