@@ -106,8 +106,8 @@ def exported(text: str, name: str):
     return None
 
 
-def largest(text: str, opening: str):
-    """The longest object or array literal in a text, the first of equally long ones; None if none is complete."""
+def largest(text: str, opening: str) -> tuple[int, dict | list | None]:
+    """Length and value of the longest object or array literal in a text, the first of equally long ones; 0 and None if none is complete."""
     best, found, at = 0, None, 0
     while (at := text.find(opening, at)) >= 0:
         r = _Reader(text, at)
@@ -118,7 +118,7 @@ def largest(text: str, opening: str):
             at = r.at
         except (ValueError, IndexError):
             at += 1
-    return found
+    return best, found
 
 
 def data(text: str | None, names: list[str], kind: type = dict):
@@ -127,8 +127,7 @@ def data(text: str | None, names: list[str], kind: type = dict):
         v = exported(text or "", name)
         if isinstance(v, kind):
             return v
-    v = largest(text or "", "{" if kind is dict else "[")
-    return v if isinstance(v, kind) else None
+    return largest(text or "", "{" if kind is dict else "[")[1]
 
 
 def entries(names: list[str]):
@@ -151,10 +150,12 @@ def descriptions(names: list[str]):
     @F.pandas_udf("map<string,string>")
     def parsed(texts: pd.Series) -> pd.Series:
         def one(t):
-            v = data(t, names)
+            v = next((x for n in names if (x := exported(t or "", n)) is not None), None)
             if v is None:
-                rows = data(t, names, list) or []
-                v = {str(i): x for x in rows if isinstance(x, dict) and (i := x.get("id") or x.get("carId") or x.get("car_id"))}
+                v = max(largest(t or "", "{"), largest(t or "", "["), key=lambda x: x[0])[1]
+            if isinstance(v, list):
+                v = {str(i): x for x in v if isinstance(x, dict) and (i := x.get("id") or x.get("carId") or x.get("car_id"))}
+            v = v if isinstance(v, dict) else {}
             return {str(k): json.dumps(x, ensure_ascii=False) for k, x in v.items()}
 
         return texts.map(one)
