@@ -1,4 +1,4 @@
-"""Command line: list, car, stats and overview of a dataset; merge of datasets."""
+"""Command line: list, car, stats and overview of a dataset; build, merge and check of datasets; doctor."""
 
 from __future__ import annotations
 
@@ -8,8 +8,10 @@ import sys
 
 from pyspark.sql import SparkSession
 
+from polycat.functions.text import parse_locales
 from polycat.operators.merge import merge
-from polycat.plans import detail, lists
+from polycat.plans import detail, ingest, lists, quality
+from polycat.sources.files import manifest
 from polycat.sources.lake import Lake
 
 
@@ -51,6 +53,20 @@ def parser() -> argparse.ArgumentParser:
     m.add_argument("--out", required=True)
     m.add_argument("--base")
     m.add_argument("--locales")
+    b = sub.add_parser("build")
+    b.add_argument("--source", required=True, help="folder with a folder of files for each locale")
+    b.add_argument("--folder", required=True, help="where each locale's dataset goes")
+    b.add_argument("--out", help="where the merged dataset goes")
+    b.add_argument("--locales", required=True)
+    b.add_argument("--base", default="gb")
+    b.add_argument("--text-policy", choices=("target-only", "all"), default="target-only")
+    h = sub.add_parser("check")
+    h.add_argument("--db", required=True)
+    h.add_argument("--manifest", required=True)
+    h.add_argument("--least", type=int, default=1)
+    h.add_argument("--mode", choices=("strict", "soft", "off"), default="soft")
+    h.add_argument("--report")
+    sub.add_parser("doctor")
     return p
 
 
@@ -60,10 +76,18 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if a.command == "merge":
         merge(a.folder, a.out, spark, a.locales.split(",") if a.locales else None, a.base)
         return 0
+    if a.command == "build":
+        bundles = {x: ingest.from_folder(spark, a.source, x) for x in parse_locales(a.locales, [])}
+        return ingest.build_all(spark, a.folder, bundles, a.base, a.text_policy == "target-only", a.out)
+    if a.command == "doctor":
+        print(to_text({"python": sys.version.split()[0], "spark": spark.version, "master": spark.sparkContext.master, "shared folder": spark.conf.get("spark.checkpoint.dir", None)}))
+        return 0
     lake = Lake(spark, a.db)
     if not lake.has_table("cars"):
         print(f"no dataset at {a.db}", file=sys.stderr)
         return 1
+    if a.command == "check":
+        return quality.check_heroes({a.db: lake}, manifest(spark, a.manifest), a.least, a.mode, a.report)
     rows = lambda df: [r.asDict(recursive=True) for r in df.collect()]
     if a.command == "list":
         data = rows(lists.list_cars(lake, a.locale, a.sort, a.limit))

@@ -15,6 +15,7 @@ from polycat.functions.specs import infer_code, normalize_specs
 from polycat.functions.text import slugify
 from polycat.operators import cleanup, merge, upsert
 from polycat.plans import quality
+from polycat.sources import files
 from polycat.sources.lake import Lake
 
 # Names under which payloads hold a field, in order of preference, and labels of single specifications.
@@ -48,6 +49,30 @@ def from_scripts(scripts: DataFrame, column: str = "text", kind: str = "cars") -
     return scripts.select(F.explode(found).alias("car_id", "payload"))
 
 
+def from_folder(spark: SparkSession, folder: str, locale: str) -> Bundle:
+    """A locale's bundle from files: <locale>/cars.js, descriptions.js, tuners.js, labels.json and pages/<car id>.html, and iso.json and countries.json beside the locales. Only cars.js must be there."""
+    at = f"{folder.rstrip('/')}/{locale}"
+    there = lambda path: Lake(spark, path).exists()
+    script = lambda n: spark.read.text(f"{at}/{n}", wholetext=True).withColumnRenamed("value", "text")
+    if not there(f"{at}/cars.js"):
+        raise FileNotFoundError(f"no cars.js in {at}")
+    out = Bundle(cars=from_scripts(script("cars.js")))
+    if there(f"{at}/descriptions.js"):
+        out.descriptions = from_scripts(script("descriptions.js"), kind="descriptions")
+    if there(f"{at}/tuners.js"):
+        out.tuners = from_scripts(script("tuners.js"), kind="tuners").select(F.col("car_id").alias("id"), F.coalesce(pick(F.col("payload"), ["name", "nameShort"]), F.regexp_extract("payload", '^"(.*)"$', 1)).alias("name"))
+    if there(f"{at}/pages"):
+        pages = spark.read.text(f"{at}/pages", wholetext=True).select(F.regexp_extract(F.input_file_name(), r"([^/]+)\.html$", 1).alias("car_id"), F.col("value").alias("html"))
+        out.pages = pages.where("car_id != ''")
+    if there(f"{at}/labels.json"):
+        out.labels = files.label_map(spark, {locale: f"{at}/labels.json"})
+    if there(f"{folder}/iso.json"):
+        out.iso = files.string_map(spark, f"{folder}/iso.json", "country_id", "iso3")
+    if there(f"{folder}/countries.json"):
+        out.countries = files.nested_map(spark, f"{folder}/countries.json", "iso3", "locale", "name")
+    return out
+
+
 def pick(payload: Column, names: list[str]) -> Column:
     """The first of the payload's fields that is neither null nor empty, as text."""
     return F.coalesce(*[present(F.get_json_object(payload, f"$.{n}")) for n in names])

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from polycat import schema
+from polycat.sources.files import write_report
 from polycat.sources.lake import Lake
 
 
@@ -32,6 +35,20 @@ def outcome(mode: str, checked: int, mismatches: int, max_count: int = 20, max_r
     raise ValueError(f"unknown mode {mode}")
 
 
+def check_heroes(lakes: dict[str, Lake], manifest: DataFrame, least: int = 1, mode: str = "soft", report: str | None = None, max_count: int = 20, max_ratio: float = 0.05) -> int:
+    """Checks datasets (by name) against a manifest and writes the differences as a report: 0 if all is well, 3 for a strict and 4 for a soft failure. An empty manifest raises."""
+    if mode == "off":
+        return 0
+    if not manifest.limit(1).count():
+        raise ValueError("the manifest is empty")
+    parts = [hero_differences(x.table("cars"), x.get("car_images"), manifest, least).select(F.lit(name).alias("dataset"), "*") for name, x in lakes.items()]
+    wrong = reduce(DataFrame.unionByName, parts)
+    if report:
+        write_report(wrong, report)
+    checked = sum(x.table("cars").count() for x in lakes.values())
+    return 0 if outcome(mode, checked, wrong.count(), max_count, max_ratio) else {"strict": 3, "soft": 4}[mode]
+
+
 def orphans(lake: Lake) -> DataFrame:
     """table, column, value, rows: references to nothing."""
     out = lake.spark.createDataFrame([], "table string, column string, value string, rows long")

@@ -215,3 +215,27 @@ def test_stream(spark, tmp_path):
     q = fetch_log.latest(fetch_log.read(spark, f"file://{tmp_path}/log")).writeStream.outputMode("complete").format("memory").queryName("latest_q").trigger(availableNow=True).start()
     q.awaitTermination()
     assert {(r.car_id, r.status) for r in spark.table("latest_q").collect()} == want
+
+
+def test_build_from_files(spark, tmp_path, capsys):
+    src = tmp_path / "src"
+    for x, name in (("gb", "Sample"), ("cn", "示例")):
+        (src / x / "pages").mkdir(parents=True)
+        (src / x / "cars.js").write_text(f"var d={{car1:{{name:'{name}',manufacturerId:'m1',countryId:'c1',specs:{{Weight:'1 kg'}}}}}};export{{d as CarList}}")
+        (src / x / "tuners.js").write_text("var t={m1:{name:'Maker'}};export{t as TunerList}")
+        (src / x / "pages" / "car1.html").write_text("<h2>Page maker</h2>" if x == "cn" else "")
+        (src / x / "labels.json").write_text('{"Weight": "weight"}')
+    (src / "iso.json").write_text('{"c1": "AAA"}')
+    (src / "countries.json").write_text('{"AAA": {"gb": "Aland"}}')
+    at = lambda n: f"file://{tmp_path}/{n}"
+    assert cli.main(["build", "--source", at("src"), "--folder", at("parts"), "--out", at("all"), "--locales", "gb,cn"], spark) == 0
+    d = detail.car_detail(Lake(spark, at("all")), "car1", "cn")
+    assert d["name"] == "示例" and d["manufacturer"]["name"] == "Page maker" and d["country"]["name"] == "Aland" and d["specs"][0]["spec_key"] == "weight"
+    assert detail.car_detail(Lake(spark, at("all")), "car1", "gb")["manufacturer"]["name"] == "Maker"
+    (tmp_path / "man.json").write_text('{"car1": 1}')
+    check = ["check", "--db", at("all"), "--manifest", at("man.json")]
+    assert cli.main([*check, "--mode", "strict", "--report", at("report")], spark) == 3 and cli.main(check, spark) == 0
+    assert spark.read.csv(at("report/csv"), header=True).first().reason == "mismatch_with_reference"
+    assert cli.main(["doctor"], spark) == 0 and "spark: " in capsys.readouterr().out
+    with pytest.raises(FileNotFoundError):
+        ingest.from_folder(spark, at("src"), "fr")
