@@ -33,11 +33,25 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """df written to the shared folder as Parquet and read back: later reads survive a lost executor and repeat no work."""
+#: Rows of texts or sets that are handed to Python at once; Spark's 10,000 take hundreds of MB beside the heap.
+TEXT_ROWS = 1000
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def stored(df: DataFrame, arrow_rows: int | None = None) -> DataFrame:
+    """df written to the shared folder as Parquet and read back: later reads survive a lost executor and repeat no work.
+
+    arrow_rows sets how many rows Python functions in df get at once while it is written.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/polycat-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_ROWS)
+    try:
+        if arrow_rows:
+            spark.conf.set(_ROWS, str(arrow_rows))
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_ROWS, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -49,3 +63,11 @@ def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 def let(value: Column, use) -> Column:
     """use(value) with value worked out once: Catalyst writes a column's expression out wherever it is used, also in the lambdas of higher-order functions."""
     return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """name, lengthened until df has no such column, so that columns of any name can pass through."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

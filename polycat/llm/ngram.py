@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from polycat.llm.common import stored
+from polycat.llm.common import TEXT_ROWS, stored
 from polycat.llm.text import U, mix, slices, word_hashes
 
 #: Hash of the end of a document, which is also what comes before its first word.
@@ -131,21 +131,22 @@ class Filter:
     def __init__(self, pieces: Iterable[tuple[int, int, bytes]], size: int, segments: int):
         self.segments = segments
         self.at = {o: np.full((2, segments), -1, np.int64) for o in (1, 2)}
-        self.bits, at = np.zeros(size // 8, U), 0
+        self.raw, at = bytearray(size), 0  # read back by a worker without a second copy, unlike an array
         for order, segment, raw in pieces:
             n = len(raw) // 8
-            self.bits[at : at + n] = np.frombuffer(raw, U)
+            self.raw[8 * at : 8 * (at + n)] = raw
             self.at[order][:, segment] = at, n
             at += n
 
     def levels(self, keys: np.ndarray, order: int) -> np.ndarray:
         """Level of each key, 0 if it was never seen or belongs to a segment that isn't here; probed upwards until a level is absent."""
+        bits = np.frombuffer(self.raw, U)
         segment = (keys % U(self.segments)).astype(np.int64)
         start, blocks = self.at[order][0][segment], self.at[order][1][segment]
         q, level, on = np.zeros(len(keys), np.int64), 1, np.flatnonzero(start >= 0)
         while len(on):
             place, mask = _places(keys[on], level, blocks[on].astype(U))
-            on = on[(self.bits[start[on] + place.astype(np.int64)] & mask) == mask]
+            on = on[(bits[start[on] + place.astype(np.int64)] & mask) == mask]
             q[on] = level
             level += 1
         return q
@@ -154,7 +155,7 @@ class Filter:
 def train(docs: DataFrame, segments: int, text_col: str = "text") -> DataFrame:
     """The model's segments as a stored table. Every n-gram of every text is counted: sums are made where the text is read and merged after one shuffle of whole cells, so that a frequent n-gram is one entry of each of them."""
     cells = docs.select(text_col).mapInArrow(_counting(segments), "segment int, order int, keys binary, n binary")
-    return stored(cells.groupBy("segment", "order").applyInArrow(_merge, "segment int, order int, filter binary, bytes long, types long, tokens long, keys binary, n binary"))
+    return stored(cells.groupBy("segment", "order").applyInArrow(_merge, "segment int, order int, filter binary, bytes long, types long, tokens long, keys binary, n binary"), TEXT_ROWS)
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,11 +203,11 @@ def score(docs: DataFrame, model: DataFrame, segments: int, id_col: str = "doc_i
 
     texts = docs.select(F.col(text_col).alias("_text"), F.lit(None).cast("binary").alias("_levels"), F.col(id_col).alias("_id"), *keep)
     for group in groups[:-1]:
-        texts = stored(texts.mapInArrow(_levels_of(loaded(group)), texts.schema))
+        texts = stored(texts.mapInArrow(_levels_of(loaded(group)), texts.schema), TEXT_ROWS)
     final = _scoring(loaded(groups[-1]), exact, divisor)
     names = [f for f in texts.schema if f.name not in ("_text", "_levels")]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in names)
-    rows = stored(texts.mapInArrow(final, f"{schema}, _row long, n_tokens long, _known long, _base double, score double, _word long, _times long"))
+    rows = stored(texts.mapInArrow(final, f"{schema}, _row long, n_tokens long, _known long, _base double, score double, _word long, _times long"), TEXT_ROWS)
     rare = rows.where("_word is not null").select("_row", "_word", "_times").join(words, "_word", "left").withColumn("_c", F.coalesce("_c", F.lit(0)))
     rare = rare.groupBy("_row").agg(F.sum(F.col("_times") * F.log10((F.col("_c") + 0.1) / divisor)).alias("_more"), F.sum(F.when(F.col("_c") > 0, F.col("_times")).otherwise(0)).alias("_also"))
     out = rows.where("_word is null").join(rare, "_row", "left")
