@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from polycat.llm.common import ascii_lower, bounded, let, stored
+from polycat.llm.common import ascii_lower, bounded, fresh, let, stored
 
 NOT_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
@@ -65,5 +65,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_co
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """docs without the rows that hold an occurrence of a benchmark window; all other rows and columns as they are."""
-    bad = stored(contamination(docs, benchmark, window).where(F.col("n_hit") > 0).select(F.col("doc_id").alias("_bad")).distinct())
-    return docs.join(bounded(bad), F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    name = fresh(docs, "_bad")
+    bad = stored(contamination(docs, benchmark, window).where(F.col("n_hit") > 0).select(F.col("doc_id").alias(name)).distinct())
+    return docs.join(bounded(bad), F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")

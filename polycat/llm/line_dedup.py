@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from polycat.llm.common import ascii_lower
+from polycat.llm.common import ascii_lower, fresh
 
 STRIP = " \t\n\x0b\x0c\r"
 
@@ -35,18 +35,17 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, id_col:
     frequent keys with their documents meets such a key, and AQE splits it. Texts are shuffled once, to meet the list
     of keys that their document loses; that side is built as a hash table, so texts are not sorted.
     """
-    taken = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    docs = docs.drop("n_lines", "n_dropped")
+    own, key, lost, lines, kept = (fresh(docs, n) for n in ("_own", "_key", "_lost", "_lines", "_kept"))
     keys = F.array_distinct(F.transform(F.filter(F.transform(_lines(F.col(text_col)), _key), lambda k: F.length(k) >= min_chars), _digest))
-    pairs = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.explode(keys).alias("_key")).distinct()
-    frequent = pairs.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), F.max("_id").alias("_last")).where(F.col("_n") >= min_docs)
-    lost = pairs.join(frequent, "_key").where(F.col("_id") != F.col("_last")).groupBy("_id").agg(F.collect_set("_key").alias("_lost"))
-    joined = docs.select(taken).join(lost.hint("shuffle_hash"), F.col(id_col) == F.col("_id"), "left")
-    lines = joined.withColumn("_lines", _lines(F.col(text_col)))
-    stays = F.filter("_lines", lambda x: (F.length(_key(x)) < min_chars) | ~F.array_contains("_lost", _digest(_key(x))))
-    kept = F.when(F.col("_lost").isNull(), F.col("_lines")).otherwise(stays)
-    out = lines.withColumn("_kept", kept)
+    pairs = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias(own), F.explode(keys).alias(key)).distinct()
+    frequent = pairs.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.max(own).alias("last")).where(F.col("n") >= min_docs)
+    losing = pairs.join(frequent, key).where(F.col(own) != F.col("last")).groupBy(own).agg(F.collect_set(key).alias(lost))
+    out = docs.join(losing.hint("shuffle_hash"), F.col(id_col) == F.col(own), "left").withColumn(lines, _lines(F.col(text_col)))
+    stays = F.filter(lines, lambda x: (F.length(_key(x)) < min_chars) | ~F.array_contains(lost, _digest(_key(x))))
+    out = out.withColumn(kept, F.when(F.col(lost).isNull(), F.col(lines)).otherwise(stays))
     return out.select(
-        *[F.array_join("_kept", "\n").alias(c) if c == text_col else F.col(c) for c in taken],
-        F.size("_lines").cast("long").alias("n_lines"),
-        (F.size("_lines") - F.size("_kept")).cast("long").alias("n_dropped"),
+        *[F.array_join(kept, "\n").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns],
+        F.size(lines).cast("long").alias("n_lines"),
+        (F.size(lines) - F.size(kept)).cast("long").alias("n_dropped"),
     )

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from polycat.llm.common import bounded, stored
+from polycat.llm.common import TEXT_ROWS, bounded, fresh, stored
 from polycat.llm.graph import components
 from polycat.llm.text import U, mix, shingles, slices, word_hashes
 
@@ -161,7 +161,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
        task. So no link is lost whatever the bucket's size.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
-    signed = stored(texts.mapInArrow(_signatures(words), "_id long, n_shingles long, _digest binary, _sig binary"))
+    signed = stored(texts.mapInArrow(_signatures(words), "_id long, n_shingles long, _digest binary, _sig binary"), TEXT_ROWS)
     classes = stored(signed.where("n_shingles > 0 and _id is not null").groupBy("_digest").agg(F.min("_id").alias("_rep"), F.min("_sig").alias("_sig"), F.min("n_shingles").alias("_n")))
     keys = stored(classes.select("_rep", "_sig").mapInArrow(_keys, "_key long, _rep long"))
     buckets = keys.groupBy("_key").agg(F.min("_rep").alias("_low"), F.max("_rep").alias("_high")).where("_low < _high")
@@ -180,10 +180,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     low, high = F.least("_block", "_with"), F.greatest("_block", "_with")
     side = F.when(F.col("_block") == F.col("_with"), 2).when(F.col("_block") < F.col("_with"), 0).otherwise(1)
     ids = stored(rest.select(F.col("_rep").alias("_want")).distinct())
-    sets = stored(texts.join(bounded(ids), F.col("_id") == F.col("_want"), "left_semi").mapInArrow(_sets(words), "_id long, _set array<long>").dropDuplicates(["_id"]))
+    sets = stored(texts.join(bounded(ids), F.col("_id") == F.col("_want"), "left_semi").mapInArrow(_sets(words), "_id long, _set array<long>").dropDuplicates(["_id"]), TEXT_ROWS)
     cells = rest.select(F.xxhash64("_key", low, high).alias("_cell"), F.col("_key").bitwiseAND(63).cast("int").alias("_index"), side.alias("_side"), "_rep").join(known, "_rep").join(sets, F.col("_rep") == F.col("_id"))
     cells = cells.select("_cell", "_index", "_side", "_rep", "_comp", "_sig", "_set").repartition("_cell").sortWithinPartitions("_cell")
-    links = links.union(stored(cells.mapInArrow(_within(percent), "a long, b long")))
+    links = links.union(stored(cells.mapInArrow(_within(percent), "a long, b long"), TEXT_ROWS))
     labels = components(links)
     of_class = classes.select("_digest", "_rep").join(labels, F.col("_rep") == F.col("id"), "left").select("_digest", F.coalesce("component", "_rep").alias("component_id"))
     out = signed.select("_id", "n_shingles", "_digest").join(of_class, "_digest", "left")
@@ -209,7 +209,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) ->
     """Pairs (a, b) whose whole sets are as similar as asked."""
     ids = stored(pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "_want"))
     sets = texts.join(bounded(ids), F.col("_id") == F.col("_want"), "left_semi").mapInArrow(_sets(words), "_id long, _set array<long>")
-    sets = stored(sets.dropDuplicates(["_id"]))
+    sets = stored(sets.dropDuplicates(["_id"]), TEXT_ROWS)
     of = lambda c: sets.select(F.col("_id").alias(c), F.col("_set").alias(f"_{c}"))
     both = pairs.join(of("b"), "b").join(of("a"), "a").withColumn("_both", F.size(F.array_intersect("_a", "_b")))
     return stored(both.where(100 * F.col("_both") >= percent * (F.size("_a") + F.size("_b") - F.col("_both"))).select("a", "b"))
@@ -217,5 +217,6 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) ->
 
 def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """docs with one row of each component: the one whose id is the smallest; rows without an id or words all stay."""
-    gone = stored(near_duplicates(docs, words, percent).where("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct())
-    return docs.join(bounded(gone), F.col("doc_id") == F.col("_gone"), "left_anti")
+    name = fresh(docs, "_gone")
+    gone = stored(near_duplicates(docs, words, percent).where("not kept and doc_id is not null").select(F.col("doc_id").alias(name)).distinct())
+    return docs.join(bounded(gone), F.col("doc_id") == F.col(name), "left_anti")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from polycat.llm.common import bounded, stored
+from polycat.llm.common import bounded, fresh, stored
 
 #: A document is taken this often at most.
 MOST = 2
@@ -117,6 +117,7 @@ def mix_rates(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: floa
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5) -> DataFrame:
     """docs with each row as often as mix_rates takes it, 0 to MOST times; rows that share an id get the most of theirs."""
-    taken = stored(mix_rates(docs, weights, share).groupBy(F.col("doc_id").alias("_id")).agg(F.max("copies").alias("_copies")).where("_copies > 0"))
-    joined = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")))
-    return joined.select(*docs.columns, F.explode(F.sequence(F.lit(1), "_copies")).alias("_copy")).drop("_copy")
+    own, times, copy = (fresh(docs, n) for n in ("_own", "_times", "_copy"))
+    taken = stored(mix_rates(docs, weights, share).groupBy(F.col("doc_id").alias(own)).agg(F.max("copies").alias(times)).where(F.col(times) > 0))
+    joined = docs.join(taken, F.col("doc_id").eqNullSafe(F.col(own)))
+    return joined.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1), times)).alias(copy)).drop(copy)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from polycat.llm.common import shared_dir, stored
+from polycat.llm.common import TEXT_ROWS, shared_dir, stored
 from polycat.llm.text import U, mix
 
 MAGIC = b"PCSST001"
@@ -233,7 +233,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2,
     store, path = fs.FileSystem.from_uri(folder)
     store.create_dir(path)
     ordered = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")).repartitionByRange(F.col("_id").asc_nulls_first()).sortWithinPartitions(F.col("_id").asc_nulls_first(), F.xxhash64("_text"))
-    return stored(ordered.mapInArrow(_writing(folder, tokenizer, end_id), "part long, file string, docs long, ids long"))
+    return stored(ordered.mapInArrow(_writing(folder, tokenizer, end_id), "part long, file string, docs long, ids long"), TEXT_ROWS)
 
 
 def read_shards(spark: SparkSession, folder: str, shards: DataFrame) -> DataFrame:
