@@ -20,6 +20,23 @@ def docs(spark, rows=TEXTS, source=lambda i: None if i in (1, 4) else f"s{(i or
     return spark.createDataFrame([(i, t, "de", source(i), len(t or "")) for i, t in rows], DOCS)
 
 
+def clashing(df):
+    """df with columns named as the operators name theirs."""
+    for c in ("_id", "_text", "_key", "_lost", "_bad", "_gone", "_own", "_copies", "score", "size", "kept", "rank", "a.b"):
+        df = df.withColumn(c, F.lit(1))
+    return df
+
+
+def test_clashing_columns(spark):
+    df = clashing(docs(spark))
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(9)], "doc_id long, quality int, toxic int")
+    bench = spark.createDataFrame([(1, "Ein Satz mit")], "item_id long, text string")
+    for out in (minhash.drop_near_duplicates(df), decontaminate.drop_contaminated(df, bench), mixing.mix(df), toxicity.drop_toxic(df, labels)):
+        assert out.columns == df.columns and out.count() <= 2 * len(TEXTS)
+    for out in (minhash.near_duplicates(df), decontaminate.contamination(df, bench), mixing.mix_rates(df), ngram.score_corpus(df), license_scan.scan_licenses(df, license_scan.known_licenses(spark)), secret_scan.scan(df, secret_scan.train(n=300, epochs=1)), sstable.encode_table(df, tokenizer_path())):
+        assert out.count() == len(TEXTS)
+
+
 def low(s):
     return re.sub("[A-Z]", lambda m: m[0].lower(), s)
 
@@ -31,8 +48,10 @@ def empty(spark):
 def test_lines(spark):
     long = "Diese Zeile hat sicher mehr als vierzig Zeichen, und zwar viele."
     rows = [(i, f"a{i}\n  {long.upper() if i % 2 else long}\t\nz\n{long}") for i in range(6)] + [(i + 100, t) for i, t in enumerate(["kurz\nkurz", None, "", LONG])]
-    df = docs(spark, rows).withColumn("_lost", F.lit(1)).withColumn("n_lines", F.lit("x"))
-    got = {r.doc_id: r for r in line_dedup.dedup_lines(df.drop("_lost")).collect()}
+    df = clashing(docs(spark, rows)).withColumn("n_lines", F.lit("x"))
+    out = line_dedup.dedup_lines(df)
+    assert out.columns == [*df.drop("n_lines").columns, "n_lines", "n_dropped"]
+    got = {r.doc_id: r for r in out.collect()}
     assert got[0].text == "a0\nz" and got[0].n_lines == 4 and got[0].n_dropped == 2
     assert got[5].n_dropped == 0 and got[5].text == rows[5][1]
     assert got[100].text == "kurz\nkurz" and got[101].text == "" and got[101].n_lines == 1 and got[103].n_dropped == 0
