@@ -17,8 +17,8 @@ from polycat.llm.text import U, mix, shingles, slices, word_hashes
 #: 48 components of 16 bits in 12 chunks of 4. A pair that differs in at most 23 components has a chunk with at most
 #: one error (12 * 2 > 23). A pair of similarity 0.8 differs in more with a probability under 2e-6.
 COMPONENTS, CHUNKS, DISTANCE = 48, 12, 23
-#: Rows of a bucket that are compared in one block.
-BLOCK = 2048
+#: Rows of a bucket, and hashes of their sets, that are compared in one block.
+BLOCK, HASHES = 2048, 1 << 20
 _A = np.random.default_rng(6).integers(0, 1 << 63, COMPONENTS, dtype=np.uint64) * U(2) + U(1)
 
 
@@ -157,7 +157,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
        candidates with every member: linear in the bucket, however many near copies it holds.
     3. Candidates within the distance are confirmed on their whole sets and joined to components.
     4. What is left in a bucket between different components is compared too, by signature and then whole sets, in
-       blocks of a fixed number of rows and each pair in one bucket only; only links that join components leave the
+       blocks of bounded size and each pair in one bucket only; only links that join components leave the
        task. So no link is lost whatever the bucket's size.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
@@ -170,12 +170,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     stars = members.select("_rep", ends).where("_rep <> _end").select(F.least("_rep", "_end").alias("a"), F.greatest("_rep", "_end").alias("b")).distinct()
     links = _confirmed(stored(_near(stars, classes, percent)), texts, words, percent)
     labels = components(links)
-    known = stored(classes.join(labels, F.col("_rep") == F.col("id"), "left").select("_rep", "_sig", F.coalesce("component", "_rep").alias("_comp")))
-    placed = members.where("_rep <> _low and _rep <> _high").select("_key", "_rep").join(known.select("_rep", "_comp"), "_rep")
-    mixed = placed.groupBy("_key").agg(F.count(F.lit(1)).alias("_size"), F.min("_comp").alias("_c0"), F.max("_comp").alias("_c1")).where("_c0 < _c1").select("_key", "_size")
+    known = stored(classes.join(labels, F.col("_rep") == F.col("id"), "left").select("_rep", "_n", "_sig", F.coalesce("component", "_rep").alias("_comp")))
+    placed = members.where("_rep <> _low and _rep <> _high").select("_key", "_rep").join(known.select("_rep", "_n", "_comp"), "_rep")
+    size = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("_n") / HASHES)).cast("int")
+    mixed = placed.groupBy("_key").agg(size.alias("_blocks"), F.min("_comp").alias("_c0"), F.max("_comp").alias("_c1")).where("_c0 < _c1").select("_key", "_blocks")
     rest = stored(placed.select("_key", "_rep").join(mixed, "_key"))
-    blocks = F.ceil(F.col("_size") / BLOCK).cast("int")
-    rest = rest.withColumn("_blocks", blocks).withColumn("_block", F.pmod(F.xxhash64("_rep"), F.col("_blocks")).cast("int"))
+    rest = rest.withColumn("_block", F.pmod(F.xxhash64("_rep"), F.col("_blocks")).cast("int"))
     rest = rest.withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
     low, high = F.least("_block", "_with"), F.greatest("_block", "_with")
     side = F.when(F.col("_block") == F.col("_with"), 2).when(F.col("_block") < F.col("_with"), 0).otherwise(1)

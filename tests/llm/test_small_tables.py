@@ -115,11 +115,12 @@ def near_groups(rows, k=4):
     return {i: (len(sets[i]), find(i)) for i in sets}
 
 
-@pytest.mark.parametrize("block", [2048, 4])
+@pytest.mark.parametrize("block", [(2048, 1 << 20), (4, 1 << 20), (2048, 400)])
 def test_near_duplicates_brute_force(spark, block, monkeypatch):
     """Chains of near copies, copies, short texts; also with blocks so small that buckets are cut in many parts."""
-    monkeypatch.setattr(minhash, "BLOCK", block)
-    r = random.Random(block)
+    monkeypatch.setattr(minhash, "BLOCK", block[0])
+    monkeypatch.setattr(minhash, "HASHES", block[1])
+    r = random.Random(block[0])
     base = [f"w{r.randint(0, 10**6)}" for _ in range(60)]
     rows = [(i, " ".join(w for j, w in enumerate(base) if r.random() > 0.03)) for i in range(60)]
     chain = list(base)
