@@ -65,6 +65,16 @@ def let(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def text_key(text: Column) -> Column:
+    """Digest of a whole text, null as empty: what a decision about the text alone is kept by, whatever the row's id."""
+    return F.sha2(F.coalesce(text, F.lit("")), 256)
+
+
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """df stored with a key of its own for each row in the new column name."""
+    return stored(df.withColumn(name, F.monotonically_increasing_id()))
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """name, lengthened until df has no such column, so that columns of any name can pass through."""
     taken = {c.lower() for c in df.columns}

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from polycat.llm.common import ascii_lower, bounded, fresh, let, stored
+from polycat.llm.common import ascii_lower, bounded, fresh, let, stored, text_key
 
 NOT_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
@@ -64,7 +64,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_co
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """docs without the rows that hold an occurrence of a benchmark window; all other rows and columns as they are."""
+    """docs without the rows that hold an occurrence of a benchmark window; all other rows and columns as they are.
+
+    Whether a row goes depends on its text only, so decisions are kept by the text's digest: rows that share an id or
+    have none are decided one by one.
+    """
     name = fresh(docs, "_bad")
-    bad = stored(contamination(docs, benchmark, window).where(F.col("n_hit") > 0).select(F.col("doc_id").alias(name)).distinct())
-    return docs.join(bounded(bad), F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")
+    texts = docs.select(text_key(F.col("text")).alias(name), "text")
+    bad = stored(contamination(texts, benchmark, window, id_col=name).where(F.col("n_hit") > 0).select(name).distinct())
+    return docs.join(bounded(bad), text_key(F.col("text")) == F.col(name), "left_anti")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from polycat.llm.common import bounded, fresh, stored
+from polycat.llm.common import bounded, fresh, numbered, stored
 
 #: A document is taken this often at most.
 MOST = 2
@@ -83,8 +83,8 @@ def _whole(pdf: pd.DataFrame) -> pd.DataFrame:
     return pdf[["sid", "size", "n"]].assign(total=copies)
 
 
-def mix_rates(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """id_col, size, source_size, target, rate, copies for each row of docs.
+def mix_rates(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", keep: tuple[str, ...] = ()) -> DataFrame:
+    """id_col, the columns of keep, size, source_size, target, rate, copies for each row of docs.
 
     size: runs without white space in the text (null: 0). copies is 0 to MOST; the copies' tokens of a source come
     within about the smallest sizes of its target. The same rows always get the same copies: documents of one source
@@ -96,7 +96,7 @@ def mix_rates(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: floa
     documents a source has. Within a size, copies are dealt by rank in runs of some thousand documents.
     """
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
-    sizes = stored(docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("source"), size.alias("size")))
+    sizes = stored(docs.select(F.col(id_col).alias("_id"), *keep, F.col(source_col).alias("source"), size.alias("size")))
     counts = stored(sizes.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")))
     sources = stored(targets(counts.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")).withColumn("source_size", F.coalesce("source_size", F.lit(0))), weights, share))
     few = bounded(sources.withColumnRenamed("source", "_s"))
@@ -110,14 +110,16 @@ def mix_rates(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: floa
     rows = sizes.join(few, F.col("source").eqNullSafe(F.col("_s"))).join(bounded(dealt), ["sid", "size"]).withColumn("_run", run)
     before = Window.partitionBy("sid", "size").orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
     offsets = stored(rows.where(F.col("n") > RUN).groupBy("sid", "size", "_run").agg(F.count(F.lit(1)).alias("_k")).withColumn("_before", F.coalesce(F.sum("_k").over(before), F.lit(0))).drop("_k"))
-    rank = F.row_number().over(Window.partitionBy("sid", "size", "_run").orderBy(F.xxhash64("_id", F.lit(4)), "_id"))
+    rank = F.row_number().over(Window.partitionBy("sid", "size", "_run").orderBy(F.xxhash64("_id", F.lit(4)), "_id", *keep))
     rows = rows.withColumn("_rank", rank).join(bounded(offsets), ["sid", "size", "_run"], "left").withColumn("_j", F.col("_rank") + F.coalesce("_before", F.lit(0)))
-    return rows.select(F.col("_id").alias(id_col), "size", "source_size", "target", "rate", F.expr("cast((_j * total) div n - ((_j - 1) * total) div n as int)").alias("copies"))
+    return rows.select(F.col("_id").alias(id_col), *keep, "size", "source_size", "target", "rate", F.expr("cast((_j * total) div n - ((_j - 1) * total) div n as int)").alias("copies"))
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5) -> DataFrame:
-    """docs with each row as often as mix_rates takes it, 0 to MOST times; rows that share an id get the most of theirs."""
-    own, times, copy = (fresh(docs, n) for n in ("_own", "_times", "_copy"))
-    taken = stored(mix_rates(docs, weights, share).groupBy(F.col("doc_id").alias(own)).agg(F.max("copies").alias(times)).where(F.col(times) > 0))
-    joined = docs.join(taken, F.col("doc_id").eqNullSafe(F.col(own)))
+    """docs with each row as often as mix_rates takes it, 0 to MOST times. Copies are dealt by a hash of id and text and given to rows by a key of their own, so rows that share an id or have none get no more than theirs."""
+    own, row, deal, times, copy = (fresh(docs, n) for n in ("_own", "_row", "_deal", "_times", "_copy"))
+    rows = numbered(docs, own)
+    hashed = rows.select(F.xxhash64("doc_id", "text").alias(deal), own, "text", "source")
+    taken = stored(mix_rates(hashed, weights, share, id_col=deal, keep=(own,)).where("copies > 0").select(F.col(own).alias(row), F.col("copies").alias(times)))
+    joined = rows.join(taken, F.col(own) == F.col(row))
     return joined.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1), times)).alias(copy)).drop(copy)
