@@ -36,6 +36,10 @@ BLOCK = 1 << 16
 BLOOM_BITS, BLOOM_HASHES = 10, 7
 #: Distinct pieces of text whose ids a worker keeps at most.
 KEPT = 1_800_000
+#: Bytes of text of a shard, and the least of one while there are cores without work.
+SHARD_BYTES, SMALL_BYTES = 128 << 20, 4 << 20
+#: Rows that the reader hands on at once.
+READ_ROWS = 10_000
 
 
 def key_of(doc_id: int | None) -> bytes:
@@ -46,8 +50,12 @@ def id_of(key: bytes) -> int | None:
     return struct.unpack(">Q", key)[0] - (1 << 63) if key else None
 
 
-def _bloom_places(keys: list[bytes], bits: int) -> np.ndarray:
-    n = np.array([int.from_bytes(k.rjust(8, b"\0"), "little") + len(k) & (1 << 64) - 1 for k in keys], U)
+def _number(key: bytes) -> int:
+    return int.from_bytes(key.rjust(8, b"\0"), "little") + len(key) & (1 << 64) - 1
+
+
+def _bloom_places(numbers: np.ndarray, bits: int) -> np.ndarray:
+    n = numbers.astype(U)
     one, two = mix(n), mix(n + U(0x9E3779B97F4A7C15)) | U(1)
     return (one[:, None] + two[:, None] * np.arange(BLOOM_HASHES, dtype=U)) % U(bits)
 
@@ -60,7 +68,7 @@ class Writer:
         self.at = self.ids = 0
         self.rows: list[bytes] = []
         self.index: list[bytes] = []
-        self.keys: list[bytes] = []
+        self.keys = array("Q")  # a number for each key, for the filter
         self.size = 0
         self.last = b""
 
@@ -72,7 +80,7 @@ class Writer:
         self.rows.append(ENTRY.pack(shared, len(key) - shared, len(value)) + key[shared:] + value)
         self.size += len(self.rows[-1])
         self.last = key
-        self.keys.append(key)
+        self.keys.append(_number(key))
         self.ids += len(ids)
         if self.size >= BLOCK:
             self._flush()
@@ -91,8 +99,9 @@ class Writer:
         index = b"".join(self.index)
         bits = max(64, len(self.keys) * BLOOM_BITS)
         bloom = np.zeros(bits, bool)
-        if self.keys:
-            bloom[_bloom_places(self.keys, bits).ravel().astype(np.int64)] = True
+        keys = np.frombuffer(self.keys, U)
+        for lo in range(0, len(keys), 100_000):
+            bloom[_bloom_places(keys[lo : lo + 100_000], bits).ravel().astype(np.int64)] = True
         packed = np.packbits(bloom).tobytes()
         self.sink.write(index + struct.pack("<Q", bits) + packed)
         self.sink.write(FOOTER.pack(self.at, len(index), self.at + len(index), len(packed) + 8, len(self.keys), self.ids, self.width, MAGIC))
@@ -132,7 +141,7 @@ class Shard:
         raw = self.source.read_at(self.b_len, self.b_at)
         bits = struct.unpack_from("<Q", raw)[0]
         bloom = np.unpackbits(np.frombuffer(raw, np.uint8, offset=8))
-        return bool(bloom[_bloom_places([key], bits).astype(np.int64)].all())
+        return bool(bloom[_bloom_places(np.array([_number(key)], U), bits).astype(np.int64)].all())
 
     def get(self, key: bytes) -> list[np.ndarray]:
         """The values of a key: none, one, or several where documents share an id."""
@@ -160,9 +169,10 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             how = json.load(f)
+        #: Strings that the tokenizer takes out of a text before it is split; texts with one are encoded whole.
+        self.added = [t["content"] for t in how.get("added_tokens") or []]
         split = how.get("pre_tokenizer") or {}
         self.by_piece = how.get("normalizer") is None and split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
         self.kept: dict[str, bytes] = {}
@@ -173,13 +183,23 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
+        texts = [t or "" for t in texts]
         if not self.by_piece:
-            return self._all([t or "" for t in texts])
+            return self._all(texts)
+        whole = [i for i, t in enumerate(texts) if any(a in t for a in self.added)]
+        if whole:
+            special = set(whole)
+            out = iter(self._all([texts[i] for i in whole]))
+            rest = iter(self._pieces([t for i, t in enumerate(texts) if i not in special]))
+            return [next(out) if i in special else next(rest) for i in range(len(texts))]
+        return self._pieces(texts)
+
+    def _pieces(self, texts: list[str]) -> list[bytes]:
         if len(self.kept) > KEPT:
             self.kept.clear()
         kept, rows, new = self.kept, [], set()
         for t in texts:
-            pieces = _PIECE.findall(t or "")
+            pieces = _PIECE.findall(t)
             found = list(map(kept.get, pieces))
             missing = [k for k, f in enumerate(found) if f is None]
             new.update([pieces[k] for k in missing])
@@ -228,28 +248,44 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2,
     """Encodes docs (null texts: empty) with end_id after each and writes shards in ascending order of id_col to folder; returns part, file, docs, ids of each shard.
 
     One range shuffle of the texts puts ids in order; texts, not ids, are shuffled, since they are smaller. Rows that
-    share an id stand side by side, by a hash of their text. An empty table gives no shard.
+    share an id (or have none) stand side by side, by a hash of their text, which also cuts the ranges, so that an id of
+    a third of the rows fills several shards. The number of shards follows the bytes of text. An empty table gives none.
+    Texts that hold a special token's string are encoded as the library does with add_special_tokens=False: the string
+    becomes that token.
     """
     store, path = fs.FileSystem.from_uri(folder)
     store.create_dir(path)
-    ordered = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")).repartitionByRange(F.col("_id").asc_nulls_first()).sortWithinPartitions(F.col("_id").asc_nulls_first(), F.xxhash64("_text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
+    total = rows.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
+    small = min(4 * docs.sparkSession.sparkContext.defaultParallelism, -(-total // SMALL_BYTES))
+    n = max(1, small, -(-total // SHARD_BYTES))
+    order = [F.col("_id").asc_nulls_first(), F.xxhash64("_text")]
+    ordered = rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
     return stored(ordered.mapInArrow(_writing(folder, tokenizer, end_id), "part long, file string, docs long, ids long"), TEXT_ROWS)
 
 
 def read_shards(spark: SparkSession, folder: str, shards: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32, shard of each document, from the shards' files: one task's work is a file."""
 
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
+        names = ["doc_id", "start", "n_tokens", "ids_crc32", "shard"]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, path = fs.FileSystem.from_uri(folder)
-        for batch in batches:
-            for name, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                rows = []
+        rows = []
+        for files in batches:
+            for name, start in zip(files.column(0).to_pylist(), files.column(1).to_pylist(), strict=True):
                 with store.open_input_file(f"{path}/{name}") as f:
                     for key, ids in Shard(f).scan():
                         rows.append((id_of(key), start, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), name))
                         start += len(ids)
-                for lo in range(0, len(rows), 10_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[lo : lo + 10_000], strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True)], ["doc_id", "start", "n_tokens", "ids_crc32", "shard"])
+                        if len(rows) == READ_ROWS:
+                            yield batch(rows)
+                            rows = []
+        if rows:
+            yield batch(rows)
 
     before = F.coalesce(F.sum("ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # one row for each shard
     n = max(1, shards.count())

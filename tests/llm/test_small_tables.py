@@ -259,14 +259,17 @@ def test_toxicity(spark):
     assert toxicity.score(empty(spark), model).count() == 0
 
 
-def test_shards(spark, tmp_path):
+@pytest.mark.parametrize("small", [4 << 20, 2000])
+def test_shards(spark, tmp_path, small, monkeypatch):
+    """Against the plain library; also with many small shards, over which rows of one id are spread."""
+    monkeypatch.setattr(sstable, "SMALL_BYTES", small)
+    monkeypatch.setattr(sstable, "READ_ROWS", 37)
     import numpy as np
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(tokenizer_path())
-    t.encode_special_tokens = True
     r = random.Random(7)
-    rows = [*TEXTS, (4, "dieselbe id"), (-5, "negativ"), *[(i, "".join(r.choice(["a", " ", "  ", "\n", "É", "'s", "1", ".", "　", "ж", "<|endoftext|>"]) for _ in range(40))) for i in range(1000, 1400)]]
+    rows = [*TEXTS, (4, "dieselbe id"), (-5, "negativ"), *[(i, "".join(r.choice(["a", " ", "  ", "\n", "É", "'s", "1", ".", "　", "ж", "<|endoftext|>" if i % 2 else "<|end|>"]) for _ in range(40))) for i in range(1000, 1400)], (6000, "ab <|endoftext|> cd"), *[(7000, f"dieselbe {i}") for i in range(300)]]
     folder = f"file://{tmp_path}/sst"
     df = docs(spark, rows)
     shards = sstable.write_shards(df, folder, tokenizer_path())
@@ -282,8 +285,10 @@ def test_shards(spark, tmp_path):
         assert x.start == start
         start += x.n_tokens
     assert [x.doc_id for x in sorted(got, key=lambda x: x.start)] == sorted((i for i, _ in rows), key=lambda i: (i is not None, i or 0))
+    assert {x.n_tokens for x in got if x.doc_id == 6000} == {5} and t.encode("ab <|endoftext|> cd", add_special_tokens=False).ids == [397, 220, 50256, 22927]
     names = [s.file for s in shards.orderBy("part").collect()]
-    for i in (None, -5, 4, 1200, 99999):
+    assert (len(names) > 1) == (small == 2000)
+    for i in (None, -5, 4, 1200, 7000, 99999):
         assert sorted(v.tolist() for v in sstable.lookup(folder, names, i)) == sorted(ids.get(i, []))
     assert sstable.encode_table(empty(spark), tokenizer_path()).count() == 0
 
