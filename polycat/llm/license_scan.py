@@ -6,95 +6,76 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from polycat.llm.common import ascii_lower
+from polycat.llm.license_texts import DIGESTS, LICENSES
 
 # Spellings that count as the same, replaced wherever they stand, in this order.
-SAME = [("licenc", "licens"), ("isation", "ization"), ("authoris", "authoriz"), ("recognis", "recogniz"), ("avour", "avor"), ("ehaviour", "ehavior"), ("whilst", "while"), ("acknowledgement", "acknowledgment"), ("judgement", "judgment"), ("noninfringement", "non infringement"), ("copyright owner", "copyright holder"), ("https", "http")]
-
-# Texts of well-known licences and the usual one-line notices.
-LICENSES = {
-    "MIT": """MIT License
-
-Copyright (c) <year> <copyright holders>
-
-Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
-
-The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
-
-THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
-    "ISC": """ISC License
-
-Copyright (c) <year> <owner>
-
-Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
-
-THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
-    "0BSD": """BSD Zero Clause License
-
-Copyright (c) <year> <owner>
-
-Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.
-
-THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
-    "Zlib": """zlib License
-
-Copyright (c) <year> <copyright holders>
-
-This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.
-
-Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:
-
-1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
-2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
-3. This notice may not be removed or altered from any source distribution.""",
-    "BSD-2-Clause": """BSD 2-Clause License
-
-Copyright (c) <year>, <owner>
-
-Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
-
-1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
-
-2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+SAME = [
+    ("licenc", "licens"),
+    ("isation", "ization"),
+    ("authoris", "authoriz"),
+    ("recognis", "recogniz"),
+    ("organis", "organiz"),
+    ("avour", "avor"),
+    ("ehaviour", "ehavior"),
+    ("whilst", "while"),
+    ("fulfil ", "fulfill "),
+    ("acknowledgement", "acknowledgment"),
+    ("judgement", "judgment"),
+    ("noninfringement", "non infringement"),
+    ("merchantibility", "merchantability"),
+    ("sub license", "sublicense"),
+    ("copyright owner", "copyright holder"),
+    ("https", "http"),
+]
 
-THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
-    "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
-    "MIT-notice": "Released under the MIT License.",
-    "GPL-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
-    "CC-BY-NC-4.0-notice": "Licensed under CC BY-NC 4.0.",
-}
+#: A copyright notice: its mark, then the rest of its line, which is short, or what comes before the first words of a
+#: licence where a text has lost its line breaks.
+MARK = r"(copyright[ \t]*(\(c\)|©|<|\[|[0-9]{4}|the regents)|\(c\)[ \t]*[0-9]{4}|©[ \t]*[0-9]{4})"
+OPENINGS = "permission is hereby granted|permission to use|redistribution and use|this software is provided|this is free and unencumbered"
 
-#: Steps of the canonical form: pattern and replacement, each applied to all matches, in this order.
+#: Steps of the canonical form: pattern, and the number of the group that stays in place of each match or None for a
+#: space. Each is applied to all matches, in this order.
 STEPS = [
-    (r"(^|\n)[^\n]*(copyright \(c\)|copyright ©|© |all rights reserved|copyright [0-9]{4}|copyright <)[^\n]*", "\n"),
-    (r"(^|\n)[ \t#*/;]*(the )?(mit|isc|zlib|bsd [a-z0-9-]+( clause)?) licen[sc]e[ \t:.]*(\n|$)", "\n"),
-    (r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "),
+    (MARK + r"[^\n]{0,120}?(\n|$|" + OPENINGS + ")", 3),
+    (r"all[ \t]+rights[ \t]+reserved", None),
+    (r"(^|\n)[ \t*#/;-]*([0-9]{1,2}|[a-z])[.)][ \t]+", 1),
+    (r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", None),
+    (r"^ ?(the )?(mit no attribution|(mit|isc|zlib|boost software|bsd ([0-9]|zero) clause) licen[sc]e)( version 1 0 august 17th 2003)? ((mit|isc|zlib) )?", None),
 ]
 
 
 def canonical(text: Column) -> Column:
-    """Lower-cased (A-Z), without copyright lines, titles and punctuation, one space between words, equivalent spellings made one."""
+    """Lower-cased (A-Z), without copyright notices, list marks, titles of short licences and punctuation, one space between words, equivalent spellings made one."""
     out = ascii_lower(F.coalesce(text, F.lit("")))
-    for pattern, put in STEPS:
-        out = F.regexp_replace(out, pattern, put)
+    for pattern, stays in STEPS:
+        out = F.regexp_replace(out, pattern, f"${stays}" if stays else " ")
     for old, new in SAME:
         out = F.replace(out, F.lit(old), F.lit(new))
     return F.trim(out)
 
 
+def digests(licenses: DataFrame) -> DataFrame:
+    """license_id, digest of licenses (license_id, license_text); those without any word have none, and the smallest id stands for equal texts."""
+    words = licenses.select("license_id", canonical(F.col("license_text")).alias("_c")).where("_c != ''")
+    return words.groupBy(F.sha2("_c", 256).alias("digest")).agg(F.min("license_id").alias("license_id")).select("license_id", "digest")
+
+
 def known_licenses(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(LICENSES.items()), "license_id string, license_text string")
+    """license_id, digest of the licences that the library knows."""
+    texts = spark.createDataFrame(list(LICENSES.items()), "license_id string, license_text string")
+    return digests(texts).union(spark.createDataFrame(list(DIGESTS.items()), "license_id string, digest string"))
 
 
-def scan_licenses(docs: DataFrame, licenses: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan_licenses(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id_col, digest, license_id (null: no known licence) for each row of docs.
 
-    The digest is the SHA-256 of the canonical whole text; equal digests join. licenses (license_id, license_text) may
-    hold a text twice, then the smallest id counts; those without any word are not looked up, so null, empty and
-    wordless texts never match. Repeated rows and null ids pass through.
+    The digest is the SHA-256 of the canonical whole text; equal digests join. known: (license_id, digest), each digest
+    once, as digests() makes them from texts. Null, empty and wordless texts have the digest of no words, which no
+    licence has, so they never match; very long texts are canonicalized whole. Repeated rows and null ids pass through,
+    each with its own answer; an empty table gives no rows.
 
     Plan: one scan, no shuffle of texts; the licence side holds one digest for each licence and is left to Catalyst to
     broadcast or shuffle by its size. Few distinct digests match, and a hot one is on the broadcast join's large side.
     """
-    known = licenses.select("license_id", canonical(F.col("license_text")).alias("_c")).where("_c != ''").groupBy(F.sha2("_c", 256).alias("digest")).agg(F.min("license_id").alias("license_id"))
     out = docs.select(F.col(id_col), F.sha2(canonical(F.col(text_col)), 256).alias("digest"))
     return out.join(known, "digest", "left").select(id_col, "digest", "license_id")

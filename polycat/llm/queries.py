@@ -67,23 +67,26 @@ def queries() -> dict:
     return {f.__name__: f for f in (op1_neighbours, op2_license_scan, op3_ngram_scores, op4_mixing, op5_toxicity, op6_near_duplicates, op7_token_shards, op8_line_dedup, op9_decontaminate, op10_secret_scan)}
 
 
+def _quoted(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
 def _canonical_sql(text: str) -> str:
     out = LOWER.format(f"coalesce({text}, '')")
-    quote = lambda s: "'" + s.replace("'", "''") + "'"
-    for pattern, put in license_scan.STEPS:
-        out = f"regexp_replace({out}, {quote(pattern)}, {quote(put) if put.strip() or put == ' ' else 'chr(10)'}, 'g')"
+    for pattern, stays in license_scan.STEPS:
+        out = f"regexp_replace({out}, {_quoted(pattern)}, {_quoted(f'{chr(92)}{stays}' if stays else ' ')}, 'g')"
     for old, new in license_scan.SAME:
-        out = f"replace({out}, {quote(old)}, {quote(new)})"
+        out = f"replace({out}, {_quoted(old)}, {_quoted(new)})"
     return f"trim({out})"
 
 
 def oracle_sql() -> dict[str, str]:
-    quote = lambda s: "'" + s.replace("'", "''") + "'"
-    rows = ", ".join(f"({quote(k)}, {quote(v)})" for k, v in license_scan.LICENSES.items())
+    texts = ", ".join(f"({_quoted(k)}, {_quoted(v)})" for k, v in license_scan.LICENSES.items())
+    digests = ", ".join(f"({_quoted(v)}, {_quoted(k)})" for k, v in license_scan.DIGESTS.items())
     white = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
     return {
         "op2_license_scan": f"""
-with known as (select sha256({_canonical_sql("t")}) digest, min(i) license_id from (values {rows}) v(i, t) group by 1),
+with known as (select sha256({_canonical_sql("t")}) digest, min(i) license_id from (values {texts}) v(i, t) group by 1 union all select * from (values {digests}) w(digest, i)),
 d as (select doc_id, sha256({_canonical_sql("text")}) digest from documents)
 select doc_id, digest, license_id, license_id is not null as matched from d left join known using (digest)""",
         "op6_near_duplicates": f"""
