@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from polycat.llm.common import TEXT_ROWS, stored
+from polycat.llm.common import TEXT_ROWS, numbered, stored
 from polycat.llm.text import U, mix, slices, word_hashes
 
 #: Hash of the end of a document, which is also what comes before its first word.
@@ -20,7 +22,12 @@ STEPS = {1: 4, 2: 2}
 #: Bits of the filter for each key, and bits set for a key in its 64-bit block.
 KEY_BITS, KEY_SET = 12, 5
 #: Bytes of the filter that are broadcast at once; more are read in several passes.
-FILTER_BYTES = 128 << 20
+FILTER_BYTES = 80 << 20
+#: Bytes of training text for each segment of the model. A text of n bytes has fewer than n tokens, so that a segment's
+#: n-grams of one order, dealt by hash, and its piece of the filter are of bounded size however large the corpus is.
+SEGMENT_BYTES = 8 << 20
+#: Counts that come to a task before it sums those of equal keys, and cells that it gets at once.
+HELD, CELLS = 4_000_000, 64
 #: Words whose exact counts are broadcast for the base score; rarer ones are joined by a shuffle.
 HEAD = 1 << 20
 #: Weight of the word's own probability against the pair's count: MU, and SHARE times the count of what stands before.
@@ -67,7 +74,7 @@ def _places(keys: np.ndarray, level: int | np.ndarray, blocks: np.ndarray) -> tu
     return h % blocks, mask
 
 
-def _counting(segments: int):
+def _counting(segments: int, gather: int):
     """mapInArrow function over texts: sums of n-grams, cut by segment; all n-grams of a segment in one cell."""
 
     def cells(order: int, keys: np.ndarray) -> Iterator[tuple]:
@@ -92,7 +99,7 @@ def _counting(segments: int):
                 one.append(words)
                 two.append(pair_hashes(words, before))
                 size += len(data)
-                if size >= GATHER:
+                if size >= gather:
                     yield batch_of(one, two)
                     one, two, size = [], [], 0
         if one:
@@ -101,28 +108,62 @@ def _counting(segments: int):
     return run
 
 
-def _merge(t: pa.Table) -> pa.Table:
-    """Sums of all cells of one segment and order, and its piece of the filter."""
-    order, segment = t.column("order")[0].as_py(), t.column("segment")[0].as_py()
-    keys = [np.frombuffer(b, U) for b in t.column("keys").to_pylist()]
-    counts = [np.frombuffer(b, np.uint8 if len(b) == len(k) else np.uint32) for b, k in zip(t.column("n").to_pylist(), keys, strict=True)]
-    keys, counts = np.concatenate(keys), np.concatenate(counts).astype(np.int64)
-    by = np.argsort(keys)
-    keys, counts = keys[by], counts[by]
-    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-    keys, counts = keys[first], np.add.reduceat(counts, first)
+MODEL = "segment int, order int, filter binary, bytes long, types long, tokens long, keys binary, n binary"
+
+
+def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and their sums."""
+    k, n = np.concatenate(keys), np.concatenate(counts)
+    by = np.argsort(k)
+    k, n = k[by], n[by]
+    first = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
+    return k[first], np.add.reduceat(n, first)
+
+
+def piece(keys: np.ndarray, counts: np.ndarray, order: int, key_bits: int = KEY_BITS) -> np.ndarray:
+    """The filter's blocks for keys of one order with their counts: every level from 1 to a key's own is set."""
     q = levels(counts, order)
-    blocks = max(1, -(-int(q.sum()) * KEY_BITS // 64))
+    blocks = max(1, -(-int(q.sum()) * key_bits // 64))
     filled = np.zeros(blocks, U)
-    level = 1
-    at = np.arange(len(keys))
+    level, at = 1, np.arange(len(keys))
     while len(at):
         place, mask = _places(keys[at], level, U(blocks))
         np.bitwise_or.at(filled, place.astype(np.int64), mask)
         level += 1
         at = at[q[at] >= level]
-    exact = order == 1
-    return pa.table({"segment": pa.array([segment], pa.int32()), "order": pa.array([order], pa.int32()), "filter": pa.array([filled.tobytes()], pa.binary()), "bytes": pa.array([filled.nbytes], pa.int64()), "types": pa.array([len(keys)], pa.int64()), "tokens": pa.array([int(counts.sum())], pa.int64()), "keys": pa.array([keys.tobytes() if exact else b""], pa.binary()), "n": pa.array([counts.tobytes() if exact else b""], pa.binary())})
+    return filled
+
+
+def _merge(key_bits: int, most: int):
+    """mapInArrow function over cells sorted by segment and order: each one's sums and piece of the filter. Cells come a few at a time and equal keys are summed whenever `most` of them, and as many as are summed already, have come."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, keys, counts, pending = None, [], [], 0
+
+        def row() -> pa.RecordBatch:
+            k, n = _summed(keys, counts)
+            filled, exact = piece(k, n, now[1], key_bits), now[1] == 1  # exact counts of words serve the base score
+            values = (now[0], now[1], filled.tobytes(), filled.nbytes, len(k), int(n.sum()), k.tobytes() if exact else b"", n.tobytes() if exact else b"")
+            kinds = (pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+            names = ["segment", "order", "filter", "bytes", "types", "tokens", "keys", "n"]
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, kinds, strict=True)], names)
+
+        for batch in batches:
+            for segment, order, k, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if now != (segment, order):
+                    if now is not None:
+                        yield row()
+                    now, keys, counts, pending = (segment, order), [], [], 0
+                keys.append(np.frombuffer(k, U))
+                counts.append(np.frombuffer(n, np.uint8 if 8 * len(n) == len(k) else np.uint32).astype(np.int64))
+                pending += len(keys[-1])
+                if pending >= max(most, len(keys[0])) and len(keys) > 1:
+                    k, n = _summed(keys, counts)
+                    keys, counts, pending = [k], [n], 0
+        if now is not None:
+            yield row()
+
+    return run
 
 
 class Filter:
@@ -152,10 +193,16 @@ class Filter:
         return q
 
 
+def segments_for(docs: DataFrame, text_col: str = "text") -> int:
+    """How many segments the model of docs needs: one for every SEGMENT_BYTES of text."""
+    return max(1, -(-(docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0) // SEGMENT_BYTES))
+
+
 def train(docs: DataFrame, segments: int, text_col: str = "text") -> DataFrame:
-    """The model's segments as a stored table. Every n-gram of every text is counted: sums are made where the text is read and merged after one shuffle of whole cells, so that a frequent n-gram is one entry of each of them."""
-    cells = docs.select(text_col).mapInArrow(_counting(segments), "segment int, order int, keys binary, n binary")
-    return stored(cells.groupBy("segment", "order").applyInArrow(_merge, "segment int, order int, filter binary, bytes long, types long, tokens long, keys binary, n binary"), TEXT_ROWS)
+    """The model's segments as a stored table. Every n-gram of every text is counted: sums are made where the text is read and merged after one shuffle of cells, so that a frequent n-gram is one entry of each of them."""
+    cells = docs.select(text_col).mapInArrow(_counting(segments, GATHER), "segment int, order int, keys binary, n binary")
+    ordered = cells.repartition(segments, "segment", "order").sortWithinPartitions("segment", "order")
+    return stored(ordered.mapInArrow(_merge(KEY_BITS, HELD), MODEL), CELLS)
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,7 +212,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _passes(pieces: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int]]]:
-    """(order, segment, bytes) in groups of FILTER_BYTES at most, a larger piece alone."""
+    """(order, segment, bytes) in groups of FILTER_BYTES at most; pieces are smaller than that by SEGMENT_BYTES."""
     out, size = [[]], 0
     for order, segment, n in sorted(pieces):
         if out[-1] and size + n > FILTER_BYTES:
@@ -181,37 +228,66 @@ def score(docs: DataFrame, model: DataFrame, segments: int, id_col: str = "doc_i
 
     base_score uses exact counts: those of the most frequent words (HEAD of them at most) are broadcast, further words
     are shuffled to their counts. score is the sum of log10 of (c(v w) + m p(w)) / (c(v) + m) with m = MU + SHARE c(v),
-    p(w) = (c(w) + 0.1) / (N + 0.1 (V + 1)), v the token before w, and counts c as the filter has them. A filter of more than FILTER_BYTES
-    is broadcast piece by piece; each pass fills in the levels of its own n-grams. Null and empty texts are one end.
+    p(w) = (c(w) + 0.1) / (N + 0.1 (V + 1)), v the token before w, and counts c as the filter has them, a pair's no
+    larger than those of its two words. Null and empty texts are one end and very long ones are scored whole; ids of any
+    kind, nulls and repeated rows pass through, each with its own score; an empty table gives none.
+
+    A filter of more than FILTER_BYTES is broadcast in pieces. Each pass but the last writes the levels that it finds,
+    not the texts, and the last pass meets them by row.
     """
     spark = docs.sparkSession
     sizes = [tuple(r) for r in model.select("order", "segment", "bytes").collect()]  # one row for each segment and order
     n_all, types = (model.where("order = 1").agg(F.sum("tokens"), F.sum("types")).first() if sizes else (0, 0))
     n_all, types = n_all or 0, types or 0
     divisor = n_all + 0.1 * (types + 1)
-    words = stored(model.where("order = 1").select("keys", "n").mapInArrow(_word_counts, "_word long, _c long"))
+    words = stored(model.where("order = 1").select("keys", "n").mapInArrow(_word_counts, "_word long, _c long"), CELLS // 16)
     head = words.orderBy(F.desc("_c"), "_word").limit(HEAD).toArrow().combine_chunks()
     known = np.asarray(head["_word"]).view(U)
     by = np.argsort(known)
     exact = spark.sparkContext.broadcast((known[by], np.asarray(head["_c"])[by]))
-    groups = _passes(sizes)
+    *earlier, last = _passes(sizes)
 
     def loaded(group):
         want = spark.createDataFrame(group or [(0, -1, 0)], "order int, segment int, bytes long").select("order", "segment")
         rows = model.join(F.broadcast(want), ["order", "segment"]).select("order", "segment", "filter").toLocalIterator()
         return spark.sparkContext.broadcast(Filter(rows, sum(n for _, _, n in group), segments))
 
-    texts = docs.select(F.col(text_col).alias("_text"), F.lit(None).cast("binary").alias("_levels"), F.col(id_col).alias("_id"), *keep)
-    for group in groups[:-1]:
-        texts = stored(texts.mapInArrow(_levels_of(loaded(group)), texts.schema), TEXT_ROWS)
-    final = _scoring(loaded(groups[-1]), exact, divisor)
+    texts = docs.select(F.col(text_col).alias("_text"), F.col(id_col).alias("_id"), *keep)
+    if earlier:
+        texts = numbered(texts, "_own")
+        parts = []
+        for group in earlier:
+            sent = loaded(group)
+            parts.append(stored(texts.select("_text", "_own").mapInArrow(_levels_of(sent), LEVELS), TEXT_ROWS))
+            sent.unpersist()
+        found = reduce(DataFrame.union, parts).repartition("_own").sortWithinPartitions("_own").mapInArrow(_joined, LEVELS)
+        texts = texts.join(stored(found, TEXT_ROWS), "_own")
+    else:
+        texts = texts.withColumn("_levels", F.lit(None).cast("binary"))
+    texts = texts.select("_text", "_levels", "_id", *keep)
+    sent = loaded(last)
     names = [f for f in texts.schema if f.name not in ("_text", "_levels")]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in names)
-    rows = stored(texts.mapInArrow(final, f"{schema}, _row long, n_tokens long, _known long, _base double, score double, _word long, _times long"), TEXT_ROWS)
+    final = texts.mapInArrow(_scoring(sent, exact, divisor), f"{schema}, _row long, n_tokens long, _known long, _base double, score double, _word long, _times long")
+    rows = stored(final, TEXT_ROWS)
+    for b in (sent, exact):
+        b.unpersist()
     rare = rows.where("_word is not null").select("_row", "_word", "_times").join(words, "_word", "left").withColumn("_c", F.coalesce("_c", F.lit(0)))
-    rare = rare.groupBy("_row").agg(F.sum(F.col("_times") * F.log10((F.col("_c") + 0.1) / divisor)).alias("_more"), F.sum(F.when(F.col("_c") > 0, F.col("_times")).otherwise(0)).alias("_also"))
+    more = F.sum(F.col("_times") * F.log10((F.col("_c") + 0.1) / divisor)).alias("_more")
+    rare = rare.groupBy("_row").agg(more, F.sum(F.when(F.col("_c") > 0, F.col("_times")).otherwise(0)).alias("_also"))
     out = rows.where("_word is null").join(rare, "_row", "left")
-    return out.select(F.col("_id").alias(id_col), *keep, "n_tokens", (F.col("_known") + F.coalesce("_also", F.lit(0))).alias("n_known"), F.lit(n_all).cast("long").alias("train_tokens"), (F.col("_base") + F.coalesce("_more", F.lit(0.0))).alias("base_score"), "score")
+    return out.select(
+        F.col("_id").alias(id_col),
+        *keep,
+        "n_tokens",
+        (F.col("_known") + F.coalesce("_also", F.lit(0))).alias("n_known"),
+        F.lit(n_all).cast("long").alias("train_tokens"),
+        (F.col("_base") + F.coalesce("_more", F.lit(0.0))).alias("base_score"),
+        "score",
+    )
+
+
+LEVELS = "_own long, _levels binary"
 
 
 def _probe(filter_: Filter, words: np.ndarray, before: np.ndarray) -> np.ndarray:
@@ -226,24 +302,50 @@ def _earlier(found: np.ndarray, cells: list, counts: np.ndarray) -> np.ndarray:
     if cells and cells[0] is not None:
         at = np.cumsum(counts)
         for c, hi, n in zip(cells, at, counts, strict=True):
-            found[:, hi - n : hi] = np.maximum(found[:, hi - n : hi], np.frombuffer(c, np.uint8).reshape(3, -1))
+            found[:, hi - n : hi] = np.maximum(found[:, hi - n : hi], np.frombuffer(zlib.decompress(c), np.uint8).reshape(3, -1))
     return found
 
 
 def _levels_of(sent):
+    """mapInArrow function over texts and their rows' keys: levels that some pieces of the filter know, 0 for all other tokens."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, off, data in slices(batch.column(0)):
                 words, before, counts = tokens(off, data)
-                found = _earlier(_probe(sent.value, words, before), batch.column(1).slice(lo, hi - lo).to_pylist(), counts)
-                at = np.cumsum(counts)
-                cells = pa.array([found[:, b - n : b].tobytes() for b, n in zip(at, counts, strict=True)], pa.binary())
-                rest = batch.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays([rest.column(0), cells, *rest.columns[2:]], batch.schema.names)
+                found, at = _probe(sent.value, words, before), np.cumsum(counts)
+                cells = [zlib.compress(found[:, b - n : b].tobytes(), 1) for b, n in zip(at, counts, strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(1).slice(lo, hi - lo), pa.array(cells, pa.binary())], ["_own", "_levels"])
 
     return run
 
 
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """mapInArrow function over levels sorted by row: the largest that any pass found, one row each."""
+    own, best = None, None
+    for batch in batches:
+        keys, cells = [], []
+        for k, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            x = np.frombuffer(zlib.decompress(c), np.uint8)
+            if k != own:
+                if own is not None:
+                    keys.append(own)
+                    cells.append(zlib.compress(best.tobytes(), 1))
+                own, best = k, x
+            else:
+                best = np.maximum(best, x)
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(cells, pa.binary())], ["_own", "_levels"])
+    if own is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([own], pa.int64()), pa.array([zlib.compress(best.tobytes(), 1)], pa.binary())], ["_own", "_levels"])
+
+
+def token_scores(found: np.ndarray, divisor: float) -> np.ndarray:
+    """log10 of each token's probability by the levels of its word, of the token before and of the pair."""
+    word, context = values(found[0].astype(int), 1), values(found[1].astype(int), 1)
+    pair = np.minimum(values(found[2].astype(int), 2), np.minimum(word, context))
+    return np.log10((pair + (MU + SHARE * context) * (word + 0.1) / divisor) / (context * (1 + SHARE) + MU))
+
+
 def _scoring(sent, exact, divisor: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 33
@@ -253,9 +355,7 @@ def _scoring(sent, exact, divisor: float):
                 words, before, counts = tokens(off, data)
                 found = _earlier(_probe(sent.value, words, before), batch.column(1).slice(lo, hi - lo).to_pylist(), counts)
                 first = np.cumsum(counts) - counts
-                p = (values(found[0].astype(int), 1) + 0.1) / divisor
-                context = values(found[1].astype(int), 1)
-                each = np.log10((values(found[2].astype(int), 2) + (MU + SHARE * context) * p) / (context * (1 + SHARE) + MU))
+                each = token_scores(found, divisor)
                 ids = np.arange(row, row + hi - lo)
                 row += hi - lo
                 kinds, back = np.unique(words, return_inverse=True)
@@ -285,6 +385,7 @@ def held_out(doc_id) -> F.Column:
 
 def score_corpus(docs: DataFrame) -> DataFrame:
     """Trains on the documents that aren't held out and scores all: score()'s columns with held_out."""
-    segments = max(16, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     docs = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
-    return score(docs, train(docs.where("not held_out"), segments), segments, keep=("held_out",))
+    known = docs.where("not held_out")
+    segments = segments_for(known)
+    return score(docs, train(known, segments), segments, keep=("held_out",))

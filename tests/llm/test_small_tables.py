@@ -186,43 +186,6 @@ def test_mixing_runs(spark, monkeypatch):
         assert abs(sum(x.copies * 3 for x in rows) - rows[0].target) <= 3
 
 
-@pytest.mark.parametrize("cap", [128 << 20, 2000])
-def test_ngram_base(spark, cap, monkeypatch):
-    """Exact base scores; the filter's scores are the same when it is read in several passes, and with few words broadcast."""
-    import collections
-    import math
-
-    monkeypatch.setattr(ngram, "FILTER_BYTES", cap)
-    monkeypatch.setattr(ngram, "HEAD", 5 if cap < 10**4 else ngram.HEAD)
-    r = random.Random(3)
-    rows = [(i, " ".join(r.choice(["A", "b", "c", "d e", "Éf"]) for _ in range(r.randint(0, 50)))) for i in range(80)] + [(80 + i, t) for i, (_, t) in enumerate(TEXTS)] + [(None, "a b")]
-    split = lambda t: [*re.findall(r"[^\x20\x09-\x0D]+", low(t or "")), None]
-    held = {i: i is not None and zlib.crc32(str(i).encode()) % 10 == 0 for i, _ in rows}
-    c = collections.Counter(w for i, t in rows if not held[i] for w in split(t))
-    n = sum(c.values())
-    got = {x.doc_id: x for x in ngram.score_corpus(docs(spark, rows)).collect()}
-    assert len(got) == len(rows)
-    for i, t in rows:
-        base = sum(math.log10((c.get(w, 0) + 0.1) / (n + 0.1 * (len(c) + 1))) for w in split(t))
-        assert got[i].base_score == pytest.approx(base) and got[i].n_tokens == len(split(t)) and got[i].n_known == sum(c.get(w, 0) > 0 for w in split(t))
-        assert got[i].train_tokens == n and got[i].held_out == held[i] and got[i].score < 0
-    key = round(sum(x.score for x in got.values()), 6)
-    scores = getattr(test_ngram_base, "seen", key)
-    test_ngram_base.seen = key
-    assert scores == key
-    assert ngram.score_corpus(empty(spark)).count() == 0
-
-
-def test_ngram_filter_levels():
-    import numpy as np
-
-    counts = np.arange(1, 3000)
-    for order in (1, 2):
-        q = ngram.levels(counts, order)
-        assert np.all(np.abs(np.log2(ngram.values(q, order) / counts)) <= 1 / ngram.STEPS[order])
-    assert ngram.values(np.array([0]), 1)[0] == 0
-
-
 def test_toxicity(spark):
     r = random.Random(5)
     word = lambda: "".join(r.choice("abcdefgh") for _ in range(6))
