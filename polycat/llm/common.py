@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import string
 import tempfile
 import uuid
@@ -24,13 +25,15 @@ def ascii_lower(c: Column) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where the session names none, as in tests."""
-    given = spark.conf.get("spark.checkpoint.dir", None)
-    if given:
-        return given.rstrip("/")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="polycat-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    """The folder that driver and executors share. Where the session names none, a temporary one will do if all of Spark is one process, as in tests; on a cluster that raises."""
+    given = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not given:
+        if not re.fullmatch(r"local(\[[^,]*(,.*)?\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        given = f"file://{tempfile.mkdtemp(prefix='spark-')}"
+        spark.sparkContext.setCheckpointDir(given)
+        given = spark.sparkContext.getCheckpointDir()
+    return given.rstrip("/")
 
 
 #: Rows of texts or sets that are handed to Python at once; Spark's 10,000 take hundreds of MB beside the heap.
@@ -52,7 +55,17 @@ def stored(df: DataFrame, arrow_rows: int | None = None) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(_ROWS, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Deletes tables that stored() wrote, once nothing that is still to be computed reads them."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

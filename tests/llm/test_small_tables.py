@@ -131,11 +131,27 @@ def test_near_duplicates_edges(spark):
     assert len(got) == 2 * len(TEXTS)
     assert {x.component_id for x in got if x.doc_id in (4, 5)} == {4}
     assert all(x.kept and x.n_shingles == 0 for x in got if x.doc_id in (0, 1, 2))
+    shared = [(9, "a b c d e f g h"), (9, "ganz andere worte stehen hier ohne jeden bezug"), (7, "ganz andere worte stehen hier ohne jeden bezug"), (3, "A B C D E F G H")]
+    got = minhash.near_duplicates(docs(spark, shared), words=4).collect()
+    assert sorted((x.doc_id, x.component_id) for x in got) == [(3, 3), (7, 7), (9, 3), (9, 7)]
     assert minhash.near_duplicates(empty(spark)).count() == 0
     left = minhash.drop_near_duplicates(docs(spark)).collect()
     assert sorted(x.doc_id for x in left if x.doc_id is not None) == [0, 1, 2, 3, 4, 6, 7, 8]
 
 
+def test_shared_folder(spark):
+    from types import SimpleNamespace
+
+    from polycat.llm.common import shared_dir
+
+    unset = SimpleNamespace(get=lambda *_: None)
+    context = lambda master: SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=lambda _: None)
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]", "k8s://x"):
+        with pytest.raises(ValueError, match="checkpoint"):
+            shared_dir(SimpleNamespace(conf=unset, sparkContext=context(master)))
+    assert shared_dir(SimpleNamespace(conf=SimpleNamespace(get=lambda *_: "hdfs://x/y/"))) == "hdfs://x/y"
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(200)] + [(500, i) for i in range(501, 600)] + [(700, 700)]
     got = {r.id: r.component for r in graph.components(spark.createDataFrame(links, "a long, b long")).collect()}
