@@ -1,6 +1,5 @@
 """Nulls, empty and long texts, ties and repeated rows, empty tables and clashing columns, against brute force."""
 
-import hashlib
 import random
 import re
 import zlib
@@ -262,25 +261,3 @@ def test_shards(spark, tmp_path, small, monkeypatch):
     for i in (None, -5, 4, 1200, 7000, 99999):
         assert sorted(v.tolist() for v in sstable.lookup(folder, names, i)) == sorted(ids.get(i, []))
     assert sstable.encode_table(empty(spark), tokenizer_path()).count() == 0
-
-
-def test_secrets(spark):
-    rows = [*TEXTS, (20, 'api_key: "short" PASSWORD=abcdefgh1 secret : longenough99'), (21, "Straße ſecret=notasciiword1 AKIA123 " + "f" * 31), (22, "key = ghp_" + "aB3" * 12 + " here"), (23, "see file one-two-three-four5 there")]
-    got = {x.doc_id: x for x in secret_scan.scan(docs(spark, rows), secret_scan.train()).collect()}
-    assert len(got) == len(rows)
-    t = dict(rows)[20]
-    assert (got[20].n_assign, got[20].n_access, got[20].n_hex) == (2, 0, 0)
-    at = t.index("PASSWORD"), t.index("secret")
-    assert got[20].spans == f"assign:{at[0]}:{at[0] + 18},assign:{at[1]}:{len(t)}"
-    assert (got[8].n_assign, got[8].n_access, got[8].n_hex) == (1, 1, 1)
-    assert (got[21].n_assign, got[21].n_access, got[21].n_hex) == (0, 0, 0)
-    assert got[22].n_model == 1 and got[22].base_sha256 == hashlib.sha256(b"").hexdigest() and got[22].spans.startswith("model:6:")
-    assert got[23].n_model == 0 and got[0].spans == ""
-    assert secret_scan.scan(empty(spark), secret_scan.train(n=300, epochs=1)).count() == 0
-
-
-def test_secret_network_held_out():
-    net = secret_scan.train()
-    found, y = secret_scan.findings(2000, seed=99)
-    hit = secret_scan.best(net, found) >= net.threshold
-    assert hit[y == 1].mean() >= 0.95 and hit[y == 0].mean() <= 0.05
