@@ -12,8 +12,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from polycat.llm.common import TEXT_ROWS, numbered, stored
-from polycat.llm.text import U, mix, slices, word_hashes
+from polycat.llm.common import TEXT_ROWS, numbered, release, stored
+from polycat.llm.text import SLICE, U, mix, slices, word_hashes
 
 #: Hash of the end of a document, which is also what comes before its first word.
 END = U(0xE0D0C0B0A0908071)
@@ -21,8 +21,9 @@ END = U(0xE0D0C0B0A0908071)
 STEPS = {1: 4, 2: 2}
 #: Bits of the filter for each key, and bits set for a key in its 64-bit block.
 KEY_BITS, KEY_SET = 12, 5
-#: Bytes of the filter that are broadcast at once; more are read in several passes.
-FILTER_BYTES = 80 << 20
+#: Bytes of the filter in one broadcast piece, of which a worker holds one at a time, and pieces that a pass over the
+#: texts has at most; a filter of more is read in several passes.
+FILTER_BYTES, PIECES = 64 << 20, 24
 #: Bytes of training text for each segment of the model. A text of n bytes has fewer than n tokens, so that a segment's
 #: n-grams of one order, dealt by hash, and its piece of the filter are of bounded size however large the corpus is.
 SEGMENT_BYTES = 8 << 20
@@ -211,8 +212,8 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(k.as_buffer(), np.int64)), pa.array(np.frombuffer(n.as_buffer(), np.int64))], ["_word", "_c"])
 
 
-def _passes(pieces: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int]]]:
-    """(order, segment, bytes) in groups of FILTER_BYTES at most; pieces are smaller than that by SEGMENT_BYTES."""
+def _grouped(pieces: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int]]]:
+    """(order, segment, bytes) in groups of FILTER_BYTES at most; one segment's are smaller than that by SEGMENT_BYTES."""
     out, size = [[]], 0
     for order, segment, n in sorted(pieces):
         if out[-1] and size + n > FILTER_BYTES:
@@ -232,8 +233,9 @@ def score(docs: DataFrame, model: DataFrame, segments: int, id_col: str = "doc_i
     larger than those of its two words. Null and empty texts are one end and very long ones are scored whole; ids of any
     kind, nulls and repeated rows pass through, each with its own score; an empty table gives none.
 
-    A filter of more than FILTER_BYTES is broadcast in pieces. Each pass but the last writes the levels that it finds,
-    not the texts, and the last pass meets them by row.
+    The filter is broadcast in pieces of FILTER_BYTES. A task with several reads one after the other for some MB of
+    texts at a time, so its memory doesn't grow with them. Beyond PIECES of them there are several passes over the
+    texts: each but the last writes the levels that it finds, not the texts, and the last one meets them by row.
     """
     spark = docs.sparkSession
     sizes = [tuple(r) for r in model.select("order", "segment", "bytes").collect()]  # one row for each segment and order
@@ -245,7 +247,8 @@ def score(docs: DataFrame, model: DataFrame, segments: int, id_col: str = "doc_i
     known = np.asarray(head["_word"]).view(U)
     by = np.argsort(known)
     exact = spark.sparkContext.broadcast((known[by], np.asarray(head["_c"])[by]))
-    *earlier, last = _passes(sizes)
+    groups = _grouped(sizes)
+    *earlier, last = [groups[i : i + PIECES] for i in range(0, len(groups), PIECES)]
 
     def loaded(group):
         want = spark.createDataFrame(group or [(0, -1, 0)], "order int, segment int, bytes long").select("order", "segment")
@@ -256,21 +259,23 @@ def score(docs: DataFrame, model: DataFrame, segments: int, id_col: str = "doc_i
     if earlier:
         texts = numbered(texts, "_own")
         parts = []
-        for group in earlier:
-            sent = loaded(group)
-            parts.append(stored(texts.select("_text", "_own").mapInArrow(_levels_of(sent), LEVELS), TEXT_ROWS))
-            sent.unpersist()
+        for some in earlier:
+            sent = [loaded(g) for g in some]
+            parts.append(stored(texts.select("_text", "_own").mapInArrow(_levels_of(sent), LEVELS), _rows(some)))
+            for b in sent:
+                b.unpersist()
         found = reduce(DataFrame.union, parts).repartition("_own").sortWithinPartitions("_own").mapInArrow(_joined, LEVELS)
         texts = texts.join(stored(found, TEXT_ROWS), "_own")
+        release(*parts)
     else:
         texts = texts.withColumn("_levels", F.lit(None).cast("binary"))
     texts = texts.select("_text", "_levels", "_id", *keep)
-    sent = loaded(last)
+    sent = [loaded(g) for g in last]
     names = [f for f in texts.schema if f.name not in ("_text", "_levels")]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in names)
     final = texts.mapInArrow(_scoring(sent, exact, divisor), f"{schema}, _row long, n_tokens long, _known long, _base double, score double, _word long, _times long")
-    rows = stored(final, TEXT_ROWS)
-    for b in (sent, exact):
+    rows = stored(final, _rows(last))
+    for b in (*sent, exact):
         b.unpersist()
     rare = rows.where("_word is not null").select("_row", "_word", "_times").join(words, "_word", "left").withColumn("_c", F.coalesce("_c", F.lit(0)))
     more = F.sum(F.col("_times") * F.log10((F.col("_c") + 0.1) / divisor)).alias("_more")
@@ -290,11 +295,27 @@ def score(docs: DataFrame, model: DataFrame, segments: int, id_col: str = "doc_i
 LEVELS = "_own long, _levels binary"
 
 
-def _probe(filter_: Filter, words: np.ndarray, before: np.ndarray) -> np.ndarray:
+def _rows(pieces: list) -> int:
+    """Rows of texts that a task gets at once: more if it has several pieces to read for them."""
+    return TEXT_ROWS * min(4, len(pieces))
+
+
+def _pieces(sent: list) -> Iterator[Filter]:
+    """The broadcast pieces one after the other. A single one is kept by the worker, of several only the one in use."""
+    for b in sent:
+        yield b.value if len(sent) == 1 else b.load_from_path(b._path)
+
+
+def _probe(sent: list, words: np.ndarray, before: np.ndarray) -> np.ndarray:
     """Levels of each token's word, of the token before and of the pair, as three rows of bytes."""
     kinds, back = np.unique(np.concatenate([words, before]), return_inverse=True)
-    one = filter_.levels(kinds, 1).astype(np.uint8)[back]
-    return np.stack([one[: len(words)], one[len(words) :], filter_.levels(pair_hashes(words, before), 2).astype(np.uint8)])
+    pairs = pair_hashes(words, before)
+    one, two = np.zeros(len(kinds), np.uint8), np.zeros(len(pairs), np.uint8)
+    for piece_ in _pieces(sent):  # a key is in one piece only
+        one |= piece_.levels(kinds, 1).astype(np.uint8)
+        two |= piece_.levels(pairs, 2).astype(np.uint8)
+    one = one[back]
+    return np.stack([one[: len(words)], one[len(words) :], two])
 
 
 def _earlier(found: np.ndarray, cells: list, counts: np.ndarray) -> np.ndarray:
@@ -311,9 +332,9 @@ def _levels_of(sent):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, off, data in slices(batch.column(0)):
+            for lo, hi, off, data in slices(batch.column(0), len(sent) * SLICE):
                 words, before, counts = tokens(off, data)
-                found, at = _probe(sent.value, words, before), np.cumsum(counts)
+                found, at = _probe(sent, words, before), np.cumsum(counts)
                 cells = [zlib.compress(found[:, b - n : b].tobytes(), 1) for b, n in zip(at, counts, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(1).slice(lo, hi - lo), pa.array(cells, pa.binary())], ["_own", "_levels"])
 
@@ -351,9 +372,9 @@ def _scoring(sent, exact, divisor: float):
         row = TaskContext.get().partitionId() << 33
         known, known_n = exact.value
         for batch in batches:
-            for lo, hi, off, data in slices(batch.column(0)):
+            for lo, hi, off, data in slices(batch.column(0), len(sent) * SLICE):
                 words, before, counts = tokens(off, data)
-                found = _earlier(_probe(sent.value, words, before), batch.column(1).slice(lo, hi - lo).to_pylist(), counts)
+                found = _earlier(_probe(sent, words, before), batch.column(1).slice(lo, hi - lo).to_pylist(), counts)
                 first = np.cumsum(counts) - counts
                 each = token_scores(found, divisor)
                 ids = np.arange(row, row + hi - lo)

@@ -69,10 +69,12 @@ def rows_of(seed, n):
     return [(i, " ".join(r.choice(words) for _ in range(r.randint(0, 50)))) for i in range(n)] + [(n + i, t) for i, (_, t) in enumerate(TEXTS)] + [(None, "a b"), (n + 50, "neu " * 30)]
 
 
-@pytest.mark.parametrize("cap", ["one pass", "many passes"])
+@pytest.mark.parametrize("cap", ["one piece", "many pieces", "many passes"])
 def test_scores(spark, cap, monkeypatch):
-    """One broadcast of the filter, or several passes with few words broadcast and few counts held: the same scores, those of the plain model."""
+    """One broadcast of the filter, many, or several passes with few words broadcast and few counts held: the same scores, those of the plain model."""
     if cap == "many passes":
+        monkeypatch.setattr(ngram, "PIECES", 2)
+    if cap != "one piece":
         monkeypatch.setattr(ngram, "FILTER_BYTES", 600 << 6)
         monkeypatch.setattr(ngram, "SEGMENT_BYTES", 20_000)
         monkeypatch.setattr(ngram, "HEAD", 5)
