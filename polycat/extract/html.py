@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -21,10 +22,16 @@ class Node:
         self.tag, self.attrs, self.parent, self.children = tag, attrs, parent, []
 
     def walk(self):
-        for c in self.children:
-            if isinstance(c, Node):
-                yield c
-                yield from c.walk()
+        """Elements below this one in the order of the page, however deep they are."""
+        stack = [iter(self.children)]
+        while stack:
+            for c in stack[-1]:
+                if isinstance(c, Node):
+                    yield c
+                    stack.append(iter(c.children))
+                    break
+            else:
+                stack.pop()
 
     def all(self, *tags: str) -> list[Node]:
         return [n for n in self.walk() if n.tag in tags]
@@ -33,12 +40,17 @@ class Node:
         return next((n for n in self.walk() if n.tag == tag), None)
 
     def texts(self):
-        for c in self.children:
-            if isinstance(c, Node):
-                if c.tag not in ("script", "style"):
-                    yield from c.texts()
-            elif c.strip():
-                yield c.strip()
+        stack = [iter(self.children)]
+        while stack:
+            for c in stack[-1]:
+                if not isinstance(c, Node):
+                    if c.strip():
+                        yield c.strip()
+                elif c.tag not in ("script", "style"):
+                    stack.append(iter(c.children))
+                    break
+            else:
+                stack.pop()
 
     def text(self, between: str = " ") -> str:
         return between.join(self.texts())
@@ -48,24 +60,30 @@ class _Builder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("", {}, None)
+        self.open = Counter()  # tags of the elements that are open now
 
     def handle_starttag(self, tag, attrs):
         node = Node(tag, {k: v or "" for k, v in attrs}, self.at)
         self.at.children.append(node)
         if tag not in VOID:
             self.at = node
+            self.open[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID:
-            self.at = self.at.parent
+            self._close()
+
+    def _close(self) -> str:
+        tag = self.at.tag
+        self.open[tag] -= 1
+        self.at = self.at.parent
+        return tag
 
     def handle_endtag(self, tag):
-        node = self.at
-        while node.parent is not None and node.tag != tag:
-            node = node.parent
-        if node.parent is not None:
-            self.at = node.parent
+        if self.open[tag]:
+            while self._close() != tag:
+                pass
 
     def handle_data(self, data):
         self.at.children.append(data)

@@ -11,80 +11,108 @@ from pyspark.sql import types as T
 
 _NAME = re.compile(r"[A-Za-z_$][\w$]*")
 _NUMBER = re.compile(r"[-+]?(?:0[xX][0-9a-fA-F]+|(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?)")
+_NOT = re.compile("![01]")
 _SKIP = re.compile(r"(?:\s+|//[^\n]*|/\*.*?\*/)*", re.DOTALL)
 # Words and escapes of literals.
 _WORDS = {"true": True, "false": False, "null": None, "undefined": None, "!0": True, "!1": False}
 _ESCAPES = {"n": "\n", "t": "\t", "r": "\r", "b": "\b", "f": "\f", "v": "\v", "0": "\0", "\n": ""}
 
 
+#: Literals nested deeper than this are none.
+DEPTH = 500
+
+
 class _Reader:
+    """Reads one literal; containers that are open are on a stack, and those that were closed are remembered with their places, so that they are known even if what holds them turns out to be none."""
+
     def __init__(self, text: str, at: int = 0):
         self.text, self.at = text, at
+        self.closed: list[tuple[int, int, dict | list]] = []
 
     def skip(self) -> str:
         self.at = _SKIP.match(self.text, self.at).end()
         return self.text[self.at : self.at + 1]
 
     def string(self) -> str:
-        quote, out = self.text[self.at], []
-        self.at += 1
-        while (c := self.text[self.at]) != quote:
-            self.at += 1
+        began, quote, out = self.at, self.text[self.at], []
+        at = self.at + 1
+        while (c := self.text[at : at + 1]) != quote:
+            if not c:
+                raise ValueError(f"no end of the string at {began}")
+            at += 1
             if c == "\\":
-                e = self.text[self.at]
-                self.at += 1
+                e = self.text[at : at + 1]
+                at += 1
                 n = {"x": 2, "u": 4}.get(e, 0)
-                if n:
-                    out.append(chr(int(self.text[self.at : self.at + n], 16)))
-                    self.at += n
-                else:
-                    out.append(_ESCAPES.get(e, e))
+                out.append(chr(int(self.text[at : at + n], 16)) if n else _ESCAPES.get(e, e))
+                at += n
             else:
                 out.append(c)
-        self.at += 1
+        self.at = at + 1
         return "".join(out)
 
-    def value(self):
-        c = self.skip()
-        if c in ('"', "'", "`"):
+    def plain(self):
+        """A string, a number or one of the words."""
+        if self.text[self.at : self.at + 1] in ('"', "'", "`"):
             return self.string()
-        if c in ("{", "["):
-            return self.items("}" if c == "{" else "]")
-        for pattern in (_NUMBER, re.compile("![01]"), _NAME):
+        for pattern in (_NUMBER, _NOT, _NAME):
             if m := pattern.match(self.text, self.at):
+                if pattern is not _NUMBER and m[0] not in _WORDS:
+                    break
                 self.at = m.end()
-                if pattern is _NUMBER:
-                    n = m[0].lower()
-                    return int(n, 16) if "x" in n else float(n) if re.search(r"[.e]", n) else int(n)
-                if m[0] in _WORDS:
+                if pattern is not _NUMBER:
                     return _WORDS[m[0]]
-                break
+                n = m[0].lower()
+                return int(n, 16) if "x" in n else float(n) if re.search(r"[.e]", n) else int(n)
         raise ValueError(f"no literal at {self.at}")
 
-    def items(self, end: str):
+    def key(self) -> str:
+        if self.text[self.at : self.at + 1] in ('"', "'", "`"):
+            out = self.string()
+        else:
+            m = _NAME.match(self.text, self.at) or _NUMBER.match(self.text, self.at)
+            if not m:
+                raise ValueError(f"no key at {self.at}")
+            out, self.at = m[0], m.end()
+        if self.skip() != ":":
+            raise ValueError(f"no value at {self.at}")
         self.at += 1
-        out: dict | list = {} if end == "}" else []
-        while self.skip() != end:
-            if end == "}":
-                if self.text[self.at] in "\"'`":
-                    key = self.string()
-                else:
-                    m = _NAME.match(self.text, self.at) or _NUMBER.match(self.text, self.at)
-                    if not m:
-                        raise ValueError(f"no key at {self.at}")
-                    key, self.at = m[0], m.end()
-                if self.skip() != ":":
-                    raise ValueError(f"no value at {self.at}")
+        return out
+
+    def value(self):
+        stack: list[tuple] = []  # container, its end, where it began, key of its next value
+        while True:
+            c = self.skip()
+            if c in ("{", "[") and c:
+                if len(stack) == DEPTH:
+                    raise ValueError(f"too deep at {self.at}")
+                began = self.at
                 self.at += 1
-                out[key] = self.value()
+                done, container, end = False, {} if c == "{" else [], "}" if c == "{" else "]"
+                stack.append((container, end, began, None))
             else:
-                out.append(self.value())
-            if self.skip() == ",":
+                done, v = True, self.plain()
+            while True:
+                if done:  # v is complete: put it where it belongs
+                    if not stack:
+                        return v
+                    container, end, began, key = stack[-1]
+                    if key is None:
+                        container.append(v)
+                    else:
+                        container[key] = v
+                    if self.skip() == ",":
+                        self.at += 1
+                    elif self.text[self.at : self.at + 1] != end:
+                        raise ValueError(f"no end at {self.at}")
+                container, end, began, _ = stack[-1]
+                if self.skip() != end:
+                    stack[-1] = (container, end, began, self.key() if end == "}" else None)
+                    break
                 self.at += 1
-            elif self.text[self.at : self.at + 1] != end:
-                raise ValueError(f"no end at {self.at}")
-        self.at += 1
-        return out
+                stack.pop()
+                self.closed.append((began, self.at, container))
+                done, v = True, container
 
 
 def literal(text: str, at: int = 0):
@@ -107,17 +135,22 @@ def exported(text: str, name: str):
 
 
 def largest(text: str, opening: str) -> tuple[int, dict | list | None]:
-    """Length and value of the longest object or array literal in a text, the first of equally long ones; 0 and None if none is complete."""
+    """Length and value of the longest object or array literal in a text, the first of equally long ones; 0 and None if none is complete.
+
+    Where a literal breaks off, those within it that are complete count, and the search goes on from there, so that each
+    part of a text is read once or twice however broken it is.
+    """
     best, found, at = 0, None, 0
     while (at := text.find(opening, at)) >= 0:
         r = _Reader(text, at)
         try:
-            v = r.value()
-            if r.at - at > best:
-                best, found = r.at - at, v
+            r.value()
             at = r.at
         except (ValueError, IndexError):
-            at += 1
+            at = max(at + 1, r.at)
+        for began, end, v in sorted(r.closed, key=lambda x: x[0]):
+            if text[began] == opening and end - began > best:
+                best, found = end - began, v
     return best, found
 
 
@@ -177,20 +210,20 @@ def ids(names: list[str]):
 def image_urls(payloads: pd.Series) -> pd.Series:
     """Image addresses anywhere in a JSON payload, with the dotted path of each."""
 
-    def walk(v, path: str):
-        if isinstance(v, dict):
-            for k, x in v.items():
-                yield from walk(x, f"{path}.{k}" if path else str(k))
-        elif isinstance(v, list):
-            for i, x in enumerate(v):
-                yield from walk(x, f"{path}.{i}" if path else str(i))
-        elif isinstance(v, str) and re.search(r"\.(jpg|jpeg|png|webp)$|image", v, re.IGNORECASE):
-            yield {"path": path, "url": v}
+    def walk(v):
+        stack = [("", v)]
+        while stack:
+            path, v = stack.pop()
+            if isinstance(v, dict | list):
+                items = list(v.items() if isinstance(v, dict) else enumerate(v))
+                stack += [(f"{path}.{k}" if path else str(k), x) for k, x in reversed(items)]
+            elif isinstance(v, str) and re.search(r"\.(jpg|jpeg|png|webp)$|image", v, re.IGNORECASE):
+                yield {"path": path, "url": v}
 
     def one(t):
         try:
-            return list(walk(json.loads(t), "")) if t else []
-        except ValueError:
+            return list(walk(json.loads(t))) if t else []
+        except (ValueError, RecursionError):  # no JSON, or deeper than the reader goes
             return []
 
     return payloads.map(one)

@@ -201,6 +201,23 @@ def test_js(spark):
     assert urls.select(html.hero_urls(F.col("t"), "car7")).first()[0] == ["/a/car7_1_2-x.jpg", "/a/car7_1_3-z.png"]
 
 
+def test_deep_and_broken_markup():
+    """Thousands of open elements and of end tags without a start are read, and in time."""
+    deep = html.detail("<div>" * 20_000 + "<h1>A</h1>" + "</span>" * 20_000 + "<h2>B</h2>", "car1")
+    assert (deep["name"], deep["manufacturer_name"]) == ("A", "B")
+    assert html.parse("<b>" * 5000 + "x").text() == "x"
+
+
+def test_deep_and_broken_scripts():
+    for text in ("[" * 50_000, "{a:" * 50_000, "[" * 5000 + "]" * 5000, "x={" + "b:[" * 5000 + "]" * 5000 + "}"):
+        got = js.data(text, [], list if "[" in text else dict)
+        assert got is None or len(json.dumps(got)) < 2000
+    assert js.data("var a = {x: f(), y: {z: 1}, w: {v: [1, 2], u: 2}};", []) == {"v": [1, 2], "u": 2}
+    assert js.data("{a: it's} {b: {c: 'd'}}", []) == {"b": {"c": "d"}}
+    assert js.data("[" * 300 + "1" + "]" * 300, [], list) is not None
+    assert js.exported("let a = [[1], {b: [2, {c: 3}]}, ];export{a}", "a") == [[1], {"b": [2, {"c": 3}]}]
+
+
 def test_stream(spark, tmp_path):
     rows = [(i, f"c{i % 3}", "gb", ["success", "failed"][i % 2], None, "t") for i in range(12)]
     for n in range(3):
