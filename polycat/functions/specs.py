@@ -66,7 +66,7 @@ def normalize_specs(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     p = pairs.withColumn("_label", strip(F.col("label"))).withColumn("_raw", strip(F.coalesce("raw", F.lit("None"))))
     known = labels.groupBy("locale", F.col("label").alias("_label")).agg(F.min("code").alias("_known"))
-    p = p.join(F.broadcast(known), ["locale", "_label"], "left")
+    p = p.join(known, ["locale", "_label"], "left")
     p = p.withColumn("_inferred", F.when(F.col("_known").isNull() & F.col("raw").isNotNull(), infer_code(F.col("raw"))))
     nth = F.sum((F.coalesce("_inferred", F.lit("")) == LENGTHS).cast("int")).over(Window.partitionBy("car_id", "locale").orderBy("pos"))
     side = reduce(lambda out, i: out.when(nth == i + 1, SIDES[i]), range(1, len(SIDES)), F.when(nth == 1, SIDES[0])).otherwise("dimension")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from polycat.functions.collation import present, strip
@@ -65,3 +65,9 @@ def locale_order(locales: list[str], base: str | None = None) -> list[str]:
 
 def parse_locales(text: str | None, default: list[str]) -> list[str]:
     return locale_order(text.split(",")) if text and text.strip() else list(default)
+
+
+def ordered_distinct(df: DataFrame, keys: list[str], value: str, order: str, name: str) -> DataFrame:
+    """keys and name: each value of a group once, in the order of its first row. Repeats are gone before values are gathered, so that a group holds its distinct values only."""
+    first = df.groupBy(*keys, value).agg(F.min(order).alias("_first"))
+    return first.groupBy(*keys).agg(F.transform(F.sort_array(F.collect_list(F.struct("_first", F.col(value).alias("_v")))), lambda x: x["_v"]).alias(name))

@@ -37,11 +37,17 @@ def replace_locale(target: DataFrame, source: DataFrame, locale: str) -> DataFra
     return target.where(F.col("locale") != locale).unionByName(source.where(F.col("locale") == locale).select(target.columns))
 
 
+def merged_images(sources: list[DataFrame]) -> DataFrame:
+    """Images of all sources, each source's only if no source before it has them; no kind and an empty kind are the same, repeats within a source all count. The sources are tagged and meet in one shuffle, however many there are."""
+    columns = sources[0].columns
+    tagged = reduce(DataFrame.unionByName, [s.select(*columns, F.lit(i).alias("_from")) for i, s in enumerate(sources)])
+    first = F.min("_from").over(Window.partitionBy("car_id", "image_path", F.coalesce("image_type", F.lit(""))))
+    return tagged.withColumn("_first", first).where("_from = _first").select(columns)
+
+
 def new_images(target: DataFrame, source: DataFrame) -> DataFrame:
-    """target and those images of source that it lacks; no kind and an empty kind are the same, repeats in source all count."""
-    keys = ["car_id", "image_path", F.coalesce("image_type", F.lit("")).alias("_kind")]
-    lacking = source.select("*", keys[2]).join(target.select(*keys).distinct(), ["car_id", "image_path", "_kind"], "left_anti")
-    return target.unionByName(lacking.select(target.columns))
+    """target and those images of source that it lacks."""
+    return merged_images([target, source])
 
 
 def merge(folder: str, out: str, spark, locales: list[str] | None = None, base: str | None = None, images: bool = False, logs: bool = False) -> Lake:
@@ -76,8 +82,7 @@ def merge(folder: str, out: str, spark, locales: list[str] | None = None, base:
     else:
         target.write("fetch_log", lakes[0].get("fetch_log"))
     if images and any(x.has_table("car_images") for x in lakes):
-        every = [x.get("car_images") for x in lakes]
-        target.write("car_images", reduce(new_images, every))
+        target.write("car_images", merged_images([x.get("car_images") for x in lakes]))
     said = spark.createDataFrame([("build_base_locale", base), ("build_locales", json.dumps(wanted))], "key string, value string")
     target.write("meta", lakes[0].get("meta").join(said.select("key"), "key", "left_anti").select("key", "value").unionByName(said))
     return target

@@ -38,6 +38,16 @@ def insert_only(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return old.unionByName(new.join(old.select(keys), keys, "left_anti").select(old.columns))
 
 
+def add_labels(labels: DataFrame, new: DataFrame) -> DataFrame:
+    """Labels (code, locale, label) with those of new (.., pos) whose code has none in the locale; the first by pos counts."""
+    return insert_only(labels, new.groupBy("code", "locale").agg(F.min_by("label", "pos").alias("label")), ["code", "locale"])
+
+
+def set_labels(labels: DataFrame, new: DataFrame) -> DataFrame:
+    """Labels with those of new (.., pos) over them; the last by pos counts."""
+    return upsert(labels, new.groupBy("code", "locale").agg(F.max_by("label", "pos").alias("label")), ["code", "locale"])
+
+
 def manufacturers(old: DataFrame, new: DataFrame, update_name: bool) -> DataFrame:
     return upsert(old, new, ["id"], {"name": NEW if update_name else OLD, "logo_path": NEW_OR_OLD, "country_id": NEW_OR_OLD})
 

@@ -19,7 +19,7 @@ def details(lake: Lake, ids: list[str] | DataFrame, locale: str = "gb") -> DataF
     any number of ids.
     """
     wanted = lake.spark.createDataFrame([(i,) for i in ids], "id string") if isinstance(ids, list) else ids
-    cars = lake.table("cars").join(F.broadcast(wanted.distinct()) if isinstance(ids, list) else wanted.distinct(), "id", "left_semi")
+    cars = lake.table("cars").join(wanted.distinct(), "id", "left_semi")
     texts = of_locale(lake.table("car_texts"), locale, car_id="_ct", name="_name", intro="_intro", detail="_detail")
     out = cars.join(texts, F.col("id") == F.col("_ct"), "left")
     for c in ("name", "intro", "detail"):
@@ -45,7 +45,7 @@ def details(lake: Lake, ids: list[str] | DataFrame, locale: str = "gb") -> DataF
         F.sort_array(F.collect_list(F.struct("sort_order", "spec_key", F.coalesce("_label", "spec_key").alias("label"), "spec_value", "spec_unit", "spec_raw"))).alias("specs")
     )
     out = out.join(specs, F.col("id") == F.col("_sc"), "left")
-    images = lake.get("car_images").groupBy(F.col("car_id").alias("_ic")).agg(F.sort_array(F.collect_list(F.struct("image_type", "sort_order", "image_path"))).alias("images"))
+    images = lake.get("car_images").join(wanted.select(F.col("id").alias("car_id")).distinct(), "car_id", "left_semi").groupBy(F.col("car_id").alias("_ic")).agg(F.sort_array(F.collect_list(F.struct("image_type", "sort_order", "image_path"))).alias("images"))
     out = out.join(images, F.col("id") == F.col("_ic"), "left")
     return out.select(
         "id", "name", "intro", "detail", "car_class", "pp", "year",

@@ -216,7 +216,7 @@ def build_locale(lake: Lake, bundle: Bundle, locale: str, base: str = "gb", resu
 def _without_codes(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """pairs without those whose label or form says drivetrain or aspiration."""
     known = labels.groupBy("locale", F.col("label").alias("_label")).agg(F.min("code").alias("_known"))
-    p = pairs.withColumn("_label", strip(F.col("label"))).join(F.broadcast(known), ["locale", "_label"], "left")
+    p = pairs.withColumn("_label", strip(F.col("label"))).join(known, ["locale", "_label"], "left")
     code = F.coalesce("_known", infer_code(F.col("raw")))
     return p.where(~F.coalesce(code, F.lit("")).isin("drivetrain", "aspiration")).select(pairs.columns)
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+from pyspark.storagelevel import StorageLevel
 
 from polycat.functions.collation import nocase, present
 from polycat.functions.numbers import parse_number
@@ -140,9 +142,23 @@ def stats_by_drivetrain(lake: Lake, locale: str = "gb") -> DataFrame:
 
 
 def overview_stats(lake: Lake) -> DataFrame:
-    """cars, manufacturers, specs, images (0 if there is no such table) and locales, sorted, in one row."""
-    count = lambda t, c: (lake.table(t) if lake.has_table(t) else lake.get(t)).agg(F.count(F.lit(1)).alias(c))
-    out = count("cars", "cars")
-    for t, c in (("manufacturers", "manufacturers"), ("car_specs", "specs"), ("car_images", "images")):
-        out = out.join(F.broadcast(count(t, c)))  # one row each
-    return out.join(F.broadcast(lake.table("car_texts").agg(F.sort_array(F.collect_set("locale")).alias("locales"))))
+    """cars, manufacturers, specs, images (0 if there is no such table) and locales, sorted, in one row: scalar subqueries of one plan."""
+    tables = {"cars": "cars", "manufacturers": "manufacturers", "specs": "car_specs", "images": "car_images"}
+    some = lambda t: lake.table(t) if lake.has_table(t) else lake.get(t)
+    count = lambda t: some(t).agg(F.count(F.lit(1))).scalar()
+    locales = lake.table("car_texts").agg(F.sort_array(F.collect_set("locale"))).scalar()
+    return lake.spark.range(1).select(*[count(t).alias(c) for c, t in tables.items()], locales.alias("locales"))
+
+
+def with_positions(ordered: DataFrame, name: str = "pos") -> DataFrame:
+    """An ordered table with its rows' positions from 1.
+
+    Rows stay in the partitions of the sort, where each is numbered; the rows before a partition are one sum for each
+    partition, so that nothing passes through one task.
+    """
+    rows = ordered.withColumn("_at", F.monotonically_increasing_id()).persist(StorageLevel.DISK_ONLY)
+    part = F.shiftright("_at", 33)
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))  # one row for each partition
+    starts = rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n")).select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    out = rows.join(starts, part == F.col("_part"))
+    return out.select(*ordered.columns, (F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1) + 1).alias(name))

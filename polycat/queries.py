@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from polycat import schema
+from polycat.extract import html as pages
 from polycat.functions import codes, collation, numbers, specs, text
 from polycat.operators import cleanup, merge, upsert
 from polycat.plans import detail, ingest, lists, quality
@@ -37,7 +38,7 @@ VIEWS = {
     "spec_code_i18n": """select * from (values ('max_power', 'cn', 'power'), ('weight', 'gb', 'Weight'), ('raw_1', 'cn', 'a'), ('rawX1', 'cn', 'b'), ('RAW_2', 'cn', 'c')) as t(code, locale, label)""",
     "country_iso_map": """select * from (values ('c0', 'AAA'), ('c1', 'BBB'), ('c2', 'CCC'), ('c3', 'DDD'), ('c4', 'DDD'), ('c5', 'EEE'), ('c6', 'FFF')) as t(country_id, iso3)""",
     "country_i18n": """select * from (values ('AAA', 'cn', 'ah'), ('AAA', 'gb', 'Aland'), ('BBB', 'gb', 'bland'), ('CCC', 'cn', 'Çland'), ('DDD', 'cn', 'dee'), ('EEE', 'gb', 'Eland')) as t(iso3, locale, name)""",
-    "car_images": """select cast(l_orderkey * 10 + l_linenumber as bigint) as id, cast(l_partkey as string) as car_id, concat('cars/', cast(l_suppkey as string), case when l_linenumber % 2 = 0 then '.jpe' else '.jpg' end) as image_path, l_linenumber as sort_order, case l_returnflag when 'A' then 'hero' when 'N' then 'thumb' else '' end as image_type from {lineitem} where l_partkey % 10 = 0""",
+    "car_images": """select cast(l_orderkey * 10 + l_linenumber as bigint) as id, cast(l_partkey as string) as car_id, concat('cars/', cast(l_suppkey as string), case when l_linenumber % 2 = 0 then '.jpe' else '.jpg' end) as image_path, l_linenumber as sort_order, case l_returnflag when 'A' then 'hero' when 'N' then 'thumb' else '' end as image_type from {lineitem}""",
     "fetch_log": """select event_id as id, cast(user_id as string) as car_id, 'gb' as locale, event_type as status, props as message, cast(ts as string) as updated_at from {events}""",
     "manifest": """select cast(p_partkey as string) as car_id, cast(p_size % 6 as int) as expected from {part} where p_partkey % 3 = 0""",
 }
@@ -78,8 +79,8 @@ def _sql(query: str) -> str:
 
 
 def _ranked(df: DataFrame) -> DataFrame:
-    """A list's rows with their positions: what orders the list orders the window."""
-    return df.withColumn("pos", F.row_number().over(Window.orderBy(F.monotonically_increasing_id())).cast("long"))
+    """A list's rows with their positions."""
+    return lists.with_positions(df)
 
 
 QUERIES: dict = {}
@@ -101,38 +102,38 @@ _COUNTRY = "left join country_iso_map im on im.country_id = {id} left join (sele
 _NAME = "coalesce(ct.name, c.name)"
 
 
-@query(f"""select id, name, row_number() over (order by k nulls first, n nulls first, id) as pos from (select c.id, {_NAME} as name, {FOLD.format('coalesce(mi.name, m.name)')} as k, {FOLD.format(_NAME)} as n from {_CARS} {_MAKER}) q qualify pos <= 200""")
+@query(f"""select id, name, row_number() over (order by k nulls first, n nulls first, id) as pos from (select c.id, {_NAME} as name, {FOLD.format('coalesce(mi.name, m.name)')} as k, {FOLD.format(_NAME)} as n from {_CARS} {_MAKER}) q""")
 def list_by_maker_nocase(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ranked(lists.list_cars(Catalog(spark, sf_dir), "cn", "manufacturer", 200))
+    return _ranked(lists.list_cars(Catalog(spark, sf_dir), "cn", "manufacturer"))
 
 
-@query(f"""select id, name, row_number() over (order by k nulls first, n nulls first, id) as pos from (select c.id, {_NAME} as name, {FOLD.format('coalesce(ci.name, cg.name, im.iso3, m.country_id)')} as k, {FOLD.format(_NAME)} as n from {_CARS} {_MAKER} {_COUNTRY.format(id='m.country_id')}) q qualify pos <= 200""")
+@query(f"""select id, name, row_number() over (order by k nulls first, n nulls first, id) as pos from (select c.id, {_NAME} as name, {FOLD.format('coalesce(ci.name, cg.name, im.iso3, m.country_id)')} as k, {FOLD.format(_NAME)} as n from {_CARS} {_MAKER} {_COUNTRY.format(id='m.country_id')}) q""")
 def list_by_country_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ranked(lists.list_cars(Catalog(spark, sf_dir), "cn", "country", 200))
+    return _ranked(lists.list_cars(Catalog(spark, sf_dir), "cn", "country"))
 
 
-@query(f"""select id, name, row_number() over (order by k is null, coalesce(k, ''), coalesce(name, ''), id) as pos from (select c.id, {_NAME} as name, case when c.raw_json = '[]' then null else nullif(json_extract_string(c.raw_json, '$.countryId'), '') end as k from {_CARS}) q qualify pos <= 200""")
+@query(f"""select id, name, row_number() over (order by k is null, coalesce(k, ''), coalesce(name, ''), id) as pos from (select c.id, {_NAME} as name, case when c.raw_json = '[]' then null else nullif(json_extract_string(c.raw_json, '$.countryId'), '') end as k from {_CARS}) q""")
 def list_by_country_nulls_last(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ranked(lists.list_cars(Catalog(spark, sf_dir, ("country_iso_map",)), "cn", "country", 200))
+    return _ranked(lists.list_cars(Catalog(spark, sf_dir, ("country_iso_map",)), "cn", "country"))
 
 
-@query(f"""select id, name, row_number() over (order by k nulls first, n nulls first, id) as pos from (select c.id, {_NAME} as name, {FOLD.format('coalesce(d.label, c.drivetrain_code)')} as k, {FOLD.format(_NAME)} as n from {_CARS} left join (select * from drivetrain_i18n where locale = 'cn') d on d.code = c.drivetrain_code) q qualify pos <= 200""")
+@query(f"""select id, name, row_number() over (order by k nulls first, n nulls first, id) as pos from (select c.id, {_NAME} as name, {FOLD.format('coalesce(d.label, c.drivetrain_code)')} as k, {FOLD.format(_NAME)} as n from {_CARS} left join (select * from drivetrain_i18n where locale = 'cn') d on d.code = c.drivetrain_code) q""")
 def list_by_code_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ranked(lists.list_cars(Catalog(spark, sf_dir), "cn", "drivetrain", 200))
+    return _ranked(lists.list_cars(Catalog(spark, sf_dir), "cn", "drivetrain"))
 
 
 _NUMBER = """try_cast(nullif(regexp_extract(case when strpos({v}, ',') > 0 and strpos({v}, '.') > 0 and strpos(reverse({v}), ',') < strpos(reverse({v}), '.') then replace(replace({v}, '.', ''), ',', '.') else replace({v}, ',', '') end, '^-?[0-9]+(\\.[0-9]+)?'), '') as double)"""
 _SPEC = """(select c.id, {name} as name, {number} as x from {cars} left join (select * from car_specs where locale = 'cn' and spec_key = '{key}') s on s.car_id = c.id left join (select * from car_specs where locale = 'gb' and spec_key = '{key}') g on g.car_id = c.id)"""
 
 
-@query(f"""select id, name, row_number() over (order by x desc nulls first, id) as pos from {_SPEC.format(name=_NAME, number=_NUMBER.format(v='coalesce(s.spec_value, g.spec_value)'), cars=_CARS, key='max_power')} q qualify pos <= 300""")
+@query(f"""select id, name, row_number() over (order by x desc nulls first, id) as pos from {_SPEC.format(name=_NAME, number=_NUMBER.format(v='coalesce(s.spec_value, g.spec_value)'), cars=_CARS, key='max_power')} q""")
 def list_by_spec_desc_nulls_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ranked(lists.list_cars(Catalog(spark, sf_dir), "cn", "max_power", 300))
+    return _ranked(lists.list_cars(Catalog(spark, sf_dir), "cn", "max_power"))
 
 
-@query(f"""select id, name, row_number() over (order by x asc nulls last, id) as pos from {_SPEC.format(name=_NAME, number=_NUMBER.format(v='coalesce(s.spec_value, g.spec_value)'), cars=_CARS, key='weight')} q qualify pos <= 300""")
+@query(f"""select id, name, row_number() over (order by x asc nulls last, id) as pos from {_SPEC.format(name=_NAME, number=_NUMBER.format(v='coalesce(s.spec_value, g.spec_value)'), cars=_CARS, key='weight')} q""")
 def list_by_spec_asc_nulls_last(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ranked(lists.list_cars(Catalog(spark, sf_dir), "cn", "weight", 300))
+    return _ranked(lists.list_cars(Catalog(spark, sf_dir), "cn", "weight"))
 
 
 @query("""select c.id, count(*) as n from cars c left join (select * from car_specs where locale = 'gb' and spec_key = 'weight') a on a.car_id = c.id left join (select * from car_specs where locale = 'gb' and spec_key = 'weight') b on b.car_id = c.id group by c.id""")
@@ -165,17 +166,29 @@ def overview_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lists.overview_stats(Catalog(spark, sf_dir)).withColumn("locales", F.array_join("locales", ","))
 
 
-@query("""select c.id, coalesce(nullif(ct.name, ''), c.name) as name, coalesce(nullif(ct.detail, ''), c.detail) as detail, coalesce(nullif(mi.name, ''), m.name) as maker,
+_DETAIL = """select c.id, coalesce(nullif(ct.name, ''), c.name) as name, coalesce(nullif(ct.detail, ''), c.detail) as detail, coalesce(nullif(mi.name, ''), m.name) as maker,
     case when d.code is not null then d.label else c.drivetrain_code end as drivetrain, coalesce(s.n, 0) as n_specs, coalesce(s.first_label, '-') as first_label, coalesce(i.n, 0) as n_images
     from cars c left join (select * from car_texts where locale = 'cn') ct on ct.car_id = c.id left join manufacturers m on m.id = c.manufacturer_id left join (select * from manufacturer_i18n where locale = 'cn') mi on mi.id = m.id
     left join (select * from drivetrain_i18n where locale = 'cn') d on d.code = c.drivetrain_code
     left join (select car_id, count(*) n, arg_min(coalesce(l.label, s.spec_key), sort_order) as first_label from car_specs s left join (select * from spec_code_i18n where locale = 'cn') l on l.code = s.spec_key where s.locale = 'cn' group by car_id) s on s.car_id = c.id
-    left join (select car_id, count(*) n from car_images group by car_id) i on i.car_id = c.id where c.id in ('0', '3', '6', '8', '9', '18', '40', '97')""")
-def detail_point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = detail.details(Catalog(spark, sf_dir), ["0", "3", "6", "8", "9", "18", "40", "97", "none"], "cn")
+    left join (select car_id, count(*) n from car_images group by car_id) i on i.car_id = c.id"""
+
+
+def _details(d: DataFrame) -> DataFrame:
     return d.select("id", "name", "detail", F.col("manufacturer.name").alias("maker"), F.col("drivetrain.label").alias("drivetrain"), F.size("specs").cast("long").alias("n_specs"), F.coalesce(F.get("specs", F.lit(0))["label"], F.lit("-")).alias("first_label"), F.size("images").cast("long").alias("n_images"))
 
 
+@query(_DETAIL + " where c.id in ('0', '3', '6', '8', '9', '18', '40', '97')")
+def detail_point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _details(detail.details(Catalog(spark, sf_dir), ["0", "3", "6", "8", "9", "18", "40", "97", "none"], "cn"))
+
+
+@query(_DETAIL)
+def detail_of_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = Catalog(spark, sf_dir)
+    return _details(detail.details(c, c.table("cars").select("id"), "cn"))
+
+
 @query("""select car_id, locale, arg_max(status, id) as status from fetch_log group by car_id, locale""")
 def latest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.latest_status(Catalog(spark, sf_dir).table("fetch_log"))
@@ -298,7 +311,7 @@ def quality_expected_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quality_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = Catalog(spark, sf_dir)
     wrong = quality.hero_differences(c.table("cars"), c.table("car_images"), c.table("manifest"), 2).agg(F.count(F.lit(1)).alias("mismatches"))
-    out = c.table("cars").agg(F.count(F.lit(1)).alias("checked")).join(F.broadcast(wrong))
+    out = c.table("cars").agg(F.count(F.lit(1)).alias("checked")).withColumn("mismatches", wrong.scalar())
     return out.select("checked", "mismatches", F.round(F.col("mismatches") / F.col("checked"), 4).alias("ratio"))
 
 
@@ -371,24 +384,25 @@ def ext_and_filename(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("page_id", text.file_name(F.col("url")).alias("file"), text.extension(F.lit("http://a/b"), F.lit("image/jpeg; q=1")).alias("ext"), text.extension(named, F.lit(None).cast("string")).alias("ext2"))
 
 
-@query("""select page_id, regexp_extract(html, '<h1>([^<]*)</h1>', 1) as title from pages where not contains(html, '&') """)
-def page_title_h1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from polycat.extract.html import with_details
+_TITLE = "regexp_extract(html, '<h1>([^<]*)</h1>', 1)"
 
-    p = Catalog(spark, sf_dir).source("pages").where(~F.contains(F.col("html"), F.lit("&"))).withColumn("car_id", F.lit(None).cast("string"))
-    return with_details(p).select("page_id", F.trim("detail.name").alias("title"))
+
+@query(f"""select page_id, trim(replace(regexp_replace(regexp_replace({_TITLE}, '&quot;?', '"', 'g'), '&amp;?', '&', 'g'), chr(160), ' ')) as title from pages""")
+def page_title_h1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = pages.with_details(Catalog(spark, sf_dir).source("pages").withColumn("car_id", F.lit(None).cast("string")))
+    return p.select("page_id", F.col("detail.name").alias("title"))
 
 
 @query("""select user_id, string_agg(event_type, ',' order by first) as types from (select user_id, event_type, min(event_id) as first from events group by 1, 2) group by user_id""")
 def ordered_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = Catalog(spark, sf_dir).source("events").groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct("event_id", "event_type"))).alias("_e"))
-    return e.select("user_id", F.array_join(F.array_distinct("_e.event_type"), ",").alias("types"))
+    e = Catalog(spark, sf_dir).source("events")
+    return text.ordered_distinct(e, ["user_id"], "event_type", "event_id", "types").withColumn("types", F.array_join("types", ","))
 
 
 @query("""select cast(o_orderkey as string) as car_id, concat('hero_', cast(r as string)) as job_id, url, concat('cars/', cast(o_orderkey as string), '/', cast(o_orderkey as string), '_hero_', lpad(cast(r as string), 2, '0')) as dest_rel from (
-    select l_orderkey as o_orderkey, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_extendedprice) as r, case when l_linenumber % 3 = 0 then 'data:x' else concat('u', cast(l_partkey as string)) end as url from lineitem where l_orderkey < 500) where url <> 'data:x'""")
+    select l_orderkey as o_orderkey, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_extendedprice) as r, case when l_linenumber % 3 = 0 then 'data:x' else concat('u', cast(l_partkey as string)) end as url from lineitem) where url <> 'data:x'""")
 def image_jobs_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = Catalog(spark, sf_dir).source("lineitem").where("l_orderkey < 500")
+    rows = Catalog(spark, sf_dir).source("lineitem")
     url = F.when(F.col("l_linenumber") % 3 == 0, "data:x").otherwise(F.concat(F.lit("u"), F.col("l_partkey").cast("string")))
     by_car = rows.groupBy(F.col("l_orderkey").cast("string").alias("car_id")).agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", url.alias("url"))))["url"].alias("heroes"))
     recs = by_car.select("car_id", "heroes", F.lit(None).cast("string").alias("logo_url"), F.lit("m").alias("manufacturer_id"), F.array().cast("array<string>").alias("thumbs"))
@@ -415,3 +429,127 @@ def collation_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def orphan_references(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = Catalog(spark, sf_dir)
     return quality.orphans(c).where("table = 'cars'")
+
+
+# Scripts, payloads and pages made of rows of part by expressions that both engines read.
+_K, _N, _SIZE = "cast(p_partkey as string)", "p_name", "cast(p_size as string)"
+_SCRIPT = f"""concat('/* cars */ const d = {{', 'car', {_K}, ': {{name: ', chr(39), {_N}, chr(39), ', pp: ', {_SIZE}, ', tags: [', {_SIZE}, ', "a",], on: !0, no: null}},}};export {{d as CarList}};')"""
+
+
+@query(f"""select concat('car', {_K}) as car_id, concat('{{"name": "', {_N}, '", "pp": ', {_SIZE}, ', "tags": [', {_SIZE}, ', "a"], "on": true, "no": null}}') as payload from part""")
+def script_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.from_scripts(Catalog(spark, sf_dir).source("part").select(F.expr(_SCRIPT).alias("text")))
+
+
+_TOLD = f"""case when p_partkey % 2 = 0 then concat('let q = [{{id: "car', {_K}, '", hero: `', {_N}, '`}}, {{hero: 1}}]; export {{q as Descriptions}}') else concat('x = {{a: 1}}; y = {{car', {_K}, ': {{hero: "', {_N}, '"}}, other: {{}}}}') end"""
+
+
+@query(f"""select concat('car', {_K}) as car_id, concat(case when p_partkey % 2 = 0 then concat('{{"id": "car', {_K}, '", ') else '{{' end, '"hero": "', {_N}, '"}}') as payload from part union all select 'other', '{{}}' from part where p_partkey % 2 = 1""".replace("{{", "{").replace("}}", "}"))
+def script_descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.from_scripts(Catalog(spark, sf_dir).source("part").select(F.expr(_TOLD).alias("text")), kind="descriptions")
+
+
+_PAYLOAD = f"""concat('{{', case when p_partkey % 5 <> 0 then concat('"nameShort": "', {_N}, '", ') else '"nameShort": "", ' end, '"nameLong": "', {_N}, ' ', chr(39), right(cast(100 + p_size as string), 2), '", "manufacturerId": "', p_brand, '", "makerName": "maker ', p_brand, '", "countryId": "c', {_SIZE}, '", "driveTrain": "', case when p_partkey % 3 = 0 then '四驱' else 'f r' end, '", "aspirationShort": "', case when p_partkey % 4 = 0 then 'T' else 'NA' end, '", "carClass": null, "class": "', p_type, '", "pp": ', {_SIZE}, ', "logo": "/l', {_K}, '.png", "list": {{"small": "/s.png"}}, "main": ["/m', {_SIZE}, '.jpg", "/m', {_SIZE}, '.jpg", "data:image/png", "x.txt"], "specs": {{"Weight": "', {_SIZE}, ' kg"}}, "weight": 7, "length": "4 mm"}}')"""
+
+
+@query(f"""select {_K} as car_id, p_brand as manufacturer_id, concat('maker ', p_brand) as maker, case when p_partkey % 5 <> 0 then {_N} else {_K} end as name, concat(case when p_size % 100 <= 29 then '20' else '19' end, right(cast(100 + p_size as string), 2)) as year, concat('c', {_SIZE}) as country_id,
+    case when p_partkey % 4 = 0 then 'TC' else 'NA' end as aspiration_code, case when p_partkey % 3 = 0 then '4WD' else 'FR' end as drivetrain_code, p_type as car_class, {_SIZE} as pp, concat('Weight=', {_SIZE}, ' kg;Drivetrain=', case when p_partkey % 3 = 0 then '四驱' else 'f r' end, ';Length=4 mm') as specs, concat('/l', {_K}, '.png') as logo_url, concat('/m', {_SIZE}, '.jpg') as heroes, '/s.png' as thumbs from part""")
+def record_builder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cars = Catalog(spark, sf_dir).source("part").select(F.col("p_partkey").cast("string").alias("car_id"), F.expr(_PAYLOAD).alias("payload"))
+    r = ingest.records(ingest.Bundle(cars=cars), "gb")
+    specs_ = F.array_join(F.transform("specs", lambda x: F.concat(x["label"], F.lit("="), x["raw"])), ";")
+    return r.select("car_id", "manufacturer_id", "maker", "name", "year", "country_id", "aspiration_code", "drivetrain_code", "car_class", "pp", specs_.alias("specs"), "logo_url", F.array_join("heroes", ",").alias("heroes"), F.array_join("thumbs", ",").alias("thumbs"))
+
+
+_PAGE = f"""concat('<meta property="og:image" content="/i/car', {_K}, '.png"><main><h1> A &amp; ', {_N}, '</h1><h2>Maker ', p_brand, '</h2>', case when p_partkey % 3 = 0 then concat('<div><h4>A heading long enough ', {_K}, '</h4><p>Its <b>own</b> text ', {_SIZE}, '</div>') else concat('<p>short</p><p>A paragraph that is long: ', {_N}, '</p><p>And a second one, of size ', {_SIZE}, '.</p>') end, case when p_partkey % 2 = 0 then concat('<table><tr><th>Weight</th><td>', {_SIZE}, ' kg</td></tr><tr><td>alone</td></tr></table>') else concat('<dl><dt>Size</dt><dd>', {_SIZE}, '</dd></dl>') end, case when p_partkey % 5 <> 0 then concat('<img src="/x/car', {_K}, '_1.jpg"><img src="/thumbnails/car', {_K}, '.jpg">') else '' end, '</main>')"""
+
+
+@query(f"""select p_partkey, concat('A & ', {_N}) as name, concat('Maker ', p_brand) as maker, case when p_partkey % 3 = 0 then concat('A heading long enough ', {_K}) else concat('A paragraph that is long: ', {_N}) end as intro, case when p_partkey % 3 = 0 then concat('Its own text ', {_SIZE}) else concat('And a second one, of size ', {_SIZE}, '.') end as detail,
+    case when p_partkey % 2 = 0 then concat('Weight=', {_SIZE}, ' kg') else concat('Size=', {_SIZE}) end as specs, case when p_partkey % 5 <> 0 then concat('/x/car', {_K}, '_1.jpg') else concat('/i/car', {_K}, '.png') end as images from part""")
+def page_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = Catalog(spark, sf_dir).source("part").select("p_partkey", F.expr(_PAGE).alias("html"), F.concat(F.lit("car"), F.col("p_partkey").cast("string")).alias("car_id"))
+    d = pages.with_details(p)
+    specs_ = F.array_join(F.transform("detail.specs", lambda x: F.concat(x["label"], F.lit("="), x["raw"])), ";")
+    return d.select("p_partkey", "detail.name", F.col("detail.manufacturer_name").alias("maker"), "detail.intro", "detail.detail", specs_.alias("specs"), F.array_join("detail.hero_images", ",").alias("images"))
+
+
+_LIST_PAGE = f"""concat('<img src="/thumbnails/car', {_K}, '.png"><a href="/id/car', {_K}, '"><img src="t', {_SIZE}, '.png"></a><p>12 Cars, then ', {_SIZE}, ' car</p><script src="/assets/index-', {_K}, '.js"></script>')"""
+
+
+@query(f"""select concat('car', {_K}) as car_id, 1 as pos, concat('/thumbnails/car', {_K}, '.png') as url from part union all select concat('car', {_K}), 2, concat('t', {_SIZE}, '.png') from part""")
+def page_thumbnails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = Catalog(spark, sf_dir).source("part").select(F.expr(_LIST_PAGE).alias("html"))
+    return p.lateralJoin(pages.Thumbnails(F.col("html").outer())).select("car_id", "pos", "url")
+
+
+@query(f"""select p_partkey, concat('/assets/index-', {_K}, '.js') as script, greatest(12, p_size) as total from part""")
+def page_scripts_and_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = Catalog(spark, sf_dir).source("part").select("p_partkey", F.expr(_LIST_PAGE).alias("html"))
+    return p.select("p_partkey", pages.first_script(F.col("html"), "/assets/index-[^\"]+").alias("script"), pages.site_total(F.col("html")).alias("total"))
+
+
+_MODULES = f"""concat('"x/car7_1_', {_SIZE}, '.jpg": () => e(() => import("./m', {_K}, '.js"), []), "x/car8_1_1.jpg": () => e(() => import("./no.js"), [])', ' "/a/car7_1_', {_SIZE}, '-x.jpg" "/b/car7_1_', {_SIZE}, '-y.jpg"')"""
+
+
+@query(f"""select p_partkey, concat('m', {_K}, '.js') as modules, concat('/a/car7_1_', {_SIZE}, '-x.jpg') as urls from part""")
+def script_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = F.expr(_MODULES)
+    return Catalog(spark, sf_dir).source("part").select("p_partkey", F.array_join(pages.hero_modules(m, "car7"), ",").alias("modules"), F.array_join(pages.hero_urls(m, "car7"), ",").alias("urls"))
+
+
+_NEW_SPECS = "select id + 50000000 as id, car_id, locale, 'n' as spec_key, spec_value from car_specs where spec_key = 'max_power' and cast(car_id as int) % 3 = 0 and locale = 'cn'"
+
+
+@query(f"""select id, car_id, locale, spec_key, spec_value from car_specs o where not exists (select 1 from ({_NEW_SPECS}) n where n.car_id = o.car_id and n.locale = o.locale) and not (cast(car_id as int) % 6 = 3) union all {_NEW_SPECS}""")
+def replace_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    old = Catalog(spark, sf_dir).table("car_specs")
+    third = old.where("cast(car_id as int) % 3 = 0")  # of these the even ones have new rows in cn, the odd ones none
+    new = third.where("spec_key = 'max_power' and locale = 'cn'").withColumn("id", F.col("id") + 50000000).withColumn("spec_key", F.lit("n"))
+    done = third.select("car_id").distinct().withColumn("locale", F.lit("cn"))
+    return upsert.replace_specs(old, new, done).select("id", "car_id", "locale", "spec_key", "spec_value")
+
+
+@query("""select car_id, image_path, image_type from car_images where sort_order <= 3 and cast(car_id as int) % 2 = 1 union all select car_id, image_path, image_type from car_images where sort_order > 3 and cast(car_id as int) % 2 = 0""")
+def replace_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = Catalog(spark, sf_dir).table("car_images")
+    even = i.where("cast(car_id as int) % 2 = 0")
+    return upsert.replace_images(i.where("sort_order <= 3"), even.where("sort_order > 3"), even.select("car_id").distinct()).select("car_id", "image_path", "image_type")
+
+
+@query("""select code, locale, label from (select p_type as code, p_brand as locale, p_name as label, row_number() over (partition by p_type, p_brand order by p_partkey) as f, row_number() over (partition by p_type, p_brand order by p_partkey desc) as l from part) where case when locale in ('Brand#1', 'Brand#2') then f = 1 else l = 1 end""")
+def labels_first_and_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = Catalog(spark, sf_dir).source("part").select(F.col("p_type").alias("code"), F.col("p_brand").alias("locale"), F.col("p_name").alias("label"), F.col("p_partkey").alias("pos"))
+    known = F.col("locale").isin("Brand#1", "Brand#2")
+    none = spark.createDataFrame([], schema.struct("spec_code_i18n"))
+    return upsert.set_labels(none, p.where(~known)).unionByName(upsert.add_labels(none, p.where(known)))
+
+
+@query("""select code, coalesce(i.label, c.code) as label from (select distinct p_type as code from part) c left join (select p_type as code, min(p_name) as label from part where p_size > 40 group by 1) i using (code)""")
+def code_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = Catalog(spark, sf_dir).source("part")
+    old = p.select(F.col("p_type").alias("code")).distinct().withColumn("default_name", F.col("code"))
+    new = p.where("p_size > 40").groupBy(F.col("p_type").alias("code")).agg(F.min("p_name").alias("label")).select("code", F.lit("gb").alias("locale"), "label", F.col("label").alias("default_name"))
+    codes_, _ = upsert.codes(old, spark.createDataFrame([], schema.struct("drivetrain_i18n")), new)
+    return codes_.select("code", F.col("default_name").alias("label"))
+
+
+@query("""select iso3, 'cn' as locale, coalesce(nullif(max(name) filter (locale = 'cn'), ''), nullif(max(name) filter (locale = 'gb'), '')) as name from country_i18n where locale in ('cn', 'gb') group by iso3""")
+def country_names_of_locale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleanup.country_names(Catalog(spark, sf_dir).table("country_i18n"), "cn")
+
+
+@query("""select page_id, case when page_id % 2 = 0 then url else 'https://b.example/x/y.js' end as absolute, case when page_id % 2 = 0 then url else 'https://b.example/assets/x/y.js' end as asset, page_id % 3 = 0 as image, case page_id % 3 when 0 then '.jpg' when 1 then '.png' else '.jpg' end as ext from pages""")
+def url_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    u = F.when(F.col("page_id") % 2 == 0, F.col("url"))
+    name = F.when(F.col("page_id") % 3 == 0, "a.JPEG").otherwise("a.txt")
+    ext = F.when(F.col("page_id") % 3 == 0, " .JPE").when(F.col("page_id") % 3 == 1, ".PNG")
+    return Catalog(spark, sf_dir).source("pages").select("page_id", text.absolute(F.coalesce(u, F.lit("x/y.js")), "https://b.example").alias("absolute"), text.asset_url(F.coalesce(u, F.lit("../x/y.js")), "https://b.example", "/assets/").alias("asset"), text.is_image(name).alias("image"), text.image_extension(ext).alias("ext"))
+
+
+@query("""select cast(user_id as string) as car_id, concat('p/', cast(event_id as string)) as image_path, cast(event_id as int) as sort_order, case when event_id % 2 = 0 then 'hero' else 'thumb' end as image_type from events where event_type in ('view', 'click')""")
+def image_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = Catalog(spark, sf_dir).source("events")
+    car, number = F.col("user_id").cast("string").alias("car_id"), F.col("event_id").cast("string")
+    job = F.concat(F.when(F.col("event_id") % 2 == 0, "hero_").otherwise("thumb_"), number).alias("job_id")
+    status = F.when(F.col("event_type") == "view", "ok").when(F.col("event_type") == "click", "skipped").otherwise("failed")
+    return ingest.image_results(e.select(car, job), e.select(car, job, status.alias("status"), F.concat(F.lit("p/"), number).alias("path_rel")))

@@ -42,10 +42,15 @@ class Lake:
             source.close()
 
     def _write_text(self, path: str, text: str) -> None:
+        """Written beside and renamed, so that no reader meets half a file."""
         fs, p = self._fs(path)
-        sink = fs.create(p, True)
+        _, beside = self._fs(f"{path}-{uuid.uuid4().hex}")
+        sink = fs.create(beside, True)
         sink.write(bytearray(text.encode()))
         sink.close()
+        if not fs.rename(beside, p):  # stores that do not rename over a file
+            fs.delete(p, False)
+            fs.rename(beside, p)
 
     def version(self, table: str) -> str | None:
         return self._read_text(f"{self.path}/{table}/_current")
@@ -78,6 +83,14 @@ class Lake:
         fields = [f for f in df.schema if f.name != "locale" or table not in schema.BY_LOCALE] + [f for f in df.schema if f.name == "locale" and table in schema.BY_LOCALE]
         self._write_text(f"{self.path}/{table}/_current", json.dumps({"dir": name, "schema": ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)}))
 
+    def vacuum(self, table: str) -> None:
+        """Deletes all versions of a table but the current one; for when no one reads them any more."""
+        at = json.loads(self.version(table))["dir"]
+        fs, p = self._fs(f"{self.path}/{table}")
+        for f in fs.listStatus(p):
+            if f.getPath().getName() not in (at, "_current"):
+                fs.delete(f.getPath(), True)
+
     def create(self, images: bool = False) -> Lake:
         """Makes the tables that aren't there yet, empty; adds columns that an older dataset lacks."""
         for table in schema.TABLES:
