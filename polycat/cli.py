@@ -7,11 +7,13 @@ import json
 import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from polycat.functions.text import parse_locales
+from polycat.operators import cleanup
 from polycat.operators.merge import merge
 from polycat.plans import detail, ingest, lists, quality
-from polycat.sources.files import manifest
+from polycat.sources.files import hero_files, id_list, manifest, write_ids
 from polycat.sources.lake import Lake
 
 
@@ -29,6 +31,11 @@ def to_json(data) -> str:
     return json.dumps(data, ensure_ascii=False, indent=2, default=str)
 
 
+def to_compact(data) -> str:
+    """JSON in ASCII without spaces."""
+    return json.dumps(data, separators=(",", ":"), default=str)
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="polycat")
     sub = p.add_subparsers(dest="command", required=True)
@@ -38,7 +45,7 @@ def parser() -> argparse.ArgumentParser:
         c.add_argument("--db", required=True, help="folder of the dataset")
         if locale:
             c.add_argument("--locale", default="gb")
-        c.add_argument("--format", choices=("text", "json"), default="text")
+        c.add_argument("--format", choices=("text", "json", "compact"), default="text")
         c.add_argument("--out", help="file to write to instead of standard output")
         return c
 
@@ -60,12 +67,27 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("--locales", required=True)
     b.add_argument("--base", default="gb")
     b.add_argument("--text-policy", choices=("target-only", "all"), default="target-only")
+    b.add_argument("--limit", type=int, default=0)
+    b.add_argument("--car-list", help="file of ids, one in a line")
+    b.add_argument("--resume", action="store_true")
+    b.add_argument("--image-policy", choices=tuple(ingest.IMAGE_POLICIES), default="base-only")
     h = sub.add_parser("check")
     h.add_argument("--db", required=True)
-    h.add_argument("--manifest", required=True)
-    h.add_argument("--least", type=int, default=1)
-    h.add_argument("--mode", choices=("strict", "soft", "off"), default="soft")
-    h.add_argument("--report")
+    for x in (b, h):
+        x.add_argument("--manifest", required=x is h)
+        x.add_argument("--least", type=int, default=1)
+        x.add_argument("--mode", choices=("strict", "soft", "off"), default="soft")
+        x.add_argument("--report")
+        x.add_argument("--max-count", type=int, default=20)
+        x.add_argument("--max-ratio", type=float, default=0.05)
+    e = sub.add_parser("examples", help="the smallest id of each maker, as lines")
+    e.add_argument("--db", required=True)
+    e.add_argument("--out", required=True)
+    f = sub.add_parser("fix-paths", help="image paths that end in .jpe")
+    f.add_argument("--db", required=True)
+    n = sub.add_parser("manifest", help="hero images counted in a folder")
+    n.add_argument("--images", required=True)
+    n.add_argument("--out", required=True)
     sub.add_parser("doctor")
     return p
 
@@ -78,7 +100,16 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         return 0
     if a.command == "build":
         bundles = {x: ingest.from_folder(spark, a.source, x) for x in parse_locales(a.locales, [])}
-        return ingest.build_all(spark, a.folder, bundles, a.base, a.text_policy == "target-only", a.out)
+        listed = id_list(spark, a.car_list) if a.car_list else None
+        code = ingest.build_all(spark, a.folder, bundles, a.base, a.text_policy == "target-only", a.out, ingest.Options(a.limit, listed, a.resume, a.image_policy))
+        if a.manifest and not code:
+            lakes = {x: Lake(spark, f"{a.folder}/locale={x}") for x in bundles}
+            return quality.check_heroes(lakes, manifest(spark, a.manifest), a.least, a.mode, a.report, a.max_count, a.max_ratio)
+        return code
+    if a.command == "manifest":
+        counts = hero_files(spark, a.images)
+        counts.select(F.to_json(F.struct("car_id", "n"))).write.text(a.out)
+        return 0
     if a.command == "doctor":
         print(to_text({"python": sys.version.split()[0], "spark": spark.version, "master": spark.sparkContext.master, "shared folder": spark.conf.get("spark.checkpoint.dir", None)}))
         return 0
@@ -87,8 +118,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         print(f"no dataset at {a.db}", file=sys.stderr)
         return 1
     if a.command == "check":
-        return quality.check_heroes({a.db: lake}, manifest(spark, a.manifest), a.least, a.mode, a.report)
-    rows = lambda df: [r.asDict(recursive=True) for r in df.collect()]
+        return quality.check_heroes({a.db: lake}, manifest(spark, a.manifest), a.least, a.mode, a.report, a.max_count, a.max_ratio)
+    if a.command == "examples":
+        write_ids(quality.examples(lake.table("cars")).orderBy("manufacturer_id").select("id"), a.out)
+        return 0
+    if a.command == "fix-paths":
+        print(cleanup.fix_paths(lake))
+        return 0
+    rows = lambda df: [r.asDict(recursive=True) for r in df.toLocalIterator()]
     if a.command == "list":
         data = rows(lists.list_cars(lake, a.locale, a.sort, a.limit))
     elif a.command == "car":
@@ -97,7 +134,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         data = rows({"manufacturer": lists.stats_by_manufacturer, "country": lists.stats_by_country, "drivetrain": lists.stats_by_drivetrain}[a.by](lake, a.locale))
     else:
         data = rows(lists.overview_stats(lake))[0]
-    out = to_json(data) if a.format == "json" else to_text(data)
+    out = {"json": to_json, "compact": to_compact, "text": to_text}[a.format](data)
     if a.out:
         with open(a.out, "w", encoding="utf-8") as f:
             f.write(out + "\n")

@@ -73,6 +73,16 @@ def jpe_paths(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.when(F.lower(c).endswith(".jpe"), F.concat(F.expr(f"substr(`{column}`, 1, length(`{column}`) - 4)"), F.lit(".jpg"))).otherwise(c))
 
 
+def fix_paths(lake) -> int:
+    """Repairs the image paths of a dataset that end in .jpe; how many did."""
+    if not lake.has_table("car_images"):
+        return 0
+    wrong = lake.table("car_images").where(F.lower("image_path").endswith(".jpe")).count()
+    if wrong:
+        lake.write("car_images", jpe_paths(lake.table("car_images"), "image_path"))
+    return wrong
+
+
 def drop_if_empty(df: DataFrame, column: str) -> DataFrame:
     """Without a column that holds nothing but nulls and empty strings."""
     if column not in df.columns:

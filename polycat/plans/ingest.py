@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from polycat.extract import html as pages_
 from polycat.extract import js
@@ -38,6 +39,30 @@ class Bundle:
     iso: DataFrame | None = None
     countries: DataFrame | None = None
     thumbs: DataFrame | None = None
+    images: DataFrame | None = None  # (car_id, image_path, sort_order, image_type), as image_results() gives them
+    site_total: int | None = None  # how many cars the site says it has
+
+
+@dataclass
+class Options:
+    """What a build works on: all cars or a limit or a list (pos, id) of them, all or those without a success yet, and whose images it keeps."""
+
+    limit: int = 0
+    listed: DataFrame | None = None
+    resume: bool = False
+    image_policy: str = "base-only"
+
+    def __post_init__(self):
+        if self.image_policy not in IMAGE_POLICIES:
+            raise ValueError(f"unknown image policy {self.image_policy}; one of {', '.join(IMAGE_POLICIES)}")
+
+    def images_of(self, first: bool) -> bool:
+        """Whether the base locale (first) or another keeps images."""
+        return first in IMAGE_POLICIES[self.image_policy]
+
+
+# For each policy, whether the base locale (True) and others (False) keep images.
+IMAGE_POLICIES = {"base-only": (True,), "all-locales": (True, False), "none": ()}
 
 
 def from_scripts(scripts: DataFrame, column: str = "text", kind: str = "cars") -> DataFrame:
@@ -173,20 +198,29 @@ def choose(ids: DataFrame, listed: DataFrame | None = None, limit: int = 0) -> D
     return out.orderBy("pos").limit(limit) if limit > 0 else out
 
 
-def build_locale(lake: Lake, bundle: Bundle, locale: str, base: str = "gb", resume: bool = False) -> int:
-    """Writes a locale's records into a dataset; 0 if all cars made it, 2 if some didn't.
+def build_locale(lake: Lake, bundle: Bundle, locale: str, base: str = "gb", resume: bool = False, options: Options | None = None) -> int:
+    """Writes a locale's records into a dataset; 0 if all went well, 2 if the cars made are not as many as the site says it has.
 
     The base locale sets canonical names and texts; others add their overlays but set codes and makers. With resume,
-    cars whose last log row is a success are left out.
+    cars whose last log row is a success are left out. A car whose payload is no JSON object fails: it gets a log row
+    that says so, and the others are built. The count is compared for whole builds only, not with a limit, a list or
+    resume; the dataset's fact "status" says how it went.
     """
+    options = options or Options(resume=resume)
     spark, first = lake.spark, locale == base
-    lake.create(images=False)
+    lake.create(images=options.images_of(first) and bundle.images is not None)
     cars = bundle.cars
-    if resume:
+    if options.limit > 0 or options.listed is not None:
+        ids = cars.select(F.row_number().over(Window.orderBy("car_id")).alias("pos"), F.col("car_id").alias("id")) if options.listed is None else None
+        cars = cars.join(choose(ids, options.listed, options.limit).select(F.col("id").alias("car_id")).distinct(), "car_id", "left_semi")
+    if options.resume:
         left = quality.pending(cars.select(F.col("car_id").alias("id")), lake.table("fetch_log"), locale).select(F.col("id").alias("car_id"))
         cars = cars.join(left, "car_id", "left_semi")
         if not cars.limit(1).count():
             return 0
+    sound = F.coalesce(F.ltrim(F.get_json_object("payload", "$")).startswith("{"), F.lit(False))
+    failed = cars.where(~sound).select("car_id").distinct()
+    cars = cars.where(sound)
     labels = bundle.labels if bundle.labels is not None else spark.createDataFrame([], "locale string, label string, code string")
     recs = Bundle(**{**bundle.__dict__, "cars": cars})
     recs = records(recs, locale)
@@ -207,10 +241,35 @@ def build_locale(lake: Lake, bundle: Bundle, locale: str, base: str = "gb", resu
         if bundle.countries is not None:
             lake.write("country_i18n", cleanup.country_names(bundle.countries, locale))
         lake.write("manufacturers", cleanup.manufacturer_names(lake.table("manufacturers"), lake.table("manufacturer_i18n"), locale) if first else lake.table("manufacturers"))
-        wanted, made = cars.select("car_id").distinct().count(), recs.count()
+        if options.images_of(first) and bundle.images is not None:
+            write_images(lake, bundle.images.join(recs.select("car_id"), "car_id", "left_semi"), keep_better=not first)
+        log(lake, failed, locale, "failed", "payload is no object")
+        made = recs.count()
     finally:
         recs.unpersist()
-    return 0 if made == wanted else 2
+    whole = options.limit <= 0 and options.listed is None and not options.resume
+    wrong = whole and bundle.site_total is not None and made != bundle.site_total
+    lake.set_meta("status", "count_mismatch" if wrong else "ok")
+    return 2 if wrong else 0
+
+
+def write_images(lake: Lake, images: DataFrame, keep_better: bool) -> None:
+    """Replaces the images of the cars in images; with keep_better, kinds of which there are fewer new ones stay as they are."""
+    old, new = lake.get("car_images"), images
+    if keep_better:
+        new = upsert.image_rows(old.join(images.select("car_id").distinct(), "car_id", "left_semi"), images)
+    last = old.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
+    rows = new.select((F.monotonically_increasing_id() + last + 1).alias("id"), "car_id", "image_path", "sort_order", "image_type")
+    lake.write("car_images", upsert.replace_images(old, rows, images.select("car_id").distinct()))
+
+
+def log(lake: Lake, cars: DataFrame, locale: str, status: str, message: str | None = None) -> None:
+    """A log row for each of cars (car_id)."""
+    had = lake.table("fetch_log")
+    last = had.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
+    now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    rows = cars.select((F.monotonically_increasing_id() + last + 1).alias("id"), "car_id", F.lit(locale).alias("locale"), F.lit(status).alias("status"), F.lit(message).cast("string").alias("message"), now.alias("updated_at"))
+    lake.write("fetch_log", had.unionByName(rows.select(had.columns)))
 
 
 def _without_codes(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -244,12 +303,10 @@ def write(lake: Lake, recs: DataFrame, specs: DataFrame, labels: DataFrame, loca
     seen = specs.groupBy(F.col("spec_key").alias("code"), "locale").agg(F.min_by("spec_label", "sort_order").alias("label"))
     given = labels.where(F.col("locale") == locale).groupBy("code", "locale").agg(F.min("label").alias("label"))
     lake.write("spec_code_i18n", upsert.insert_only(upsert.insert_only(lake.table("spec_code_i18n"), given, ["code", "locale"]), seen, ["code", "locale"]))
-    last = lake.table("fetch_log").agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
-    log = recs.select((F.monotonically_increasing_id() + last + 1).alias("id"), "car_id", here, F.lit("success").alias("status"), F.lit(None).cast("string").alias("message"), F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("updated_at"))
-    lake.write("fetch_log", lake.table("fetch_log").unionByName(log.select(lake.table("fetch_log").columns)))
+    log(lake, recs.select("car_id"), locale, "success")
 
 
-def build_all(spark: SparkSession, folder: str, bundles: dict[str, Bundle], base: str = "gb", target_only: bool = True, out: str | None = None) -> int:
+def build_all(spark: SparkSession, folder: str, bundles: dict[str, Bundle], base: str = "gb", target_only: bool = True, out: str | None = None, options: Options | None = None) -> int:
     """A dataset for each locale, the base first and the others from copies of it, and the merged one if out is given; the exit code."""
     worst = 0
     for locale in [base, *[x for x in bundles if x != base]]:
@@ -257,7 +314,7 @@ def build_all(spark: SparkSession, folder: str, bundles: dict[str, Bundle], base
         lake = Lake(spark, path)
         if locale != base and not lake.has_table("cars"):
             lake = Lake(spark, f"{folder}/locale={base}").copy_to(path)
-        worst = max(worst, build_locale(lake, bundles[locale], locale, base))
+        worst = max(worst, build_locale(lake, bundles[locale], locale, base, options=options))
         if target_only:
             cleanup.prune(lake, locale)
     if out:

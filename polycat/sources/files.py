@@ -43,7 +43,13 @@ def id_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
-    """car_id, expected from {"counts": {...}} or a flat object; values that are no whole numbers are left out."""
+    """car_id, expected from {"counts": {...}} or a flat object, or from a folder of lines {"car_id": .., "n": ..}; values that are no whole numbers are left out."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(at) and fs.getFileStatus(at).isDirectory():
+        lines = spark.read.text(path).select(F.from_json("value", "car_id string, n int").alias("_l"))
+        return lines.select("_l.car_id", F.col("_l.n").alias("expected")).where("expected is not null and car_id is not null")
     text = _json(spark, path)
     body = F.coalesce(F.get_json_object("value", "$.counts"), F.col("value"))
     rows = text.select(F.explode(F.from_json(body, "map<string,string>")).alias("car_id", "_n"))

@@ -83,6 +83,15 @@ class Lake:
         fields = [f for f in df.schema if f.name != "locale" or table not in schema.BY_LOCALE] + [f for f in df.schema if f.name == "locale" and table in schema.BY_LOCALE]
         self._write_text(f"{self.path}/{table}/_current", json.dumps({"dir": name, "schema": ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)}))
 
+    def get_meta(self, key: str) -> str | None:
+        row = self.get("meta").where(F.col("key") == key).select("value").first()
+        return row[0] if row else None
+
+    def set_meta(self, key: str, value: str | None) -> None:
+        """Sets one value of the dataset's own table of facts; the last one set counts."""
+        said = self.spark.createDataFrame([(key, value)], schema.struct("meta"))
+        self.write("meta", self.get("meta").where(F.col("key") != key).select("key", "value").unionByName(said))
+
     def vacuum(self, table: str) -> None:
         """Deletes all versions of a table but the current one; for when no one reads them any more."""
         at = json.loads(self.version(table))["dir"]

@@ -72,6 +72,57 @@ def test_resume(spark, built, tmp_path):
     assert lake.table("fetch_log").count() == 2 * n and lake.table("car_specs").count() == 6 and lake.table("cars").count() == 2
 
 
+def test_failures_counts_and_options(spark, tmp_path):
+    """A bad payload is a failed row, the site's count decides the exit code of whole builds, limits and lists cut, images follow the policy."""
+    b = bundle(spark, "gb")
+    b.cars = b.cars.unionByName(spark.createDataFrame([("car3", "[1]"), ("car4", "no json"), ("car5", None)], "car_id string, payload string"))
+    b.site_total = 5
+    at = lambda n: Lake(spark, f"file://{tmp_path}/{n}")
+    lake = at("a")
+    assert ingest.build_locale(lake, b, "gb") == 2 and lake.get_meta("status") == "count_mismatch"
+    last = {r.car_id: r.status for r in quality.latest_status(lake.table("fetch_log")).collect()}
+    assert last == {"car1": "success", "car2": "success", "car3": "failed", "car4": "failed", "car5": "failed"}
+    assert lake.table("cars").count() == 2
+    assert ingest.build_locale(lake, b, "gb", resume=True) == 0 and lake.table("fetch_log").count() == 8  # failed ones again
+    b.site_total = 2
+    assert ingest.build_locale(at("b"), b, "gb") == 0 and at("b").get_meta("status") == "ok"
+    b.site_total = 5
+    one = ingest.Options(limit=1)
+    assert ingest.build_locale(at("c"), b, "gb", options=one) == 0 and [r.id for r in at("c").table("cars").collect()] == ["car1"]
+    listed = ingest.Options(listed=spark.createDataFrame([(0, "car2"), (1, "none")], "pos int, id string"))
+    assert ingest.build_locale(at("d"), b, "gb", options=listed) == 0 and [r.id for r in at("d").table("cars").collect()] == ["car2"]
+    image = "car_id string, image_path string, sort_order int, image_type string"
+    b.images = spark.createDataFrame([("car1", "a.jpe", 1, "hero"), ("car1", "b.jpg", 2, "hero"), ("none", "x", 1, "hero")], image)
+    lake = at("e")
+    ingest.build_locale(lake, b, "gb")
+    paths = lambda: sorted(r.image_path for r in lake.table("car_images").collect())
+    assert paths() == ["a.jpe", "b.jpg"]
+    other = bundle(spark, "cn")
+    other.images = spark.createDataFrame([("car1", "c.jpg", 1, "hero"), ("car1", "t.jpg", 1, "thumb")], image)
+    ingest.build_locale(lake, other, "cn")
+    assert paths() == ["a.jpe", "b.jpg"]
+    ingest.build_locale(lake, other, "cn", options=ingest.Options(image_policy="all-locales"))
+    assert paths() == ["a.jpe", "b.jpg", "t.jpg"]  # fewer heroes than there were, but the only thumb
+    assert cli.main(["fix-paths", "--db", lake.path], spark) == 0 and paths() == ["a.jpg", "b.jpg", "t.jpg"]
+    assert not ingest.Options(image_policy="none").images_of(True)
+    with pytest.raises(ValueError, match="image policy"):
+        ingest.Options(image_policy="some")
+    assert cli.main(["examples", "--db", lake.path, "--out", f"file://{tmp_path}/ids"], spark) == 0
+    assert [r[0] for r in spark.read.text(f"file://{tmp_path}/ids").collect()] == ["car1"]
+
+
+def test_facts_and_versions(spark, tmp_path):
+    lake = Lake(spark, f"file://{tmp_path}/l").create()
+    assert lake.get_meta("a") is None
+    for v in ("1", "2"):
+        lake.set_meta("a", v)
+    lake.set_meta("b", None)
+    assert lake.get_meta("a") == "2" and lake.table("meta").count() == 2
+    lake.vacuum("meta")
+    assert lake.get_meta("a") == "2" and len(list((tmp_path / "l" / "meta").glob("v-*"))) == 1
+    assert cli.to_compact({"é": [1, 2]}) == '{"\\u00e9":[1,2]}'
+
+
 def test_merge_guards(spark, built, tmp_path):
     lake, parts = built
     for args, said in ((dict(folder=f"file://{tmp_path}/none"), "no datasets"), (dict(folder=parts, locales=["fr"]), "no dataset for"), (dict(folder=parts, base="fr"), "base locale")):
@@ -170,6 +221,8 @@ def test_files(spark, tmp_path):
         (tmp_path / "img" / n).parent.mkdir(parents=True, exist_ok=True)
         (tmp_path / "img" / n).write_text("x")
     assert [tuple(r) for r in files.hero_files(spark, at("img")).collect()] == [("car1", 2)]
+    assert cli.main(["manifest", "--images", at("img"), "--out", at("counted")], spark) == 0
+    assert [tuple(r) for r in files.manifest(spark, at("counted")).collect()] == [("car1", 2)]
 
 
 def test_html():
