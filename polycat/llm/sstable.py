@@ -37,7 +37,7 @@ BLOOM_BITS, BLOOM_HASHES = 10, 7
 #: Distinct pieces of text whose ids a worker keeps at most.
 KEPT = 1_800_000
 #: Bytes of text of a shard, and the least of one while there are cores without work.
-SHARD_BYTES, SMALL_BYTES = 128 << 20, 4 << 20
+SHARD_BYTES, SMALL_BYTES = 32 << 20, 4 << 20
 #: Rows that the reader hands on at once.
 READ_ROWS = 10_000
 
@@ -168,7 +168,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.path, self.plain = path, None
+        #: For pieces, in which no special token's string stands, so that the tokenizer needn't look for one.
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             how = json.load(f)
         #: Strings that the tokenizer takes out of a text before it is split; texts with one are encoded whole.
@@ -179,7 +182,10 @@ class Encoder:
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
 
     def _all(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        """Whole texts as the library encodes them."""
+        if self.plain is None:
+            self.plain = type(self.tokenizer).from_file(self.path)
+        return [np.array(e.ids, "<u4").tobytes() for e in self.plain.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
