@@ -159,6 +159,8 @@ class Shard:
 _WHITE = "".join(map(chr, [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 _PIECE = re.compile(f" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+")
 _open: dict[str, tuple] = {}
+#: Writers of so many ids as little-endian unsigned 32-bit integers.
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(12)]
 
 
 class Encoder:
@@ -206,13 +208,17 @@ class Encoder:
         kept, rows, new = self.kept, [], set()
         for t in texts:
             pieces = _PIECE.findall(t)
-            found = list(map(kept.get, pieces))
-            missing = [k for k, f in enumerate(found) if f is None]
-            new.update([pieces[k] for k in missing])
-            rows.append((found, missing, [pieces[k] for k in missing]))
+            found, missing, k = list(map(kept.get, pieces)), [], -1
+            for _ in range(found.count(None)):
+                k = found.index(None, k + 1)
+                missing.append(k)
+            unknown = [pieces[k] for k in missing]
+            new.update(unknown)
+            rows.append((found, missing, unknown))
         new = list(new)
         for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            kept[p] = array("I", e.ids).tobytes()
+            ids = e.ids
+            kept[p] = _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else array("I", ids).tobytes()
         for found, missing, pieces in rows:
             for k, p in zip(missing, pieces, strict=True):
                 found[k] = kept[p]
@@ -254,8 +260,8 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2,
     """Encodes docs (null texts: empty) with end_id after each and writes shards in ascending order of id_col to folder; returns part, file, docs, ids of each shard.
 
     One range shuffle of the texts puts ids in order; texts, not ids, are shuffled, since they are smaller. Rows that
-    share an id (or have none) stand side by side, by a hash of their text, which also cuts the ranges, so that an id of
-    a third of the rows fills several shards. The number of shards follows the bytes of text. An empty table gives none.
+    share an id (or have none) stand side by side, and their place in the table cuts the ranges too, so that an id of a
+    third of the rows fills several shards, in each of which its rows are in the order of a hash of their text. The number of shards follows the bytes of text. An empty table gives none.
     Texts that hold a special token's string are encoded as the library does with add_special_tokens=False: the string
     becomes that token.
     """
@@ -265,8 +271,9 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2,
     total = rows.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     small = min(4 * docs.sparkSession.sparkContext.defaultParallelism, -(-total // SMALL_BYTES))
     n = max(1, small, -(-total // SHARD_BYTES))
-    order = [F.col("_id").asc_nulls_first(), F.xxhash64("_text")]
-    ordered = rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # ranges are cut by id and place in the table, so that finding the cuts reads no texts
+    dealt = rows.withColumn("_at", F.monotonically_increasing_id()).repartitionByRange(n, F.col("_id").asc_nulls_first(), "_at")
+    ordered = dealt.select("_id", "_text").sortWithinPartitions(F.col("_id").asc_nulls_first(), F.xxhash64("_text"))
     return stored(ordered.mapInArrow(_writing(folder, tokenizer, end_id), "part long, file string, docs long, ids long"), TEXT_ROWS)
 
 
