@@ -17,6 +17,7 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -159,8 +160,8 @@ class Shard:
 _WHITE = "".join(map(chr, [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 _PIECE = re.compile(f" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+")
 _open: dict[str, tuple] = {}
-#: Writers of so many ids as little-endian unsigned 32-bit integers.
-_PACK = [struct.Struct(f"<{n}I").pack for n in range(12)]
+#: Pieces that are encoded in one call.
+LINES = 300
 
 
 class Encoder:
@@ -180,6 +181,8 @@ class Encoder:
         self.added = [t["content"] for t in how.get("added_tokens") or []]
         split = how.get("pre_tokenizer") or {}
         self.by_piece = how.get("normalizer") is None and split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
+        if self.by_piece:
+            (self.line_end,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.kept: dict[str, bytes] = {}
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
 
@@ -205,24 +208,28 @@ class Encoder:
     def _pieces(self, texts: list[str]) -> list[bytes]:
         if len(self.kept) > KEPT:
             self.kept.clear()
-        kept, rows, new = self.kept, [], set()
-        for t in texts:
-            pieces = _PIECE.findall(t)
-            found, missing, k = list(map(kept.get, pieces)), [], -1
-            for _ in range(found.count(None)):
-                k = found.index(None, k + 1)
-                missing.append(k)
-            unknown = [pieces[k] for k in missing]
-            new.update(unknown)
-            rows.append((found, missing, unknown))
-        new = list(new)
-        for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            ids = e.ids
-            kept[p] = _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else array("I", ids).tobytes()
-        for found, missing, pieces in rows:
-            for k, p in zip(missing, pieces, strict=True):
-                found[k] = kept[p]
-        return [b"".join(found) for found, _, _ in rows]
+        kept, rows = self.kept, list(map(_PIECE.findall, texts))
+        here = dict.fromkeys(chain.from_iterable(rows))  # small enough for a core's cache, which kept is not
+        self._keep([p for p in here if p not in kept])
+        for p in here:
+            here[p] = kept[p]
+        return [b"".join(map(here.__getitem__, pieces)) for pieces in rows]
+
+    def _keep(self, new: list[str]) -> None:
+        """Encodes pieces. Those that end in a letter, digit or sign go in one text of a line each, which saves what each call costs: line ends are tokens of their own there."""
+        lines, rest = [], []
+        for p in new:
+            (rest if p[-1] in _WHITE else lines).append(p)
+        for p, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            self.kept[p] = np.array(e.ids, "<u4").tobytes()
+        for lo in range(0, len(lines), LINES):
+            some = lines[lo : lo + LINES]
+            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            ends = [*np.flatnonzero(ids == self.line_end).tolist(), len(ids)]
+            raw, at = ids.tobytes(), 0
+            for p, end in zip(some, ends, strict=True):
+                self.kept[p] = raw[4 * at : 4 * end]
+                at = end + 1
 
 
 def encoder(path: str) -> Encoder:
