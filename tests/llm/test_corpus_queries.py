@@ -20,7 +20,8 @@ def test_query(spark, name):
 @pytest.mark.parametrize("name", sorted(set(queries.queries()) - set(queries.oracle_sql())))
 def test_rows(spark, name):
     n = queries.queries()[name](spark, SF).count()
-    assert n == (500 if name.startswith("op1_") else table(spark, SF, "documents").count())
+    docs = table(spark, SF, "documents").count()
+    assert n > docs if name.startswith("op11_") else n == (500 if name.startswith("op1_") else docs)
 
 
 def test_pipeline(spark):
