@@ -9,7 +9,11 @@ filled again before it runs low, and the end of a task's tokens fills sequences
 
 from __future__ import annotations
 
+import json
 import os
+import re
+import struct
+import unicodedata
 from collections.abc import Iterator
 from itertools import chain
 
@@ -23,62 +27,114 @@ from pyspark.sql import functions as F
 POOL, LOW = 1 << 21, 1 << 20
 #: Tokens of pieces that are handed on at once.
 OUT = 1 << 19
-#: Words whose ids a worker keeps at most, and the longest that it keeps.
-KEPT, KEPT_BYTES = 600_000, 64
-#: Words that are encoded in one call, with a sign between them that is a token of its own.
-LINE, SIGN = 300, "\x01"
+#: Parts of texts whose ids a worker keeps at most, and the longest that it keeps.
+KEPT, KEPT_CHARS = 800_000, 64
+#: Characters of texts that are taken apart at once.
+SLICE = 1 << 18
+# White space at which texts are cut; the pattern by which the tokenizer splits a text after it has
+# lower-cased it, for code points below U+0300, where composing changes nothing; and what may be split so (no control
+# characters, no dotted capital I).
+WHITE = " \t\n\r\x0b\x0c"
+_OF = lambda kind: "".join(chr(c) for c in range(0x300) if unicodedata.category(chr(c)).startswith(kind))
+_PART = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_OF('L')}]+|[{_OF('N')}]|[^{_OF('L')}{_OF('N')}{WHITE}]+")
+_PLAIN = re.compile(f"[{WHITE}!-~\xa1-\u012f\u0131-\u02ff]*")
+_WHITE = re.compile(f"[{WHITE}]")
 _open: dict[str, object] = {}
 
 
 class WordEncoder:
-    """Texts to ids for tokenizers that drop white space, so that no token goes beyond a word: each distinct word is encoded once and kept."""
+    """Texts to ids for the tokenizer that drops white space, so that no token goes beyond a word.
+
+    Texts fall into parts as the tokenizer splits them, and each distinct part goes through the tokenizer's model once and is kept.
+    Words with characters that are not lower-cased and composed one by one are parts as a whole, encoded by themselves.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.specials = tuple(t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values())
-        found = self._ids([f"a {SIGN} b", "a", SIGN, "b"])
-        #: Whether words can be told apart in a line; else every word is encoded in a call of its own.
-        self.sign = int(found[2][0]) if len(found[2]) == 1 else None
-        if found[0].tolist() != [*found[1].tolist(), *found[2].tolist(), *found[3].tolist()]:
+        specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, specials)) or "(?!)")
+        if self._ids(["a b"])[0].tolist() != [i for x in self._ids(["a", "b"]) for i in x.tolist()]:
             raise ValueError("the tokenizer keeps white space: words can't be encoded one by one")
-        self.kept: dict[bytes, bytes] = {}
+        #: Whether texts fall into parts as _PART says; else every word is encoded as a whole.
+        said = json.loads(self.tokenizer.to_str())
+        split, lower = str(said["pre_tokenizer"]), str(said["normalizer"])
+        self.splits = r"'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+" in split and "Lowercase" in lower and "ByteLevel" in split
+        as_bytes = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        #: How the tokenizer writes a character's bytes.
+        self.bytes_of = {c: as_bytes(chr(c))[0][0] for c in range(33, 0x300)}
+        self.model = self.tokenizer.model
+        self.kept: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text (null: empty) as little-endian unsigned 32-bit integers, as the library gives them."""
-        rows = [(t or "").encode().split() for t in texts]  # at ASCII white space only
-        here = dict.fromkeys(chain.from_iterable(rows))
+        out: list[list[bytes]] = [[] for _ in texts]
+        some, chars = [], 0
+        for i, text in enumerate(texts):
+            for cut in _cuts(text or ""):
+                some.append((i, cut))
+                chars += len(cut)
+                if chars >= SLICE:
+                    self._encode(some, out)
+                    some, chars = [], 0
+        self._encode(some, out)
+        return [b"".join(parts) for parts in out]
+
+    def _encode(self, some: list[tuple[int, str]], out: list[list[bytes]]) -> None:
+        rows = [self._parts(text) for _, text in some]
+        here = dict.fromkeys(chain.from_iterable(rows))  # small enough for a core's cache, which kept is not
         kept = self.kept
         if len(kept) > KEPT:
             kept.clear()
-        new = [w for w in here if w not in kept]
-        found = self._new(new)
-        kept.update((w, i) for w, i in found.items() if len(w) <= KEPT_BYTES)
-        for w in here:
-            here[w] = found[w] if w in found else kept[w]
-        return [b"".join(map(here.__getitem__, words)) for words in rows]
-
-    def _new(self, words: list[bytes]) -> dict[bytes, bytes]:
-        out: dict[bytes, bytes] = {}
-        alone, lines, sign = [], [], SIGN.encode()
-        for w in words:
-            (alone if self.sign is None or sign in w or len(w) > KEPT_BYTES or any(s in w for s in self.specials) else lines).append(w)
-        for w, ids in zip(alone, self._ids([w.decode() for w in alone]), strict=True):
-            out[w] = ids.tobytes()
-        groups = [lines[lo : lo + LINE] for lo in range(0, len(lines), LINE)]
-        for some, ids in zip(groups, self._ids([f" {SIGN} ".join(w.decode() for w in g) for g in groups]), strict=True):
-            raw, at = ids.tobytes(), 0
-            for w, end in zip(some, [*np.flatnonzero(ids == self.sign).tolist(), len(ids)], strict=True):
-                out[w] = raw[4 * at : 4 * end]
-                at = end + 1
+        found = self._new([p for p in here if p not in kept])
+        for p in here:
+            here[p] = found[p] if p in found else kept[p]
+        kept.update((p, i) for p, i in found.items() if len(p) <= KEPT_CHARS)
+        for (i, _), row in zip(some, rows, strict=True):
+            out[i].append(b"".join(map(here.__getitem__, row)))
+
+    def _parts(self, text: str) -> list[str]:
+        """A text's parts in order; a word that must not be split follows a blank."""
+        if self.splits and _PLAIN.fullmatch(text) and not self.special.search(text):
+            return _PART.findall(text.lower())
+        out = []
+        for word in text.encode().split():  # at ASCII white space only
+            word = word.decode()
+            if self.splits and _PLAIN.fullmatch(word) and not self.special.search(word):
+                out += _PART.findall(word.lower())
+            else:
+                out.append(f" {word}")
+        return out
+
+    def _new(self, parts: list[str]) -> dict[str, bytes]:
+        whole = [p for p in parts if p[0] == " "]
+        out = dict(zip(whole, (i.tobytes() for i in self._ids(whole)), strict=True))
+        merge = self.model.tokenize  # parts are lower-cased and split already
+        for p in parts:
+            if p[0] != " ":
+                ids = [t.id for t in merge(p if p.isascii() else p.translate(self.bytes_of))]
+                out[p] = struct.pack(f"<{len(ids)}I", *ids)
         return out
 
 
+def _cuts(text: str) -> Iterator[str]:
+    """A text in slices that end at white space."""
+    lo = 0
+    while len(text) - lo > SLICE:
+        found = _WHITE.search(text, lo + SLICE)
+        if not found:
+            break
+        yield text[lo : found.end()]
+        lo = found.end()
+    yield text[lo:] if lo else text
+
+
 def encoder(path: str) -> WordEncoder:
     """The worker's encoder of a tokenizer file, opened once."""
     if path not in _open:
