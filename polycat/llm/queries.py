@@ -62,7 +62,7 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secret_scan.scan(table(spark, sf_dir, "documents"), secret_scan.train())
+    return secret_scan.scan(table(spark, sf_dir, "documents"), secret_scan.train)
 
 
 def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import random
 import re
 import string
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,7 +18,8 @@ from pyspark.sql import DataFrame
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
+LEAST = 16
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_.=-]{{{LEAST},}}")
 WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 KINDS = ("assign", "access", "hex", "model")
 
@@ -44,8 +46,18 @@ def base_spans(text: str) -> list[tuple[int, int, int, int]]:
 
 
 def candidates(text: str, base: list[tuple[int, int, int, int]]) -> list[tuple[int, int]]:
-    """All runs of 16 or more key characters that touch no base finding."""
-    return [m.span() for m in CANDIDATE.finditer(text) if not any(s < m.end() and m.start() < e for s, _, e, _ in base)]
+    """All runs of 16 or more key characters, and of those that touch base findings the parts of 16 or more beside them."""
+    out = []
+    for m in CANDIDATE.finditer(text):
+        at, end = m.span()
+        for s, _, e, _ in base:  # in order of their starts
+            if s < end and e > at:
+                if s - at >= LEAST:
+                    out.append((at, s))
+                at = max(at, e)
+        if end - at >= LEAST:
+            out.append((at, end))
+    return out
 
 
 def windows(text: str, start: int, end: int) -> list[bytes]:
@@ -89,13 +101,13 @@ class Net:
 
 def findings(n: int, seed: int) -> tuple[list[tuple[str, int, int]], np.ndarray]:
     """n labelled findings (text, start, end) made by rule: keys in code and prose, and runs that are none, among them numbers, names, paths, addresses, identifiers and long words."""
-    r = np.random.default_rng(seed)
-    pick = lambda chars, k: "".join(r.choice(list(chars), k))
-    one = lambda *x: x[r.integers(len(x))]
-    between = lambda a, b: int(r.integers(a, b))
+    r = random.Random(seed)
+    pick = lambda chars, k: "".join(r.choices(chars, k=k))
+    one = lambda *x: r.choice(x)
+    between = r.randrange
     low, up, dig = string.ascii_lowercase, string.ascii_uppercase, string.digits
     alnum, hexa = low + up + dig, "0123456789abcdef"
-    syllable = lambda: one(pick("bcdfghklmnprstvwz", 1) + pick("aeiou", 1), pick("aeiou", 1) + pick("nrstlm", 1), one("sch", "tion", "ing", "ver", "the", "ung", "con", "ent", "ff", "schaft", "ity", "pf", "nd", "ation", "ment"), pick(low, 1))
+    syllable = lambda: one(pick("bcdfghklmnprstvwz", 1) + pick("aeiou", 1), pick("aeiou", 1) + pick("nrstlm", 1), one("sch", "tion", "ing", "ver", "the", "ung", "con", "ent", "ff", "schaft", "ity", "pf", "nd", "ation", "ment"), one("str", "pro", "ck", "ble", "act", "tor", "ist", "qu", "ex", "xy", "ph", "dge", "let", "ness", "mp", "oo", "ea", "ly", "ab", "inter"), pick(low, 1))
     word = lambda: "".join(syllable() for _ in range(between(1, 5)))
     words = lambda a, b: [word() for _ in range(between(a, b))]
     secrets = (
@@ -125,6 +137,8 @@ def findings(n: int, seed: int) -> tuple[list[tuple[str, int, int]], np.ndarray]
         lambda: "".join(words(4, 9)) + one("", pick(dig, between(1, 3))),
         lambda: "".join(w.capitalize() for w in words(3, 7)) + one("", pick(dig, between(1, 3)), "Impl"),
         lambda: word() + "".join(w.capitalize() for w in words(3, 6)),
+        lambda: one("", "get", "is", "I", "My", "to") + "".join(w.capitalize() for w in words(3, 9))[: between(16, 48)],
+        lambda: one(*alnum) * between(16, 60),
         lambda: "_".join(words(3, 6)).upper() + one("", "_" + pick(dig, between(1, 3))),
         lambda: f"{word()}-{between(0, 9)}.{between(0, 20)}.{between(0, 20)}" + one(".tar.gz", "-py3-none-any.whl", ".dist-info/METADATA", "-linux_x86_64.whl"),
         lambda: one("=", "-", "_", ".", "+") * between(16, 60),
@@ -139,7 +153,7 @@ def findings(n: int, seed: int) -> tuple[list[tuple[str, int, int]], np.ndarray]
     assign = lambda: one("password", "passwd", "secret", "token", "api_key", "apikey", "API_KEY", "Password") + one("", '"', "'") + one("", " ") + one("=", ":") + one("", " ") + one("", '"', "'")
     leads = ("key: ", 'key = "', "Authorization: Bearer ", "export KEY=", '"credential": "', "auth=", "pwd: ", "client ", "private key ", "id: ", "value ", "use ", "const k = '", "-H 'X-Auth: ", "")
     plain = ("see ", "file ", "http://", "https://www.", "version ", "id ", '"', "path: ", "key: ", "name = ", "import ", "in ", "call ", "from ", "", "", "(")
-    out, labels = [], r.integers(0, 2, n)
+    out, labels = [], np.array([r.randrange(2) for _ in range(n)])
     for y in labels:
         before, after = " ".join(words(1, 7)), " ".join(words(1, 5))
         run, lead = one(*(secrets if y else others))(), one(*(leads if y and r.random() < 0.7 or r.random() < 0.3 else plain))
@@ -178,11 +192,13 @@ def fit(made: list[tuple[str, int, int]], y: np.ndarray, epochs: int, seed: int)
             rows, cols = np.arange(len(some))[:, None], np.arange(FILTERS)[None]
             dmaps[rows, where, cols] += dact[:, :FILTERS]
             dmaps *= maps > 0
-            dfilters = np.einsum("npk,npf->kf", p, dmaps, optimize=True)
+            dfilters = p.reshape(-1, p.shape[2]).T @ dmaps.reshape(-1, FILTERS)
             dp = (dmaps @ net.filters.T).reshape(len(some), maps.shape[1], WIDTH, DIM + 1)[..., :DIM]
-            dletters = np.zeros_like(net.letters)
+            at = np.zeros((len(some), WINDOW, DIM), np.float32)
             for j in range(WIDTH):
-                np.add.at(dletters, codes[some][:, j : j + maps.shape[1]].ravel(), dp[:, :, j].reshape(-1, DIM))
+                at[:, j : j + maps.shape[1]] += dp[:, :, j]
+            where_of = codes[some].ravel()
+            dletters = np.stack([np.bincount(where_of, at[..., d].ravel(), 128) for d in range(DIM)], axis=1).astype(np.float32)
             for v, g, s in zip(values, (dletters, dfilters, act.T @ dz), speed, strict=True):
                 s += g * g
                 v -= rate * g / np.sqrt(s)
@@ -222,7 +238,7 @@ def best(net: Net, found: list[tuple[str, int, int]]) -> np.ndarray:
     return out
 
 
-def scan(docs: DataFrame, net: Net, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan(docs: DataFrame, net: Net | Callable[[], Net], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id_col, n_assign, n_access, n_hex, n_model, base_sha256, spans, chances for each row of docs.
 
     The network looks at every base finding and every further candidate with its context. spans: kind:start:end of the
@@ -230,7 +246,10 @@ def scan(docs: DataFrame, net: Net, id_col: str = "doc_id", text_col: str = "tex
     by start, then kind, joined by commas; chances: the calibrated chance of each of them in the same order. Null and
     empty texts have none; very long texts are scanned whole; ids of any kind, nulls and repeated rows pass through,
     each with its own answer; an empty table gives no rows. One scan, no shuffle; a few documents are held at a time.
+    net may be a function that gives the network, which is not called for an empty table.
     """
+    if not isinstance(net, Net):
+        net = Net(*[np.zeros(s, np.float32) for s in ((128, DIM), (WIDTH * (DIM + 1), FILTERS), 2 * FILTERS)], 0.0) if docs.isEmpty() else net()
     sent = docs.sparkSession.sparkContext.broadcast(net)  # some tens of KB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -87,8 +87,23 @@ def others(seed):
     r = random.Random(seed)
     pick = lambda chars, k: "".join(r.choice(chars) for _ in range(k))
     alnum = string.ascii_letters + string.digits
-    yes = ["SG." + pick(alnum, 22) + "." + pick(alnum, 43), "glpat-" + pick(alnum, 20), "AIza" + pick(alnum + "_-", 35), "xoxp-" + pick(string.digits, 12) + "-" + pick(string.digits, 12) + "-" + pick(alnum, 32), pick(alnum + "/+", 40), "npm_" + pick(alnum, 36), pick(alnum + "+/", 64), "hvs." + pick(alnum, 90), "dop_v1_" + pick("0123456789abcdef", 64), "EAAC" + pick(alnum, 100)]
-    no = ["Donaudampfschifffahrtsgesellschaft", "internationalization", "org.apache.spark.sql.catalyst", "getUserByIdentifier2", "./usr/share/doc/python3", "2024-01-31T23.59.59.123456", "978-3-16-148410-0", "MAX_RETRY_COUNT_PER_HOST", "www.example.org/articles/2021/05/news", "------------------------", "numpy-1.26.4-cp312-cp312-manylinux.whl", "antidisestablishmentarianism", "3.14159265358979323846", "src/main/java/App.java", "kubernetes-dashboard-v2", "left_outer_join_on_key"]
+    hexa, up, low, dig = "0123456789abcdef", string.ascii_uppercase, string.ascii_lowercase, string.digits
+    yes = [
+        "SG." + pick(alnum, 22) + "." + pick(alnum, 43), "glpat-" + pick(alnum, 20), "AIza" + pick(alnum + "_-", 35), "xoxp-" + pick(dig, 12) + "-" + pick(dig, 12) + "-" + pick(alnum, 32),
+        pick(alnum + "/+", 40), "npm_" + pick(alnum, 36), pick(alnum + "+/", 64), "hvs." + pick(alnum, 90), "dop_v1_" + pick(hexa, 64), "EAAC" + pick(alnum, 100),
+        "ghp_" + pick(alnum, 36), "github_pat_" + pick(alnum, 22) + "_" + pick(alnum, 59), "sk_live_" + pick(alnum, 24), "rk_test_" + pick(alnum, 32), "sq0csp-" + pick(alnum + "-_", 43),
+        "shpat_" + pick(hexa, 32), "key-" + pick(hexa, 32), "AC" + pick(hexa, 32), "pypi-AgEIcHlwaS5vcmc" + pick(alnum + "-_", 60), "ya29." + pick(alnum + "-_", 68),
+        "eyJhbGciOiJIUzI1NiJ9." + pick(alnum + "-_", 40) + "." + pick(alnum + "-_", 43), pick(dig, 10) + "-" + pick(alnum, 32), "ASIA" + pick(up + dig, 16), pick(alnum, 32), pick(alnum, 24),
+        pick(up + "234567", 32), pick(hexa.upper(), 40), "lin_api_" + pick(alnum, 40), "dckr_pat_" + pick(alnum + "-_", 27), "tfp_" + pick(alnum, 44), "sntrys_" + pick(alnum + "+/", 60) + "=",
+        "-".join(pick(alnum, 8) for _ in range(4)), pick(alnum + "-_", 43), pick(alnum + "+/", 86) + "==", "rdme_" + pick(low + dig, 70), "NRAK-" + pick(up + dig, 27),
+    ]
+    no = [
+        "Donaudampfschifffahrtsgesellschaft", "internationalization", "org.apache.spark.sql.catalyst", "getUserByIdentifier2", "./usr/share/doc/python3", "2024-01-31T23.59.59.123456", "978-3-16-148410-0",
+        "MAX_RETRY_COUNT_PER_HOST", "www.example.org/articles/2021/05/news", "------------------------", "numpy-1.26.4-cp312-cp312-manylinux.whl", "antidisestablishmentarianism", "3.14159265358979323846",
+        "src/main/java/App.java", "kubernetes-dashboard-v2", "left_outer_join_on_key", "otorrinolaringologista", "Rechtsschutzversicherung", "constitutionnellement", "/var/log/nginx/access.log", "DE89370400440532013000",
+        "en.wikipedia.org/wiki/Main_Page", "application/x-www-form-urlencoded", "AbstractSingletonProxyFactoryBean", "test_that_long_names_are_fine", "2021-03-04/2021-04-05", "win32-x64-unpacked.zip",
+        "================", "a=b=c=d=e=f=g=h=i", "fr-FR/common/strings.json", "1234567890.1234567890", "mailing-list.archives.example", "commons-lang3-3.12.0.jar", "xxxxxxxxxxxxxxxxxxxx", "io.netty.handler.codec.http2",
+    ]
     around = [("curl -u admin:", " https://host"), ("aws_secret_access_key ", "\n"), ("see also ", " for more"), ("the value ", " was set"), ("- ", "\n- next"), ("`", "`")]
     for y, runs in ((1, yes), (0, no)):
         for run in runs:
@@ -96,12 +111,32 @@ def others(seed):
             yield f"line before {a}{run}{b}", len("line before ") + len(a), len("line before ") + len(a) + len(run), y
 
 
+def test_parts_beside_base_findings(spark):
+    """What a run holds beside a base finding is seen too."""
+    key = "ghp_" + "aB3xY9zQ7w" * 3 + "kL5m"
+    hexa = "0123456789abcdef" * 2
+    t = f"use {key}{'=' * 1}{hexa}.{key} here"
+    base = S.base_spans(t)
+    got = S.candidates(t, base)
+    assert [t[s:e] for s, e in got] == [f"{key}=", f".{key}"] and [b[1] for b in base] == [2]
+    assert S.candidates(f"{hexa}.short", S.base_spans(f"{hexa}.short")) == []
+    row = S.scan(docs(spark, [(1, t)]), S.train()).first()
+    assert (row.n_hex, row.n_model) == (1, 2)
+
+
+def test_empty_table_trains_nothing(spark):
+    def never():
+        raise AssertionError
+
+    assert S.scan(empty(spark), never).count() == 0
+
+
 def test_network_on_other_findings():
     net = S.train()
     found = [x for seed in range(12) for x in others(seed)]
     chance = net.chance(S.best(net, [x[:3] for x in found]))
     y = np.array([x[3] for x in found])
-    assert (chance[y == 1] >= net.threshold).mean() >= 0.9 and (chance[y == 0] >= net.threshold).mean() <= 0.1
+    assert (chance[y == 1] >= net.threshold).mean() >= 0.9 and (chance[y == 0] >= net.threshold).mean() <= 0.02, {found[i][0] for i in np.flatnonzero((y == 0) & (chance >= net.threshold))}
 
 
 def test_calibration():
