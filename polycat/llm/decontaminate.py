@@ -52,7 +52,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_co
     of_docs = let(w, lambda w: F.concat(*[F.transform(_grams(w, n, n), lambda g: F.xxhash64(g)) for n in runs]))
     found = texts.select("_id", F.explode(of_docs).alias("_run")).join(bounded(run_set), "_run", "left_semi").select("_id").distinct()
     found = stored(found.withColumnRenamed("_id", "_found"))
-    suspects = texts.join(bounded(found), F.col("_id").eqNullSafe(F.col("_found")), "left_semi")
+    suspects = stored(texts.join(bounded(found), F.col("_id").eqNullSafe(F.col("_found")), "left_semi"))  # few; read once for each length
     spans = reduce(DataFrame.union, [suspects.select("_id", F.lit(n).alias("_len"), F.posexplode(_grams(w, n)).alias("_start", "_gram")) for n in lengths])
     hits = stored(spans.join(bounded(windows), ["_len", "_gram"]).select("_id", "_start", (F.col("_start") + F.col("_len")).alias("_end"), "_item"))
     before = F.max("_end").over(Window.partitionBy("_id").orderBy("_start", "_end").rowsBetween(Window.unboundedPreceding, -1))
