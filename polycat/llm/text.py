@@ -91,10 +91,44 @@ def hash_spans(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(U))
 
 
+# Two primes below 2**31 and a base for each.
+_PRIMES, _BASES = (2147483647, 2147483629), (1234567891, 987654323)
+#: Bytes whose terms are summed without taking remainders first.
+_EXACT = 1 << 24
+_moduli: list[tuple[np.ndarray, np.ndarray]] = [(np.ones(1, U), np.ones(1, U))] * 2
+
+
+def _residues(k: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of a base and of its inverse modulo its prime."""
+    if len(_moduli[k][0]) < n:
+        p, out = _PRIMES[k], []
+        for base in (_BASES[k], pow(_BASES[k], -1, _PRIMES[k])):
+            powers = np.ones(1, U)
+            while len(powers) < n:
+                powers = np.concatenate([powers, powers * U(pow(base, len(powers), p)) % U(p)])
+            out.append(powers[:n])
+        _moduli[k] = (out[0], out[1])
+    return _moduli[k][0][:n], _moduli[k][1][:n]
+
+
 def word_hashes(off: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each lower-cased (A-Z) word in order, and words for each row."""
+    """Hash of each lower-cased (A-Z) word in order, and words for each row.
+
+    Polynomials of a word's bytes modulo two primes, 62 bits: equal words have equal hashes wherever they stand, and
+    there is no family of words whose hashes meet whatever the bases are, as there is modulo a power of two.
+    """
     starts, ends, counts = spans(off, data)
-    return hash_spans(prefix_sums(data), starts, ends), counts
+    low = _LOWER[data]
+    parts = []
+    for k, p in enumerate(_PRIMES):
+        powers, inverse = _residues(k, len(data) + 1)
+        terms = (low + U(1)) * powers[: len(data)]
+        if len(data) > _EXACT:
+            terms %= U(p)
+        sums = np.zeros(len(data) + 1, U)
+        np.cumsum(terms, out=sums[1:])
+        parts.append((sums[ends] - sums[starts]) % U(p) * inverse[starts] % U(p))
+    return mix((parts[0] << U(31) | parts[1]) + mix((ends - starts).astype(U))), counts
 
 
 def shingles(words: np.ndarray, counts: np.ndarray, k: int) -> list[np.ndarray]:
