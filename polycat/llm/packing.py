@@ -15,7 +15,6 @@ import re
 import struct
 import unicodedata
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +44,7 @@ _open: dict[str, object] = {}
 class WordEncoder:
     """Texts to ids for the tokenizer that drops white space, so that no token goes beyond a word.
 
-    Texts fall into parts as the tokenizer splits them, and each distinct part goes through the tokenizer's model once and is kept.
+    Texts fall into parts as the tokenizer splits them; each distinct part goes through the tokenizer's model once and is kept.
     Words with characters that are not lower-cased and composed one by one are parts as a whole, encoded by themselves.
     """
 
@@ -67,37 +66,20 @@ class WordEncoder:
         #: How the tokenizer writes a character's bytes.
         self.bytes_of = {c: as_bytes(chr(c))[0][0] for c in range(33, 0x300)}
         self.model = self.tokenizer.model
-        self.kept: dict[str, bytes] = {}
+        self.kept = _Kept(self.of_part)
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text (null: empty) as little-endian unsigned 32-bit integers, as the library gives them."""
-        out: list[list[bytes]] = [[] for _ in texts]
-        some, chars = [], 0
-        for i, text in enumerate(texts):
-            for cut in _cuts(text or ""):
-                some.append((i, cut))
-                chars += len(cut)
-                if chars >= SLICE:
-                    self._encode(some, out)
-                    some, chars = [], 0
-        self._encode(some, out)
-        return [b"".join(parts) for parts in out]
-
-    def _encode(self, some: list[tuple[int, str]], out: list[list[bytes]]) -> None:
-        rows = [self._parts(text) for _, text in some]
-        here = dict.fromkeys(chain.from_iterable(rows))  # small enough for a core's cache, which kept is not
-        kept = self.kept
-        if len(kept) > KEPT:
-            kept.clear()
-        found = self._new([p for p in here if p not in kept])
-        for p in here:
-            here[p] = found[p] if p in found else kept[p]
-        kept.update((p, i) for p, i in found.items() if len(p) <= KEPT_CHARS)
-        for (i, _), row in zip(some, rows, strict=True):
-            out[i].append(b"".join(map(here.__getitem__, row)))
+        ids = self.kept.__getitem__
+        out = []
+        for text in texts:
+            out.append(b"".join([b"".join(map(ids, self._parts(cut))) for cut in _cuts(text or "")]))
+            if len(self.kept) > KEPT:
+                self.kept.clear()
+        return out
 
     def _parts(self, text: str) -> list[str]:
         """A text's parts in order; a word that must not be split follows a blank."""
@@ -112,15 +94,24 @@ class WordEncoder:
                 out.append(f" {word}")
         return out
 
-    def _new(self, parts: list[str]) -> dict[str, bytes]:
-        whole = [p for p in parts if p[0] == " "]
-        out = dict(zip(whole, (i.tobytes() for i in self._ids(whole)), strict=True))
-        merge = self.model.tokenize  # parts are lower-cased and split already
-        for p in parts:
-            if p[0] != " ":
-                ids = [t.id for t in merge(p if p.isascii() else p.translate(self.bytes_of))]
-                out[p] = struct.pack(f"<{len(ids)}I", *ids)
-        return out
+    def of_part(self, part: str) -> bytes:
+        if part[0] == " ":
+            return self._ids([part])[0].tobytes()
+        ids = [t.id for t in self.model.tokenize(part if part.isascii() else part.translate(self.bytes_of))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+
+class _Kept(dict):
+    """Ids of parts, found when they are first asked for."""
+
+    def __init__(self, of_part):
+        self.of_part = of_part
+
+    def __missing__(self, part: str) -> bytes:
+        ids = self.of_part(part)
+        if len(part) <= KEPT_CHARS:
+            self[part] = ids
+        return ids
 
 
 def _cuts(text: str) -> Iterator[str]:
@@ -194,7 +185,16 @@ class Pool:
     def fill(self, capacity: int) -> Iterator[list[tuple]]:
         """One or more full windows, as lists of pieces, longest first; the pool must hold capacity."""
         there = np.flatnonzero(self.counts[: capacity + 1])[::-1]
-        taken, slack = least_slack(list(zip(there.tolist(), self.counts[there].tolist(), strict=True)), capacity)
+        counts = list(zip(there.tolist(), self.counts[there].tolist(), strict=True))
+        taken, slack = {}, capacity
+        if counts:  # what fills the window beside the longest piece, if anything does; else what fills it best
+            longest, many = counts[0]
+            left = int(np.searchsorted(-there, longest - capacity))  # the first that fits beside it
+            rest = counts[left:] if left else [(longest, many - 1), *counts[1:]]
+            taken, slack = least_slack(rest, capacity - longest)
+            taken[longest] = taken.get(longest, 0) + 1
+            if slack:
+                taken, slack = least_slack(counts, capacity)
         times = 1 if slack or capacity < self.window else min(int(self.counts[n]) // k for n, k in taken.items())
         for _ in range(times):
             pieces = [self._take(n) for n, k in sorted(taken.items(), reverse=True) for _ in range(k)]
