@@ -60,6 +60,8 @@ def parser() -> argparse.ArgumentParser:
     m.add_argument("--out", required=True)
     m.add_argument("--base")
     m.add_argument("--locales")
+    m.add_argument("--images", choices=("auto", "yes", "no"), default="auto", help="merge images; auto: if the base has some")
+    m.add_argument("--logs", action="store_true")
     b = sub.add_parser("build")
     b.add_argument("--source", required=True, help="folder with a folder of files for each locale")
     b.add_argument("--folder", required=True, help="where each locale's dataset goes")
@@ -73,8 +75,11 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("--image-policy", choices=tuple(ingest.IMAGE_POLICIES), default="base-only")
     h = sub.add_parser("check")
     h.add_argument("--db", required=True)
-    for x in (b, h):
-        x.add_argument("--manifest", required=x is h)
+    o = sub.add_parser("images", help="a folder's images into a dataset, unless they fail the check")
+    o.add_argument("--db", required=True)
+    o.add_argument("--images", required=True)
+    for x in (b, h, o):
+        x.add_argument("--manifest", required=x is not b)
         x.add_argument("--least", type=int, default=1)
         x.add_argument("--mode", choices=("strict", "soft", "off"), default="soft")
         x.add_argument("--report")
@@ -83,8 +88,9 @@ def parser() -> argparse.ArgumentParser:
     e = sub.add_parser("examples", help="the smallest id of each maker, as lines")
     e.add_argument("--db", required=True)
     e.add_argument("--out", required=True)
-    f = sub.add_parser("fix-paths", help="image paths that end in .jpe")
+    f = sub.add_parser("fix-paths", help="image paths that end in .jpe, and with --images the files too")
     f.add_argument("--db", required=True)
+    f.add_argument("--images", help="folder of the image files")
     n = sub.add_parser("manifest", help="hero images counted in a folder")
     n.add_argument("--images", required=True)
     n.add_argument("--out", required=True)
@@ -96,7 +102,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     a = parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName("polycat").getOrCreate()
     if a.command == "merge":
-        merge(a.folder, a.out, spark, a.locales.split(",") if a.locales else None, a.base)
+        merge(a.folder, a.out, spark, a.locales.split(",") if a.locales else None, a.base, {"auto": None, "yes": True, "no": False}[a.images], a.logs)
         return 0
     if a.command == "build":
         bundles = {x: ingest.from_folder(spark, a.source, x) for x in parse_locales(a.locales, [])}
@@ -123,8 +129,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         write_ids(quality.examples(lake.table("cars")).orderBy("manufacturer_id").select("id"), a.out)
         return 0
     if a.command == "fix-paths":
+        if a.images:
+            cleanup.fix_files(spark, a.images)
         print(cleanup.fix_paths(lake))
         return 0
+    if a.command == "images":
+        return quality.load_images(lake, ingest.image_files(spark, a.images), manifest(spark, a.manifest), a.least, a.mode, a.max_count, a.max_ratio)
     rows = lambda df: [r.asDict(recursive=True) for r in df.toLocalIterator()]
     if a.command == "list":
         data = rows(lists.list_cars(lake, a.locale, a.sort, a.limit))

@@ -7,7 +7,6 @@ import re
 
 import pandas as pd
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 _NAME = re.compile(r"[A-Za-z_$][\w$]*")
 _NUMBER = re.compile(r"[-+]?(?:0[xX][0-9a-fA-F]+|(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?)")
@@ -204,26 +203,3 @@ def ids(names: list[str]):
         return texts.map(lambda t: None if (v := data(t, names, list)) is None else [x if isinstance(x, str) else json.dumps(x) for x in v])
 
     return parsed
-
-
-@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("path", T.StringType()), T.StructField("url", T.StringType())])))
-def image_urls(payloads: pd.Series) -> pd.Series:
-    """Image addresses anywhere in a JSON payload, with the dotted path of each."""
-
-    def walk(v):
-        stack = [("", v)]
-        while stack:
-            path, v = stack.pop()
-            if isinstance(v, dict | list):
-                items = list(v.items() if isinstance(v, dict) else enumerate(v))
-                stack += [(f"{path}.{k}" if path else str(k), x) for k, x in reversed(items)]
-            elif isinstance(v, str) and re.search(r"\.(jpg|jpeg|png|webp)$|image", v, re.IGNORECASE):
-                yield {"path": path, "url": v}
-
-    def one(t):
-        try:
-            return list(walk(json.loads(t))) if t else []
-        except (ValueError, RecursionError):  # no JSON, or deeper than the reader goes
-            return []
-
-    return payloads.map(one)

@@ -16,10 +16,10 @@ def only_locale(df: DataFrame, locale: str) -> DataFrame:
 
 
 def prune(lake, locale: str) -> None:
-    """Leaves a dataset's localized tables with one locale."""
+    """Leaves a dataset's localized tables with one locale: the folders of others go, no row is read or written."""
     for t in PRUNED:
         if lake.has_table(t):
-            lake.write(t, only_locale(lake.table(t), locale))
+            lake.drop_locales(t, lambda x: x == locale)
 
 
 def whitelisted(df: DataFrame, codes: list[str], column: str = "code") -> DataFrame:
@@ -83,6 +83,42 @@ def fix_paths(lake) -> int:
     return wrong
 
 
+def fix_files(spark, folder: str) -> int:
+    """Renames the files below a folder that end in .jpe to .jpg, unless such a file is there already; how many there were. Names are listed and renamed in tasks."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path").where(F.lower("path").endswith(".jpe"))
+
+    def rename(batches):
+        from urllib.parse import unquote
+
+        import pandas as pd
+        from pyarrow import fs
+
+        for b in batches:
+            for p in b["path"]:
+                store, at = fs.FileSystem.from_uri(p if "://" in p else p.replace("file:", "file://", 1))
+                at = unquote(at)
+                if store.get_file_info(f"{at[:-4]}.jpg").type == fs.FileType.NotFound:
+                    store.move(at, f"{at[:-4]}.jpg")
+            yield pd.DataFrame({"n": [len(b)]})
+
+    return found.mapInPandas(rename, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
+def drop_empty_columns(lake) -> list[str]:
+    """Drops what older datasets have beside the columns of today: an empty description of cars or texts (one with values stays), and the country of cars. Names the tables that were written again."""
+    done = []
+    for table in ("cars", "car_texts"):
+        if lake.has_table(table):
+            old = lake.table(table)
+            new = drop_if_empty(old, "description")
+            if table == "cars" and "country" in new.columns:
+                new = new.drop("country")
+            if new.columns != old.columns:
+                lake.write(table, new)
+                done.append(table)
+    return done
+
+
 def drop_if_empty(df: DataFrame, column: str) -> DataFrame:
     """Without a column that holds nothing but nulls and empty strings."""
     if column not in df.columns:

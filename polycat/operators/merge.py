@@ -11,12 +11,10 @@ from pyspark.sql.window import Window
 
 from polycat import schema
 from polycat.functions.text import locale_order
-from polycat.sources.lake import Lake, locales_of
+from polycat.sources.lake import Lake, locales_of, scan_all
 
 FIRST_WINS = ["manufacturers", "manufacturer_i18n", "aspiration_codes", "drivetrain_codes", "cars"]
 BY_LOCALE = ["aspiration_i18n", "drivetrain_i18n", "spec_code_i18n", "country_i18n", "car_texts", "car_specs"]
-#: Tables that keep the base's rows.
-BASE_ONLY = ["country_iso_map", "meta"]
 
 
 def first_wins(sources: list[DataFrame], keys: list[str], not_null: list[str] = ()) -> DataFrame:
@@ -26,10 +24,15 @@ def first_wins(sources: list[DataFrame], keys: list[str], not_null: list[str] =
     many there are.
     """
     tagged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [s.withColumn("_from", F.lit(i)) for i, s in enumerate(sources)])
+    return _first(tagged, sources[0].columns, keys, not_null)
+
+
+def _first(tagged: DataFrame, columns: list[str], keys: list[str], not_null: list[str] = ()) -> DataFrame:
+    """One row for each key of rows with _from: one of the smallest _from."""
     for c in not_null:
         tagged = tagged.where(F.col(c).isNotNull())
-    order = Window.partitionBy(*keys).orderBy("_from", *[c for c in sources[0].columns if c not in keys])
-    return tagged.withColumn("_r", F.row_number().over(order)).where("_r = 1").select(sources[0].columns)
+    order = Window.partitionBy(*keys).orderBy("_from", *[c for c in columns if c not in keys])
+    return tagged.withColumn("_r", F.row_number().over(order)).where("_r = 1").select(columns)
 
 
 def replace_locale(target: DataFrame, source: DataFrame, locale: str) -> DataFrame:
@@ -41,8 +44,12 @@ def merged_images(sources: list[DataFrame]) -> DataFrame:
     """Images of all sources, each source's only if no source before it has them; no kind and an empty kind are the same, repeats within a source all count. The sources are tagged and meet in one shuffle, however many there are."""
     columns = sources[0].columns
     tagged = reduce(DataFrame.unionByName, [s.select(*columns, F.lit(i).alias("_from")) for i, s in enumerate(sources)])
+    return _first_images(tagged).select(columns)
+
+
+def _first_images(tagged: DataFrame) -> DataFrame:
     first = F.min("_from").over(Window.partitionBy("car_id", "image_path", F.coalesce("image_type", F.lit(""))))
-    return tagged.withColumn("_first", first).where("_from = _first").select(columns)
+    return tagged.withColumn("_first", first).where("_from = _first")
 
 
 def new_images(target: DataFrame, source: DataFrame) -> DataFrame:
@@ -50,10 +57,31 @@ def new_images(target: DataFrame, source: DataFrame) -> DataFrame:
     return merged_images([target, source])
 
 
-def merge(folder: str, out: str, spark, locales: list[str] | None = None, base: str | None = None, images: bool = False, logs: bool = False) -> Lake:
+def merge_locale(target: Lake, source: Lake, locale: str, logs: bool = False) -> None:
+    """A locale's dataset into another, in place.
+
+    Rows of the first-wins tables whose key the target lacks are appended, the locale's partitions of the localized
+    tables (with logs, of the log too) are replaced, and images that the target lacks are appended if both have images. Files
+    of other locales, and those that rows are appended beside, are not written again.
+    """
+    for t in FIRST_WINS:
+        target.append(t, first_wins([source.get(t)], schema.KEYS[t], schema.NOT_NULL.get(t, ())).join(target.table(t).select(schema.KEYS[t]), schema.KEYS[t], "left_anti"))
+    for t in [*BY_LOCALE, *(["fetch_log"] if logs else [])]:
+        target.write_locale(t, source.get(t), locale)
+    if target.has_table("car_images") and source.has_table("car_images"):
+        kind = F.coalesce("image_type", F.lit("")).alias("_kind")
+        had = target.table("car_images").select("car_id", "image_path", kind)
+        new = source.table("car_images").select("*", kind).join(had, ["car_id", "image_path", "_kind"], "left_anti")
+        target.append("car_images", new.select(target.table("car_images").columns))
+
+
+def merge(folder: str, out: str, spark, locales: list[str] | None = None, base: str | None = None, images: bool | None = None, logs: bool = False) -> Lake:
     """One dataset from folder/locale=<x>; the base locale's canonical rows count first, then the others' in their order.
 
-    Raises if no dataset is there, the base or a named locale has none, or out is there already.
+    Localized rows are each dataset's own, and the base's for locales that are not merged. Images are merged if the base has some, unless
+    images says otherwise; the base's other tables stay as they are. Each table of all datasets is one scan, with rows
+    ranked by the dataset that their path names. Raises if no dataset is there, the base or a named locale has none, or
+    out is there already.
     """
     found = locales_of(spark, folder)
     wanted = locale_order(locales or found)
@@ -67,22 +95,18 @@ def merge(folder: str, out: str, spark, locales: list[str] | None = None, base:
     if Lake(spark, out).has_table("cars"):
         raise ValueError(f"{out} is there already")
     wanted = locale_order(wanted, base)
-    lakes = [Lake(spark, f"{folder}/locale={x}") for x in wanted]
-    target = Lake(spark, out)
+    first, target = Lake(spark, f"{folder}/locale={base}"), Lake(spark, out)
+    rank = F.element_at(F.create_map(*[F.lit(v) for i, x in enumerate(wanted) for v in (x, i)]), F.col("_dataset"))
+    every = lambda t: scan_all(spark, folder, t, wanted)
+    own = (F.col("_dataset") == F.col("locale")) | ((F.col("_dataset") == base) & ~F.col("locale").isin(wanted))
     for t in FIRST_WINS:
-        target.write(t, first_wins([x.get(t) for x in lakes], schema.KEYS[t], schema.NOT_NULL.get(t, ())))
+        target.write(t, _first(every(t).withColumn("_from", rank), list(schema.struct(t).names), schema.KEYS[t], schema.NOT_NULL.get(t, ())))
     for t in BY_LOCALE:
-        parts = [x.get(t).where(F.col("locale") == name) for x, name in zip(lakes, wanted, strict=True)]
-        target.write(t, reduce(DataFrame.unionByName, parts))
-    for t in BASE_ONLY:
-        if t != "meta":
-            target.write(t, lakes[0].get(t))
-    if logs:
-        target.write("fetch_log", reduce(DataFrame.unionByName, [x.get("fetch_log") for x in lakes]))
-    else:
-        target.write("fetch_log", lakes[0].get("fetch_log"))
-    if images and any(x.has_table("car_images") for x in lakes):
-        target.write("car_images", merged_images([x.get("car_images") for x in lakes]))
-    said = spark.createDataFrame([("build_base_locale", base), ("build_locales", json.dumps(wanted))], "key string, value string")
-    target.write("meta", lakes[0].get("meta").join(said.select("key"), "key", "left_anti").select("key", "value").unionByName(said))
+        target.write(t, every(t).where(own).drop("_dataset"))
+    target.write("country_iso_map", first.get("country_iso_map"))
+    target.write("fetch_log", every("fetch_log").where(own).drop("_dataset") if logs else first.get("fetch_log"))
+    if first.has_table("car_images") if images is None else images:
+        target.write("car_images", _first_images(every("car_images").withColumn("_from", rank)).select(schema.struct("car_images").names))
+    target.write("meta", first.get("meta"))
+    target.set_meta(build_base_locale=base, build_locales=json.dumps(wanted))
     return target

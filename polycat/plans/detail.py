@@ -5,13 +5,49 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from polycat import schema
 from polycat.functions.collation import present
 from polycat.operators.cleanup import country_of_payload
 from polycat.plans.lists import country_labels, has_countries, of_locale
 from polycat.sources.lake import Lake
 
 
-def details(lake: Lake, ids: list[str] | DataFrame, locale: str = "gb") -> DataFrame:
+#: What a car's nested details are gathered from, and the column that holds the car.
+BUCKETED = {"cars": "id", "car_texts": "car_id", "car_specs": "car_id", "car_images": "car_id"}
+
+
+class Bucketed:
+    """A dataset whose large tables are also laid out in buckets by car, for details of many cars at once: texts, specifications and images then meet their cars without a shuffle.
+
+    write() lays them out once, as tables of Spark's catalog under the dataset; localized ones in folders of locales too, so that
+    only the locale asked for is read. They are a copy as of that time.
+    """
+
+    def __init__(self, lake: Lake, path: str, database: str):
+        self.lake, self.spark, self.path, self.database = lake, lake.spark, path.rstrip("/"), database
+
+    def write(self, buckets: int) -> Bucketed:
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}")
+        for table, car in BUCKETED.items():
+            if not self.lake.has_table(table):
+                continue
+            df = self.lake.table(table)
+            # rows of a bucket come together first, so that a task writes one file for each bucket and locale
+            out = df.repartition(buckets, car).write.format("parquet").mode("overwrite").bucketBy(buckets, car).sortBy(car).option("path", f"{self.path}/{table}")
+            (out.partitionBy("locale") if "locale" in df.columns else out).saveAsTable(f"{self.database}.{table}")
+        return self
+
+    def has_table(self, table: str) -> bool:
+        return self.lake.has_table(table)
+
+    def table(self, table: str) -> DataFrame:
+        return self.spark.table(f"{self.database}.{table}") if table in BUCKETED else self.lake.table(table)
+
+    def get(self, table: str) -> DataFrame:
+        return self.table(table) if self.has_table(table) else self.lake.get(table)
+
+
+def details(lake: Lake | Bucketed, ids: list[str] | DataFrame, locale: str = "gb") -> DataFrame:
     """One row for each id that is there: texts, maker, codes with labels, country, arrays of specs and images.
 
     Name and texts fall back to the canonical ones where the locale's are null or empty. A code's label counts as soon as
@@ -20,6 +56,7 @@ def details(lake: Lake, ids: list[str] | DataFrame, locale: str = "gb") -> DataF
     """
     wanted = lake.spark.createDataFrame([(i,) for i in ids], "id string") if isinstance(ids, list) else ids
     cars = lake.table("cars").join(wanted.distinct(), "id", "left_semi")
+    cars = cars.select([c for c in schema.struct("cars").names if c in cars.columns])  # older datasets have others too
     texts = of_locale(lake.table("car_texts"), locale, car_id="_ct", name="_name", intro="_intro", detail="_detail")
     out = cars.join(texts, F.col("id") == F.col("_ct"), "left")
     for c in ("name", "intro", "detail"):

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
-from pyspark.storagelevel import StorageLevel
 
 from polycat.functions.collation import nocase, present
 from polycat.functions.numbers import parse_number
 from polycat.operators.cleanup import country_of_payload
 from polycat.sources.lake import Lake
+from polycat.sources.shared import written
 
 SORTS = ("manufacturer", "country", "drivetrain", "max_power", "weight")
 
@@ -153,10 +153,10 @@ def overview_stats(lake: Lake) -> DataFrame:
 def with_positions(ordered: DataFrame, name: str = "pos") -> DataFrame:
     """An ordered table with its rows' positions from 1.
 
-    Rows stay in the partitions of the sort, where each is numbered; the rows before a partition are one sum for each
+    Rows are written in the partitions of the sort, where each is numbered; the rows before a partition are one sum for each
     partition, so that nothing passes through one task.
     """
-    rows = ordered.withColumn("_at", F.monotonically_increasing_id()).persist(StorageLevel.DISK_ONLY)
+    rows = written(ordered.withColumn("_at", F.monotonically_increasing_id()))
     part = F.shiftright("_at", 33)
     before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))  # one row for each partition
     starts = rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n")).select("_part", F.coalesce(before, F.lit(0)).alias("_before"))

@@ -6,10 +6,11 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from polycat import schema
 from polycat.sources.files import write_report
-from polycat.sources.lake import Lake
+from polycat.sources.lake import Lake, Refused
 
 
 def hero_counts(images: DataFrame) -> DataFrame:
@@ -49,6 +50,32 @@ def check_heroes(lakes: dict[str, Lake], manifest: DataFrame, least: int = 1, mo
     return 0 if outcome(mode, checked, wrong.count(), max_count, max_ratio) else {"strict": 3, "soft": 4}[mode]
 
 
+def load_images(lake: Lake, images: DataFrame, manifest: DataFrame, least: int = 1, mode: str = "soft", max_count: int = 20, max_ratio: float = 0.05) -> int:
+    """Replaces a dataset's images by images (car_id, image_path, sort_order, image_type, with or without id) unless they fail the checks: 0, or 3 for a strict and 4 for a soft refusal, which leaves the old images.
+
+    Differences from the manifest, as in hero_differences(), and images of no car are counted by the write itself: rows
+    meet the cars in one shuffle, and a car's difference is marked on one of its rows. Images of no car are refused in
+    every mode but off, where they are written.
+    """
+    cars = lake.table("cars").select("id", F.lit(True).alias("_car")).join(manifest.select(F.col("car_id").alias("id"), "expected"), "id", "left")
+    if "id" in images.columns:
+        images = images.drop("id")
+    rows = images.withColumn("_image", F.lit(True)).join(cars.withColumnRenamed("id", "_id"), F.col("car_id") == F.col("_id"), "full_outer").withColumn("_key", F.coalesce("car_id", "_id"))
+    of_car = Window.partitionBy("_key")
+    actual = F.count(F.when(F.col("image_type") == "hero", True)).over(of_car)
+    first = F.row_number().over(of_car.orderBy("sort_order", "image_path")) == 1
+    wrong = F.coalesce(F.col("_expected") != F.col("_actual"), F.col("_actual") < least)
+    rows = rows.withColumnsRenamed({"expected": "_expected"}).withColumn("_actual", actual).withColumn("_first", first & F.col("_car").isNotNull())
+    rows = rows.select(F.monotonically_increasing_id().alias("id"), "car_id", "image_path", "sort_order", "image_type", "_image", "_car", "_actual", "_expected", "_first")
+    checks = {"checked": F.when(F.col("_first"), True), "mismatches": F.when(F.col("_first") & wrong, True), "orphans": F.when(F.col("_car").isNull(), True)}
+    fine = lambda n: mode == "off" or (not n["orphans"] and outcome(mode, n["checked"], n["mismatches"], max_count, max_ratio))
+    try:
+        lake.write("car_images", rows, checks, fine, F.col("_image").isNotNull())
+    except Refused:
+        return {"strict": 3, "soft": 4}[mode]
+    return 0
+
+
 def orphans(lake: Lake) -> DataFrame:
     """table, column, value, rows: references to nothing."""
     out = lake.spark.createDataFrame([], "table string, column string, value string, rows long")

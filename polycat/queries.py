@@ -13,9 +13,13 @@ from pyspark.sql.window import Window
 
 from polycat import schema
 from polycat.extract import html as pages
+from polycat.extract.payload import image_urls
 from polycat.functions import codes, collation, numbers, specs, text
 from polycat.operators import cleanup, merge, upsert
 from polycat.plans import detail, ingest, lists, quality
+from polycat.sources import shared
+from polycat.sources.lake import Lake
+from polycat.streaming import fetch_log
 
 SOURCES = ["part", "supplier", "nation", "region", "orders", "lineitem", "customer", "events", "documents", "pages"]
 FOLD = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -425,10 +429,20 @@ def collation_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(collation.nocase(F.concat(F.lit("É"), "p_name", "p_type")).alias("folded"), collation.present(F.when(F.col("p_size") % 2 == 0, "").otherwise(F.col("p_type"))).alias("present")).distinct()
 
 
-@query("""select 'cars' as "table", 'manufacturer_id' as "column", manufacturer_id as value, count(*) as rows from cars where manufacturer_id is not null and manufacturer_id not in (select id from manufacturers) group by 3""")
+_LOST = "select '{t}' as \"table\", '{c}' as \"column\", {c} as value, count(*) as rows from {t} where {c} is not null{known} group by {c}"
+_LOST_OF = [("manufacturer_i18n", "id", " and id not in (select id from manufacturers)"), ("cars", "manufacturer_id", " and manufacturer_id not in (select id from manufacturers)"), ("aspiration_i18n", "code", ""), ("drivetrain_i18n", "code", ""), *[(t, "car_id", " and car_id not in (select id from cars where cast(id as int) % 4 <> 1)") for t in ("car_specs", "car_texts", "car_images")]]
+
+
+@query(" union all ".join(_LOST.format(t=t, c=c, known=k.replace("cars", "cars") if t != "cars" else k + " and cast(id as int) % 4 <> 1") for t, c, k in _LOST_OF))
 def orphan_references(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = Catalog(spark, sf_dir)
-    return quality.orphans(c).where("table = 'cars'")
+    """Of a catalog that lacks a quarter of its cars, and both tables of codes."""
+
+    class Lacking(Catalog):
+        def table(self, name: str) -> DataFrame:
+            df = super().table(name)
+            return df.where("cast(id as int) % 4 <> 1") if name == "cars" else df
+
+    return quality.orphans(Lacking(spark, sf_dir))
 
 
 # Scripts, payloads and pages made of rows of part by expressions that both engines read.
@@ -533,9 +547,13 @@ def code_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes_.select("code", F.col("default_name").alias("label"))
 
 
-@query("""select iso3, 'cn' as locale, coalesce(nullif(max(name) filter (locale = 'cn'), ''), nullif(max(name) filter (locale = 'gb'), '')) as name from country_i18n where locale in ('cn', 'gb') group by iso3""")
+@query("""select cast(n_nationkey as string) as iso3, 'cn' as locale, case when n_nationkey % 3 = 1 then concat('cn ', n_name) else n_name end as name from nation where n_nationkey % 3 = 1 or n_nationkey % 4 <> 0""")
 def country_names_of_locale(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleanup.country_names(Catalog(spark, sf_dir).table("country_i18n"), "cn")
+    n = Catalog(spark, sf_dir).source("nation").withColumn("iso3", F.col("n_nationkey").cast("string"))
+    own = F.when(F.col("n_nationkey") % 3 == 1, F.concat(F.lit("cn "), "n_name")).when(F.col("n_nationkey") % 3 == 2, "")
+    gb = F.when(F.col("n_nationkey") % 4 != 0, F.col("n_name"))
+    both = n.select("iso3", F.lit("cn").alias("locale"), own.alias("name")).unionByName(n.select("iso3", F.lit("gb").alias("locale"), gb.alias("name"))).where("name is not null")
+    return cleanup.country_names(both, "cn")
 
 
 @query("""select page_id, case when page_id % 2 = 0 then url else 'https://b.example/x/y.js' end as absolute, case when page_id % 2 = 0 then url else 'https://b.example/assets/x/y.js' end as asset, page_id % 3 = 0 as image, case page_id % 3 when 0 then '.jpg' when 1 then '.png' else '.jpg' end as ext from pages""")
@@ -553,3 +571,153 @@ def image_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     job = F.concat(F.when(F.col("event_id") % 2 == 0, "hero_").otherwise("thumb_"), number).alias("job_id")
     status = F.when(F.col("event_type") == "view", "ok").when(F.col("event_type") == "click", "skipped").otherwise("failed")
     return ingest.image_results(e.select(car, job), e.select(car, job, status.alias("status"), F.concat(F.lit("p/"), number).alias("path_rel")))
+
+
+@query("""select car_id, image_path, image_type, row_number() over (partition by car_id order by case image_type when 'hero' then 0 when 'thumb' then 1 else 2 end, image_type, sort_order nulls last, image_path) as position from (
+    select car_id, image_path, coalesce(nullif(image_type, ''), 'unknown') as image_type, sort_order from car_images)""")
+def image_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = Catalog(spark, sf_dir).table("car_images")
+    return upsert.image_rows(i.limit(0), i).select("car_id", "image_path", "image_type", "position")
+
+
+@query("""select p_type as code, 'gb' as locale, max(case when p_size > 40 then p_name end) as label from part where p_size > 40 or p_size < 5 group by p_type having max(case when p_size > 40 then p_name end) is not null
+    union all select p_type, 'gb', min(p_name) from part where p_size > 40 or p_size < 5 group by p_type having max(case when p_size > 40 then p_name end) is null union all select distinct p_type, 'cn', 'other' from part where p_size < 5""")
+def code_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = Catalog(spark, sf_dir).source("part").select(F.col("p_type").alias("code"), F.lit("gb").alias("locale"), F.col("p_name").alias("label"), "p_size")
+    old = p.where("p_size < 5").groupBy("code", "locale").agg(F.min("label").alias("label"))
+    old = old.unionByName(old.select("code", F.lit("cn").alias("locale"), F.lit("other").alias("label")))
+    new = p.where("p_size > 40").groupBy("code", "locale").agg(F.max("label").alias("label")).withColumn("default_name", F.lit(None).cast("string"))
+    return upsert.codes(spark.createDataFrame([], schema.struct("drivetrain_codes")), old, new)[1]
+
+
+# Detail, dataset and stream queries that go through files in the shared folder.
+
+
+def _lake(spark: SparkSession, tables: dict[str, DataFrame], at: str | None = None) -> Lake:
+    """A dataset of its own that holds tables."""
+    lake = Lake(spark, at or shared.new(spark, "dataset"))
+    for name, df in tables.items():
+        lake.write(name, df)
+    return lake
+
+
+@query(_DETAIL)
+def detail_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = Catalog(spark, sf_dir)
+    at = shared.new(spark, "buckets")
+    b = detail.Bucketed(c, at, f"buckets_{at[-8:]}").write(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return _details(detail.details(b, b.table("cars").select("id"), "cn"))
+
+
+@query("""select s.car_id as id, 'spec' as kind, s.spec_key as key, coalesce(l.label, s.spec_key) as label, s.spec_value as value, row_number() over (partition by s.car_id order by sort_order, spec_key, coalesce(l.label, s.spec_key), spec_value) as pos from car_specs s left join (select * from spec_code_i18n where locale = 'cn') l on l.code = s.spec_key where s.locale = 'cn'
+    union all select car_id, 'image', image_type, null, image_path, row_number() over (partition by car_id order by image_type, sort_order, image_path) from car_images where car_id in (select id from cars)""")
+def detail_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = Catalog(spark, sf_dir)
+    d = detail.details(c, c.table("cars").select("id"), "cn")
+    of_spec = d.select("id", F.posexplode("specs").alias("i", "s")).select("id", F.lit("spec").alias("kind"), F.col("s.spec_key").alias("key"), "s.label", F.col("s.spec_value").alias("value"), (F.col("i") + 1).cast("long").alias("pos"))
+    of_image = d.select("id", F.posexplode("images").alias("i", "s")).select("id", F.lit("image").alias("kind"), F.col("s.image_type").alias("key"), F.lit(None).cast("string").alias("label"), F.col("s.image_path").alias("value"), (F.col("i") + 1).cast("long").alias("pos"))
+    return of_spec.unionByName(of_image)
+
+
+@query("""select c.id, coalesce(mi.name, m.name) as maker, case when cast(c.id as int) % 2 = 0 then c.drivetrain_code end as drivetrain from cars c left join manufacturers m on m.id = c.manufacturer_id left join (select * from manufacturer_i18n where locale = 'cn') mi on mi.id = m.id""")
+def mixed_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the cars in files without codes, as an older dataset has them, the others appended with all columns."""
+    c = Catalog(spark, sf_dir)
+    cars = c.table("cars")
+    lake = _lake(spark, {"cars": cars.where("cast(id as int) % 2 = 1").select("id", "name", "manufacturer_id"), "manufacturers": c.table("manufacturers"), "manufacturer_i18n": c.table("manufacturer_i18n")}).create()
+    lake.append("cars", cars.where("cast(id as int) % 2 = 0"))
+    out = lake.table("cars").join(lists.named_makers(lake, "cn"), F.col("manufacturer_id") == F.col("_m"), "left")
+    return out.select("id", "maker", F.col("drivetrain_code").alias("drivetrain"))
+
+
+@query("""select car_id, locale, name, locale = 'gb' as untouched from car_texts where locale = 'gb' union all select concat('n', car_id), 'cn', upper(name), false from car_texts where locale = 'cn' and cast(car_id as int) % 2 = 0""")
+def merge_locale_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """untouched: whether a row's file was there before the locale was merged."""
+    texts = Catalog(spark, sf_dir).table("car_texts")
+    new = texts.where("locale = 'cn' and cast(car_id as int) % 2 = 0").withColumn("car_id", F.concat(F.lit("n"), "car_id")).withColumn("name", F.upper("name"))
+    target, source = _lake(spark, {"car_texts": texts}).create(), _lake(spark, {"car_texts": new}).create()
+    before = shared.written(target.table("car_texts").select(F.col("_metadata.file_name").alias("file")).distinct())
+    merge.merge_locale(target, source, "cn")
+    rows = target.table("car_texts").select("car_id", "locale", "name", F.col("_metadata.file_name").alias("file"))
+    return rows.join(F.broadcast(before.withColumn("untouched", F.lit(True))), "file", "left").select("car_id", "locale", "name", F.coalesce("untouched", F.lit(False)).alias("untouched"))
+
+
+_OF = {"gb": "sort_order <= 2", "cn": "sort_order in (2, 3, 4)", "fr": "sort_order >= 4"}
+
+
+@query(f"""select i.car_id, i.image_path, i.image_type, x from (select *, min(x) over (partition by car_id, image_path, coalesce(image_type, '')) as first from (select car_id, image_path, image_type, 1 as x from car_images where {_OF['gb']} union all select car_id, image_path, image_type, 2 from car_images where {_OF['cn']} union all select car_id, image_path, image_type, 3 from car_images where {_OF['fr']}) q) i where x = first""")
+def merge_three_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Images of three datasets; x tells by the order of their names in the merge whose they are."""
+    c, folder = Catalog(spark, sf_dir), shared.new(spark, "datasets")
+    for n, (locale, where) in enumerate(_OF.items(), 1):
+        images = c.table("car_images").where(where).withColumn("id", F.lit(n).cast("long"))
+        _lake(spark, {"cars": c.table("cars").where(f"cast(id as int) % {n} = 0"), "car_images": images}, f"{folder}/locale={locale}").create()
+    out = merge.merge(folder, shared.new(spark, "merged"), spark, base="gb")
+    return out.table("car_images").select("car_id", "image_path", "image_type", F.col("id").cast("int").alias("x"))
+
+
+@query(f"""select 'refused' as dataset, car_id, image_path from car_images where sort_order = 1 union all select 'accepted', car_id, image_path from car_images where sort_order > 1 union all select 'code', cast(case when (select count(*) from {_HEROES.replace("where image_type = 'hero'", "where image_type = 'hero' and sort_order > 1")} where {_REASON} is not null) = 0 then 0 else 3 end as string), null""")
+def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same images written in strict mode, which leaves the old ones, and without a check."""
+    c = Catalog(spark, sf_dir)
+    images = c.table("car_images")
+    parts = []
+    for mode, name in (("strict", "refused"), ("off", "accepted")):
+        lake = _lake(spark, {"cars": c.table("cars"), "car_images": images.where("sort_order = 1")})
+        code = quality.load_images(lake, images.where("sort_order > 1"), c.table("manifest"), 2, mode)
+        parts.append(lake.table("car_images").select(F.lit(name).alias("dataset"), "car_id", "image_path"))
+        if mode == "strict":
+            parts.append(spark.range(1).select(F.lit("code").alias("dataset"), F.lit(str(code)).alias("car_id"), F.lit(None).cast("string").alias("image_path")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+_NESTED = f"""concat('{{"a": {{"b": [{{"img": "/b', {_K}, '.PNG", "no": "x"}}, ["/c', {_SIZE}, '.webp", {{"deep": {{"er": ["image/', {_K}, '"]}}}}]]}}, "s": "{{not.jpg', {_K}, '", "t": "[1", "n": null, "x": ', {_SIZE}, case when p_partkey % 3 = 0 then ', "logo": "/l.jpeg"' else '' end, case when p_partkey % 7 = 0 then '' else '}}' end)"""
+
+
+@query(f"""select id, i + 1 as pos, paths[i + 1] as path, urls[i + 1] as url from (select {_K} as id, unnest(range(case when p_partkey % 3 = 0 then 4 else 3 end)) as i, ['a.b.0.img', 'a.b.1.0', 'a.b.1.1.deep.er.0', 'logo'] as paths, ['/b' || {_K} || '.PNG', '/c' || {_SIZE} || '.webp', 'image/' || {_K}, '/l.jpeg'] as urls from part where p_partkey % 7 <> 0) q""")
+def payload_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses at several depths with their paths, in the order of the text; a seventh of the payloads is cut short."""
+    p = Catalog(spark, sf_dir).source("part").select(F.expr(_K).alias("id"), F.expr(_NESTED).alias("payload"))
+    return p.select("id", F.posexplode(image_urls(F.col("payload"))).alias("i", "u")).select("id", (F.col("i") + 1).cast("long").alias("pos"), "u.path", "u.url")
+
+
+_STATE = "case when p_partkey % 11 = 0 then '[1]' when p_partkey % 13 = 0 then null else " + _PAYLOAD + " end"
+
+
+@query(f"""select {_K} as car_id, case when p_partkey % 11 = 0 or p_partkey % 13 = 0 then 'failed' else 'success' end as status, case when p_partkey % 11 = 0 or p_partkey % 13 = 0 then 'payload is no object' else '' end as message from part where p_partkey % 2 = 0 or p_partkey % 11 = 0 or p_partkey % 13 = 0
+    union all select concat('absent', {_K}), 'failed', 'neither payload nor page' from part where p_partkey % 17 = 0 union all select 'bad.js', 'failed', 'no car data in script' union all select {_K}, 'failed', 'page could not be read' from part where p_partkey % 19 = 0""")
+def build_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log of a build of listed cars, of which some have bad payloads, bad pages or nothing at all."""
+    part = Catalog(spark, sf_dir).source("part")
+    bad = "p_partkey % 11 = 0 or p_partkey % 13 = 0"
+    cars = part.where(f"p_partkey % 2 = 0 or {bad}").select(F.expr(_K).alias("car_id"), F.expr(_STATE).alias("payload"))
+    listed = part.where(f"p_partkey % 2 = 0 or {bad}").select(F.expr(_K).alias("id")).union(part.where("p_partkey % 17 = 0").select(F.expr(f"concat('absent', {_K})"))).withColumn("pos", F.monotonically_increasing_id())
+    scripts = spark.createDataFrame([("bad.js", "let x = 1")], "name string, text string")
+    pages_ = part.where("p_partkey % 19 = 0").select(F.expr(_K).alias("car_id"), F.lit(None).cast("string").alias("html"))
+    lake = Lake(spark, shared.new(spark, "built"))
+    ingest.build_locale(lake, ingest.Bundle(cars=cars, pages=pages_, failures=ingest.bad_scripts(scripts, "name")), "gb", options=ingest.Options(listed=listed))
+    return lake.table("fetch_log").select("car_id", "status", "message")
+
+
+def _followed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last states that the stream leaves of the log: two files, a stop, two more and the first once again, and a start from the same checkpoint."""
+    log, at = Catalog(spark, sf_dir).table("fetch_log"), shared.new(spark, "stream")
+    files = log.repartitionByRange(4, "id").sortWithinPartitions("id")
+    files = shared.written(files.withColumn("_part", F.spark_partition_id()))
+    for parts in ((0, 1), (2, 3, 0)):
+        for n in parts:
+            files.where(F.col("_part") == n).drop("_part").coalesce(1).write.mode("append").parquet(f"{at}/log")
+        fetch_log.into_table(fetch_log.read(spark, f"{at}/log", 2), f"{at}/states", f"{at}/checkpoint").awaitTermination()
+    return fetch_log.states(spark, f"{at}/states")
+
+
+@query("""select car_id, locale, arg_max(status, id) as status, max(id) as id from fetch_log group by car_id, locale""")
+def stream_latest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _followed(spark, sf_dir)
+
+
+@query("""select cast(c_custkey as string) as id from customer where cast(c_custkey as string) not in (select car_id from (select car_id, arg_max(status, id) as status from fetch_log group by car_id) where status = 'purchase')""")
+def stream_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left to do by the states that the stream leaves."""
+    states = _followed(spark, sf_dir).withColumn("status", F.when(F.col("status") == "purchase", "success").otherwise(F.col("status")))
+    return quality.pending(Catalog(spark, sf_dir).source("customer").select(F.col("c_custkey").cast("string").alias("id")), states, "gb")

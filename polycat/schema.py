@@ -6,6 +6,8 @@ from pyspark.sql.types import StructType
 
 # Locales in order of precedence, and the codes that may be stored.
 LOCALES = ["gb", "us", "au", "jp", "cn", "tw", "hk", "kr", "fr", "it", "de", "es", "pt", "bp", "nl", "pl", "tr", "ru", "gr", "ms", "th"]
+#: What rows of a dataset without locales count as.
+DEFAULT_LOCALE = "us"
 ASPIRATION_CODES = ["NA", "TC", "SC", "EV", "HV", "TC+SC"]
 DRIVETRAIN_CODES = ["FR", "FF", "MR", "RR", "4WD", "AWD"]
 

@@ -6,11 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from polycat import cli, schema
-from polycat.extract import html, js
+from polycat.extract import html, js, payload
 from polycat.operators import cleanup, merge, upsert
 from polycat.plans import detail, ingest, lists, quality
 from polycat.sources import files
-from polycat.sources.lake import Lake, locales_of
+from polycat.sources.lake import Lake, Refused, locales_of, scan_all
 from polycat.streaming import fetch_log
 
 
@@ -83,7 +83,7 @@ def test_failures_counts_and_options(spark, tmp_path):
     last = {r.car_id: r.status for r in quality.latest_status(lake.table("fetch_log")).collect()}
     assert last == {"car1": "success", "car2": "success", "car3": "failed", "car4": "failed", "car5": "failed"}
     assert lake.table("cars").count() == 2
-    assert ingest.build_locale(lake, b, "gb", resume=True) == 0 and lake.table("fetch_log").count() == 8  # failed ones again
+    assert ingest.build_locale(lake, b, "gb", resume=True) == 2 and lake.table("fetch_log").count() == 8  # failed ones again
     b.site_total = 2
     assert ingest.build_locale(at("b"), b, "gb") == 0 and at("b").get_meta("status") == "ok"
     b.site_total = 5
@@ -115,11 +115,9 @@ def test_facts_and_versions(spark, tmp_path):
     lake = Lake(spark, f"file://{tmp_path}/l").create()
     assert lake.get_meta("a") is None
     for v in ("1", "2"):
-        lake.set_meta("a", v)
-    lake.set_meta("b", None)
+        lake.set_meta(a=v)
+    lake.set_meta(b=None)
     assert lake.get_meta("a") == "2" and lake.table("meta").count() == 2
-    lake.vacuum("meta")
-    assert lake.get_meta("a") == "2" and len(list((tmp_path / "l" / "meta").glob("v-*"))) == 1
     assert cli.to_compact({"é": [1, 2]}) == '{"\\u00e9":[1,2]}'
 
 
@@ -245,7 +243,7 @@ def test_js(spark):
     assert js.literal(r"'aA\x42\n'") == "aAB\n"
     df = spark.createDataFrame([('[{"id": "car1", "hero": "h"}]',), (None,)], "t string")
     assert [r[0] for r in df.select(js.descriptions([])("t")).collect()] == [{"car1": '{"id": "car1", "hero": "h"}'}, {}]
-    p = spark.createDataFrame([('{"logo": "/l.png", "list": {"small": "/s.png"}, "main": ["/m.jpg", "/m.jpg"]}',), ("bad",)], "p string").select(js.image_urls("p").alias("i"))
+    p = spark.createDataFrame([('{"logo": "/l.png", "list": {"small": "/s.png"}, "main": ["/m.jpg", "/m.jpg"]}',), ("bad",)], "p string").select(payload.image_urls(F.col("p")).alias("i"))
     got = p.select(*[ingest.urls_of(F.col("i"), k).alias(k) for k in ("logo", "thumb", "hero")]).collect()
     assert tuple(got[0]) == (["/l.png"], ["/s.png"], ["/m.jpg"]) and tuple(got[1]) == ([], [], [])
     mods = spark.createDataFrame([('car7_1_2.jpg": () => e(() => import("./m1.js"), [x]), car8_1_1.png": () => e(() => import("./m2.js")',)], "t string")
@@ -272,19 +270,157 @@ def test_deep_and_broken_scripts():
 
 
 def test_stream(spark, tmp_path):
+    """Batches in two runs with one checkpoint, then a repeated file, late rows and another checkpoint: only the keys that change are written, and the table ends as a batch would have it."""
+    log = schema.struct("fetch_log")
     rows = [(i, f"c{i % 3}", "gb", ["success", "failed"][i % 2], None, "t") for i in range(12)]
-    for n in range(3):
-        spark.createDataFrame(rows[n * 4 : n * 4 + 4], schema.struct("fetch_log")).coalesce(1).write.mode("append").parquet(f"file://{tmp_path}/log")
-    lake = Lake(spark, f"file://{tmp_path}/lake")
-    want = {("c0", "failed"), ("c1", "success"), ("c2", "failed")}
-    for _ in range(2):  # the second run finds nothing new
-        fetch_log.into_lake(fetch_log.read(spark, f"file://{tmp_path}/log"), lake, "latest", f"file://{tmp_path}/cp").awaitTermination()
-        assert {(r.car_id, r.status) for r in lake.table("latest").collect()} == want
-    batch = quality.latest_status(spark.createDataFrame(rows, schema.struct("fetch_log")))
-    assert {(r.car_id, r.status) for r in batch.collect()} == want
-    q = fetch_log.latest(fetch_log.read(spark, f"file://{tmp_path}/log")).writeStream.outputMode("complete").format("memory").queryName("latest_q").trigger(availableNow=True).start()
-    q.awaitTermination()
-    assert {(r.car_id, r.status) for r in spark.table("latest_q").collect()} == want
+    at = lambda n: f"file://{tmp_path}/{n}"
+
+    def arrive(some):
+        spark.createDataFrame(some, log).coalesce(1).write.mode("append").parquet(at("log"))
+
+    def follow(checkpoint="cp"):
+        fetch_log.into_table(fetch_log.read(spark, at("log")), at("out"), at(checkpoint)).awaitTermination()
+        return {(r.car_id, r.status, r.id) for r in fetch_log.states(spark, at("out")).collect()}
+
+    changed = lambda: spark.read.schema(fetch_log.STATES).option("recursiveFileLookup", "true").parquet(at("out")).count()
+    arrive(rows[:4])
+    arrive(rows[4:8])
+    assert follow() == {("c0", "success", 6), ("c1", "failed", 7), ("c2", "failed", 5)} and changed() == 6
+    arrive(rows[8:])
+    assert follow() == {("c0", "failed", 9), ("c1", "success", 10), ("c2", "failed", 11)} and changed() == 9
+    arrive([rows[9], rows[2]])  # one that was there and one that is late
+    arrive([(20, "new", "gb", "success", None, "t"), (None, "new", "gb", "failed", None, "t")])
+    want = {("c0", "failed", 9), ("c1", "success", 10), ("c2", "failed", 11), ("new", "success", 20)}
+    assert follow() == want and changed() == 10
+    assert follow() == want and changed() == 10  # nothing new
+    fetch_log.compact(spark, at("out"))
+    assert changed() == 4
+    assert follow("other") == want  # all of it again, from the start
+    batch = quality.latest_status(spark.read.parquet(at("log")).where("id is not null"))
+    assert {(r.car_id, r.status) for r in batch.collect()} == {x[:2] for x in want}
+    assert fetch_log.states(spark, at("none")).count() == 0
+
+
+def test_merge_in_place(spark, built, tmp_path):
+    """A locale's partitions change place; files of others keep their names, and keys that are known keep their rows."""
+    lake, parts = built
+    target = lake.copy_to(f"file://{tmp_path}/t")
+    files_of = lambda t, x: sorted(p.name for p in (tmp_path / "t" / t / f"locale={x}").glob("*.parquet"))
+    before = {t: files_of(t, "gb") for t in merge.BY_LOCALE}
+    old_cn = files_of("car_texts", "cn")
+    source = Lake(spark, f"{parts}/locale=cn").copy_to(f"file://{tmp_path}/s")
+    source.write("car_texts", source.table("car_texts").withColumn("name", F.lit("neu")))
+    source.write("cars", source.table("cars").where("id = 'car1'").withColumn("id", F.lit("car9")).unionByName(source.table("cars").withColumn("name", F.lit("no"))))
+    merge.merge_locale(target, source, "cn")
+    assert {t: files_of(t, "gb") for t in merge.BY_LOCALE} == before and files_of("car_texts", "cn") != old_cn
+    assert {r.name for r in target.table("car_texts").where("locale = 'cn'").collect()} == {"neu"}
+    assert {r.id: r.name for r in target.table("cars").collect()} == {"car1": "Sample 1", "car2": "Sample 2", "car9": "Sample 1"}
+    assert target.table("car_texts").count() == 4 and target.table("fetch_log").count() == lake.table("fetch_log").count()
+    merge.merge_locale(target, source, "cn", logs=True)
+    assert target.table("fetch_log").where("locale = 'cn'").count() == source.table("fetch_log").where("locale = 'cn'").count()
+    merge.merge_locale(target, source.create(), "fr")
+    assert target.table("car_texts").count() == 4
+
+
+def test_merge_of_images(spark, tmp_path):
+    """Images are merged where the base has them; each table of all datasets is one scan."""
+    i = "car_id string, image_path string, sort_order int, image_type string"
+    for x, images in (("gb", [("car1", "a", 1, "hero")]), ("cn", [("car1", "a", 1, "hero"), ("car1", "b", 1, "")]), ("fr", [("car1", "b", 1, None), ("car2", "c", 1, "x")])):
+        b = bundle(spark, "cn" if x == "cn" else "gb")
+        b.images = spark.createDataFrame(images, i)
+        ingest.build_locale(Lake(spark, f"file://{tmp_path}/parts/locale={x}"), b, x, x)
+    out = merge.merge(f"file://{tmp_path}/parts", f"file://{tmp_path}/all", spark, base="gb")
+    assert sorted((r.image_path, r.image_type) for r in out.table("car_images").collect()) == [("a", "hero"), ("b", ""), ("c", "x")]
+    assert cli.main(["merge", "--folder", f"file://{tmp_path}/parts", "--out", f"file://{tmp_path}/none", "--images", "no"], spark) == 0
+    assert not Lake(spark, f"file://{tmp_path}/none").has_table("car_images")
+    plan = scan_all(spark, f"file://{tmp_path}/parts", "car_texts", ["cn", "gb", "fr"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "Union" not in plan
+    assert {(r._dataset, r.locale) for r in scan_all(spark, f"file://{tmp_path}/parts", "car_texts", ["cn", "fr"]).collect()} == {("cn", "cn"), ("fr", "fr")}
+
+
+def test_gate(spark, built, tmp_path):
+    """A strict failure leaves the old images; what is counted is counted by the write."""
+    lake = built[0].copy_to(f"file://{tmp_path}/l")
+    images = lambda *rows: spark.createDataFrame(list(rows), "car_id string, image_path string, sort_order int, image_type string")
+    expected = spark.createDataFrame([("car1", 2)], "car_id string, expected int")
+    paths = lambda: sorted(r.image_path for r in lake.table("car_images").collect())
+    good = images(("car1", "a", 1, "hero"), ("car1", "b", 2, "hero"), ("car2", "c", 1, "hero"), ("car2", "d", 1, "thumb"))
+    assert quality.load_images(lake, good, expected, mode="strict") == 0 and paths() == ["a", "b", "c", "d"]
+    assert quality.load_images(lake, images(("car1", "x", 1, "hero")), expected, mode="strict") == 3 and paths() == ["a", "b", "c", "d"]
+    assert quality.load_images(lake, images(("car1", "x", 1, "hero")), expected, mode="soft", max_count=1) == 4
+    assert quality.load_images(lake, good.unionByName(images(("none", "x", 1, "hero"))), expected) == 4 and paths() == ["a", "b", "c", "d"]
+    assert quality.load_images(lake, images(("car1", "x", 1, "hero")), expected, mode="soft") == 0 and paths() == ["x"]
+    assert quality.load_images(lake, good.unionByName(images(("none", "x", 1, "hero"))), expected, mode="off") == 0 and len(paths()) == 5
+    with pytest.raises(Refused, match="bad"):
+        lake.write("meta", lake.table("meta").withColumn("_n", F.lit(1)), {"bad": F.col("_n")})
+    assert not list((tmp_path / "l" / "_beside").glob("*"))
+
+
+def test_mixed_versions(spark, tmp_path):
+    """Files of an older and a newer shape answer together, also in a session that doesn't know the dataset; what only old datasets have goes if it is empty."""
+    path = f"file://{tmp_path}/l"
+    spark.createDataFrame([("m1", "Maker")], "id string, name string").write.parquet(f"{path}/manufacturers")
+    spark.createDataFrame([("car1", "One", "m1", "", "x")], "id string, name string, manufacturer_id string, description string, country string").write.parquet(f"{path}/cars")
+    spark.createDataFrame([("car1", "success", "t")], "car_id string, status string, updated_at string").write.parquet(f"{path}/fetch_log")
+    lake = Lake(spark, path)
+    assert not lake.has_column("manufacturers", "country_id") and lists.named_makers  # as it is until something is written
+    before = sorted(p.name for p in (tmp_path / "l" / "cars").glob("*.parquet"))
+    lake.create()
+    assert set(before) < {p.name for p in (tmp_path / "l" / "cars").glob("*.parquet")}
+    assert [tuple(r) for r in lake.table("fetch_log").select("car_id", "locale").collect()] == [("car1", "us")]
+    lake.append("cars", spark.createDataFrame([("car2", "Two", "m1", "FR")], "id string, name string, manufacturer_id string, drivetrain_code string"))
+    for one in (lake, Lake(spark, path + "/")):
+        assert {(r.id, r.drivetrain_code) for r in one.table("cars").collect()} == {("car1", None), ("car2", "FR")}
+        assert [r.id for r in lists.list_cars(one, "gb").collect()] == ["car1", "car2"] and detail.car_detail(one, "car2")["drivetrain"]["code"] == "FR"
+    assert cleanup.drop_empty_columns(lake) == ["cars"] and lake.table("cars").columns == schema.struct("cars").names[:3] + ["aspiration_code", "drivetrain_code"] + schema.struct("cars").names[5:]
+    spark.sql(f"DROP DATABASE {lake.database} CASCADE")
+    assert "country_id" in Lake(spark, path).table("manufacturers").columns
+
+
+def test_bucketed_details(spark, built, tmp_path):
+    """Details from buckets are those of the dataset, and nothing is shuffled by car."""
+    lake, _ = built
+    b = detail.Bucketed(lake, f"file://{tmp_path}/b", "bucketed_test").write(3)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        df = detail.details(b, b.table("cars").select("id"), "cn")
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not [x for x in plan.splitlines() if "Exchange hashpartitioning(" in x and ("car_id" in x or "hashpartitioning(id#" in x)]
+        want = detail.details(lake, lake.table("cars").select("id"), "cn")
+        assert sorted(map(repr, df.collect())) == sorted(map(repr, want.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_failures_by_kind(spark, tmp_path):
+    """A bad payload, a bad page, a bad script and an id without anything each have a row with a message; the rest is built, a listed id from its page alone."""
+    b = bundle(spark, "gb")
+    b.cars = b.cars.unionByName(spark.createDataFrame([("car3", "no json")], "car_id string, payload string"))
+    b.pages = spark.createDataFrame([("car1", None), ("car8", "<h1>From its page</h1>")], "car_id string, html string")
+    scripts = spark.createDataFrame([("a.js", "var x = 1"), ("b.js", 'let d = {car5: {name: "Five"}}; export {d as Cars}')], "name string, text string")
+    b.failures = ingest.bad_scripts(scripts, "name")
+    b.cars = b.cars.unionByName(ingest.from_scripts(scripts, strict=False))
+    listed = spark.createDataFrame([(i, x) for i, x in enumerate(["car1", "car3", "car5", "car8", "car9"])], "pos int, id string")
+    lake = Lake(spark, f"file://{tmp_path}/l")
+    assert ingest.build_locale(lake, b, "gb", options=ingest.Options(listed=listed)) == 0
+    assert {r.id: r.name for r in lake.table("cars").collect()} == {"car1": "Sample 1", "car5": "Five", "car8": "From its page"}
+    log = lake.table("fetch_log").collect()
+    assert {(r.car_id, r.message) for r in log if r.status == "failed"} == {("car1", "page could not be read"), ("car3", "payload is no object"), ("a.js", "no car data in script"), ("car9", "neither payload nor page")}
+    last = {r.car_id: r.status for r in quality.latest_status(lake.table("fetch_log")).collect()}
+    assert last == {"car1": "success", "car5": "success", "car8": "success", "car3": "failed", "a.js": "failed", "car9": "failed"}
+
+
+def test_payload_images(spark):
+    """Any depth, in the order of the text, without Python; a string that looks like an object is a string."""
+    deep = []
+    for k in range(60):
+        deep = {"k": deep, "i": f"{k}.jpg"}
+    rows = ['{"z": {"y": [["/d.jpg", {"a": "/image/q"}], "no"]}, "main": ["/m.jpg"], "u": "{\\"a\\": \\"image\\"}", "pp": 5.0}', "bad", None, '[1, "a.png"]', '{"a": ', "5", "{}", json.dumps(deep)]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, p string").select("i", payload.image_urls(F.col("p")).alias("u"), payload.pick(payload.fields(F.col("p")), ["none", "pp"]).alias("pp"))
+    got = {r.i: [tuple(x) for x in r.u] for r in df.collect()}
+    assert got[0] == [("z.y.0.0", "/d.jpg"), ("z.y.0.1.a", "/image/q"), ("main.0", "/m.jpg"), ("u", '{"a": "image"}')]
+    assert got[3] == [("1", "a.png")] and [len(got[i]) for i in (1, 2, 4, 5, 6, 7)] == [0, 0, 0, 0, 0, 60] and got[7][0][1] == "0.jpg"
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString() and df.where("i = 0").first().pp == "5.0"
 
 
 def test_build_from_files(spark, tmp_path, capsys):
