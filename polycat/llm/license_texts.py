@@ -156,16 +156,25 @@ software.
 DIGESTS = {
     "Apache-2.0": "7844dc1252bff1ce25b457cb21ec83758e732eee603390bdc58fdc608970eb1e",
     "Artistic-1.0": "4834e699353522cfb463bd8b374752ecf02156bb3f5dfb53d0edb502a112a651",
-    "BSD-3-Clause-UC": "d0a339eb5454123c6a1f2696aace557e0561866f3fe33b93ffad58ecfcab7060",
+    "BSD-3-Clause-UC": "02b95a909a1760c437b62898a808c2b8e6453e11217cb79fee06a74e08cd0f61",
     "CC0-1.0": "51c4bf27767d074bdefc84db7420b4c55e27827dac6d8de3ef0d37b2042fb6fa",
-    "GFDL-1.2": "11b443626816c538e555b7fb60eaba9f2a83a9ecb67ad4a1663e07c118b8e550",
+    "GFDL-1.2": "16a60297333d03527fa3530564aca73272c3b9cd8d30676502460c11d5d2bd2f",
     "GFDL-1.3": "a456c930d5d51aa1c2dd5444a0d229d04d2ec6740f1982501bd1166e29cca1ea",
-    "GPL-1.0": "e48cc146624a7bf72ed71e5ce28374d0a2bd69a3f73ec5a4480f8a976b17933d",
-    "GPL-2.0": "6badb3e67e1bf793cd85ec58b8312398e4055ba66b03a39cdba097f5e65e680d",
+    "GPL-1.0": "26bb2714a580299c6d0ae77e8ee77a1fa1474f1da58349c83c9c71299259c5ec",
+    "GPL-2.0": "6650d04e9e32f9ae1301ff90615b0159751ad5a794fb6a7b9f1d62304b81d883",
     "GPL-3.0": "ee65dfeb0c1a22b88c717b6a9b21b9ceab701a7e062cb3eca1da5cb5c1bb3f5f",
-    "LGPL-2.0": "4a1b1cb15d45262f049457ae26945909d0e5af93e2e3fb5de82c9f72ac6bebe2",
-    "LGPL-2.1": "f2755dc4b609b314faab32d30ca6d0466b60adc931cece2ea4f0b61f483bfc98",
+    "LGPL-2.0": "33967d60af895efd4b282074834ad511356b55e67118940f3bf218b84f7a5e57",
+    "LGPL-2.1": "0c65b637e131e628da70c42709d7d7a6a274340b8ba0e8d468ebb3ae3e01677e",
     "LGPL-3.0": "cb8c0f424bdd5c42a0b18285893829d988e9fb9a00d0cd604a59ebe8da7eeb45",
     "MPL-1.1": "e3d5c65d46635f95dafa9c380781a034fb1adda4cfe28052322df31b89d5b0c7",
     "MPL-2.0": "adf1a53404c10ffeccea9d6ff48c48b851618d74ab1b2263ff94a06ae3b7c46e",
 }
+# The same of what comes before the end of "END OF TERMS AND CONDITIONS", for licences that go on with how to apply them.
+BARE = {
+    "Apache-2.0": "d224790a1918de54812b7b4bf154fd2ab67a9048cf8eb6377d6e2606fffd2aab",
+    "GPL-1.0": "df417fa365269e7ba53e787b9adb401095288b22c06934ff668bf847d3f89a14",
+    "GPL-2.0": "06866dabfb1793bb5c66cabe7832525408919268bc1e4d5ce13d55417b9b0ef0",
+    "GPL-3.0": "4671d5b2b1066ae8112f48b114054efb01163ffef85367f8994fbc430d73ecd9",
+    "LGPL-2.0": "18066b77c7ebfdeb5af44a16dd535cde76515ff6ec0b46f2c8859fd11931831e",
+    "LGPL-2.1": "296203c0d5ce3483e18ad5c6809a705def84ec071d297e085ac09ad1c19759e9",
+}

@@ -106,7 +106,7 @@ def _quoted(s: str) -> str:
 def _canonical_sql(text: str) -> str:
     out = LOWER.format(f"coalesce({text}, '')")
     for pattern, stays in license_scan.STEPS:
-        out = f"regexp_replace({out}, {_quoted(pattern)}, {_quoted(f'{chr(92)}{stays}' if stays else ' ')}, 'g')"
+        out = f"regexp_replace({out}, {_quoted(pattern)}, {_quoted(f'{chr(92)}{stays}' if isinstance(stays, int) else stays or ' ')}, 'g')"
     for old, new in license_scan.SAME:
         out = f"replace({out}, {_quoted(old)}, {_quoted(new)})"
     return f"trim({out})"
@@ -134,7 +134,7 @@ def oracle_sql() -> dict[str, str]:
     leaf = " || ".join(_field_sql(c) for c in ("doc_id", "source", "lang", "n_chars", "text"))
     changed = " || ".join(_field_sql(c) for c in ("doc_id", "source", "lang", "n_chars", lower))
     texts = ", ".join(f"({_quoted(k)}, {_quoted(v)})" for k, v in license_scan.LICENSES.items())
-    digests = ", ".join(f"({_quoted(v)}, {_quoted(k)})" for k, v in license_scan.DIGESTS.items())
+    digests = ", ".join(f"({_quoted(v)}, {_quoted(k)})" for k, v in [*license_scan.DIGESTS.items(), *license_scan.BARE.items()])
     white = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
     return {
         "op2_license_scan": f"""

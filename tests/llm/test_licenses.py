@@ -59,16 +59,33 @@ def test_long_licenses(spark):
         for s in (t, t.upper(), t.replace("license", "licence").replace("ization", "isation"), t.replace("\n", "\r\n"), re.sub(r"[ \t]+", "  ", t)):
             want[len(rows)] = name
             rows.append((len(rows), s))
+    for name in L.BARE:  # without what comes after the terms
+        want[len(rows)] = name
+        rows.append((len(rows), re.split(r"(?i)(?<=END OF TERMS AND CONDITIONS)", texts[name])[0]))
+    for old in ("59 Temple Place, Suite 330, Boston, MA  02111-1307  USA", "675 Mass Ave, Cambridge, MA 02139, USA"):
+        want[len(rows)] = "GPL-2.0"
+        rows.append((len(rows), re.sub(r"51 Franklin Street, Fifth Floor,\s+Boston, MA 02110-1301,? USA", old, texts["GPL-2.0"])))
+        assert old in rows[-1][1]
     assert found(spark, rows) == want
 
 
+def test_notices(spark):
+    """Notices of any length, without sign or year, identifiers, and organisations in the clause on names."""
+    mit, bsd = L.LICENSES["MIT"], L.LICENSES["BSD-3-Clause"]
+    line = next(x for x in mit.split("\n") if x.startswith("Copyright"))
+    rows = [mit.replace(line, "Copyright (c) 2020 " + "Some One and " * 60 + "Others"), mit.replace(line, "Copyright The Authors"), "// SPDX-License-Identifier: MIT\n" + mit, mit.replace(line, "# Copyright by the people who wrote it")]
+    named = bsd.replace("the copyright holder nor the names of its", "Example Org nor the names of its")
+    assert named != bsd
+    assert found(spark, list(enumerate([*rows, named, named.replace("nor the names of its", "and the names of its")]))) == {0: "MIT", 1: "MIT", 2: "MIT", 3: "MIT", 4: "BSD-3-Clause", 5: None}
+
+
 def test_no_licenses(spark):
     """More than the licence, less, other words, notices in prose, nothing, repeated rows and rows without id."""
     mit = L.LICENSES["MIT"]
     long_line = "Copyright (c) 2020 " + "wort " * 100 + mit
     rows = [(1, mit + " and more"), (2, mit[: len(mit) // 2]), (3, mit.replace("free of charge", "for a fee")), (4, "This is under the MIT License."), (5, None), (6, ""), (7, " .,;\n"), (8, long_line), (9, "MIT License"), (None, L.LICENSES["ISC"]), (None, "x"), (10, mit), (10, mit)]
     out = L.scan_licenses(docs(spark, rows), L.known_licenses(spark)).collect()
-    assert sorted((r.doc_id or 0, r.license_id or "") for r in out) == sorted((i or 0, {None: "ISC", 10: "MIT"}.get(i, "") if t != "x" else "") for i, t in rows)
+    assert sorted((r.doc_id or 0, r.license_id or "") for r in out) == sorted((i or 0, {None: "ISC", 8: "MIT", 10: "MIT"}.get(i, "") if t != "x" else "") for i, t in rows)
     assert L.scan_licenses(empty(spark), L.known_licenses(spark)).count() == 0
 
 
