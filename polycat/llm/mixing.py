@@ -40,13 +40,13 @@ def _rate(lam: str = "lam") -> F.Column:
     return F.lit(float(MOST)) / (1 + F.exp(-F.col(lam) * F.col("x")))
 
 
-def balance(hist: DataFrame, sources: DataFrame, rounds: int = 60, tolerance: float = 1e-9) -> DataFrame:
+def balance(hist: DataFrame, sources: DataFrame, rounds: int = 200, tolerance: float = 1e-9) -> DataFrame:
     """sid, lam: the tilt of each source for which the expected tokens meet its target.
 
     hist: (sid, size, n, x) with n documents of that size; sources: (sid, source_size, target). The dual of the bounded
     entropy balancing problem is convex and its constraints do not overlap, so that its Newton step is one sum of
     gradient and curvature over each source, made by Spark over the histogram; a bracket keeps steps from going astray.
-    Sources at their cap have the limit, lam = infinity, and empty ones 0.
+    Sources at their cap have the limit, lam = infinity, and empty ones 0. Raises if rounds don't suffice.
     """
     inf = float("inf")
     capped = F.col("target") >= MOST * F.col("source_size") * (1 - 1e-12)
@@ -64,8 +64,8 @@ def balance(hist: DataFrame, sources: DataFrame, rounds: int = 60, tolerance: fl
         step = F.when(newton.isNotNull() & (newton > F.col("_lo")) & (newton < F.col("_hi")) & (F.abs(newton - F.col("lam")) <= 2 + F.abs("lam")), newton).otherwise(middle)
         state = stored(s.select("sid", "target", "source_size", F.when(F.col("done") | near, F.col("lam")).otherwise(step).alias("lam"), F.coalesce("_lo", "lo").alias("lo"), F.coalesce("_hi", "hi").alias("hi"), (F.col("done") | F.coalesce(near, F.lit(True))).alias("done")))
         if not state.where("not done").limit(1).count():
-            break
-    return state.select("sid", "lam")
+            return state.select("sid", "lam")
+    raise ArithmeticError(f"no tilt found in {rounds} rounds for sources {[r[0] for r in state.where('not done').select('sid').limit(5).collect()]}")
 
 
 def _whole(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -96,7 +96,7 @@ def mix_rates(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: floa
     documents a source has. Within a size, copies are dealt by rank in runs of some thousand documents.
     """
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
-    sizes = stored(docs.select(F.col(id_col).alias("_id"), *keep, F.col(source_col).alias("source"), size.alias("size")))
+    sizes = numbered(docs.select(F.col(id_col).alias("_id"), *keep, F.col(source_col).alias("source"), size.alias("size")), "_row")
     counts = stored(sizes.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")))
     sources = stored(targets(counts.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")).withColumn("source_size", F.coalesce("source_size", F.lit(0))), weights, share))
     few = bounded(sources.withColumnRenamed("source", "_s"))
@@ -108,10 +108,25 @@ def mix_rates(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: floa
     dealt = stored(rated.groupBy("sid").applyInPandas(_whole, "sid int, size long, n long, total long").join(rated.select("sid", "size", "rate"), ["sid", "size"]))
     run = F.pmod(F.xxhash64("_id"), F.ceil(F.col("n") / RUN))
     rows = sizes.join(few, F.col("source").eqNullSafe(F.col("_s"))).join(bounded(dealt), ["sid", "size"]).withColumn("_run", run)
-    before = Window.partitionBy("sid", "size").orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = stored(rows.where(F.col("n") > RUN).groupBy("sid", "size", "_run").agg(F.count(F.lit(1)).alias("_k")).withColumn("_before", F.coalesce(F.sum("_k").over(before), F.lit(0))).drop("_k"))
-    rank = F.row_number().over(Window.partitionBy("sid", "size", "_run").orderBy(F.xxhash64("_id", F.lit(4)), "_id", *keep))
-    rows = rows.withColumn("_rank", rank).join(bounded(offsets), ["sid", "size", "_run"], "left").withColumn("_j", F.col("_rank") + F.coalesce("_before", F.lit(0)))
+    of_runs = stored(rows.where(F.col("n") > RUN).groupBy("sid", "size", "_run").agg(F.count(F.lit(1)).alias("_k")))
+    rows = rows.withColumns({"_hot": F.lit(False), "_part": F.lit(0).cast("long")})
+    crowded = stored(of_runs.where(F.col("_k") > 4 * RUN).drop("_k"))
+    if crowded.limit(1).count():  # ids that many rows share: their rows stand together, cut by place in the table, and count the same in any order
+        ids = rows.join(bounded(crowded), ["sid", "size", "_run"], "left_semi").groupBy("sid", "size", F.col("_id").alias("_same")).agg(F.count(F.lit(1)).alias("_times"))
+        ids = stored(ids.where(F.col("_times") > RUN).withColumnsRenamed({"sid": "_sid", "size": "_size"}))
+        shared = (F.col("sid") == F.col("_sid")) & (F.col("size") == F.col("_size")) & F.col("_id").eqNullSafe(F.col("_same"))
+        part = F.when(F.col("_times").isNull(), 0).otherwise(1 + F.pmod(F.xxhash64("_row"), F.ceil(F.col("_times") / RUN))).cast("long")
+        rows = rows.join(bounded(ids), shared, "left").withColumns({"_hot": F.col("_times").isNotNull(), "_part": part})
+    hot_id = F.when(F.col("_hot"), F.col("_id")).alias("_hot_id")
+    rows = rows.withColumn("_hot_id", hot_id)
+    group = ["sid", "size", "_run", "_hot", "_hot_id", "_part"]
+    before = Window.partitionBy("sid", "size").orderBy("_run", "_hot", F.col("_hot_id").asc_nulls_first(), "_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = stored(rows.where(F.col("n") > RUN).groupBy(*group).agg(F.count(F.lit(1)).alias("_k")).withColumn("_before", F.coalesce(F.sum("_k").over(before), F.lit(0))).select(*[F.col(c).alias(f"_o{c}") for c in group], "_before"))
+    rank = F.row_number().over(Window.partitionBy(*group).orderBy(F.xxhash64("_id", F.lit(4)), "_id", *keep))
+    same = F.lit(True)
+    for c in group:
+        same = same & (F.col(c).eqNullSafe(F.col(f"_o{c}")) if c == "_hot_id" else F.col(c) == F.col(f"_o{c}"))
+    rows = rows.withColumn("_rank", rank).join(bounded(offsets), same, "left").withColumn("_j", F.col("_rank") + F.coalesce("_before", F.lit(0)))
     return rows.select(F.col("_id").alias(id_col), *keep, "size", "source_size", "target", "rate", F.expr("cast((_j * total) div n - ((_j - 1) * total) div n as int)").alias("copies"))
 
 

@@ -201,6 +201,20 @@ def test_mixing_runs(spark, monkeypatch):
         assert abs(sum(x.copies * 3 for x in rows) - rows[0].target) <= 3
 
 
+def test_mixing_shared_ids(spark, monkeypatch):
+    """Rows that share an id, or have none, fill several runs; copies add up and do not depend on how rows lie."""
+    monkeypatch.setattr(mixing, "RUN", 8)
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, "a b c", "en", "x" if i < 700 else "y", 0) for i in range(900)]
+    df = spark.createDataFrame(rows, DOCS)
+    got = mixing.mix_rates(df).collect()
+    again = mixing.mix_rates(df.repartition(5)).collect()
+    key = lambda x: (repr(x.doc_id), x.source_size, x.copies)
+    assert sorted(map(key, got)) == sorted(map(key, again)) and len(got) == 900
+    for n in (2100, 600):
+        some = [x for x in got if x.source_size == n]
+        assert abs(sum(3 * x.copies for x in some) - some[0].target) <= 3 and {x.copies for x in some} <= {0, 1, 2}
+
+
 def test_toxicity(spark):
     r = random.Random(5)
     word = lambda: "".join(r.choice("abcdefgh") for _ in range(6))
