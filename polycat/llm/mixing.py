@@ -131,7 +131,11 @@ def mix_rates(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: floa
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5) -> DataFrame:
-    """docs with each row as often as mix_rates takes it, 0 to MOST times. Copies are dealt by a hash of id and text and given to rows by a key of their own, so rows that share an id or have none get no more than theirs."""
+    """docs with each row as often as mix_rates takes it, 0 to MOST times, with all their columns.
+
+    Copies are dealt by a hash of id and text and given to rows by a key of their own, so rows that share an id or have
+    none get no more than theirs. Null and empty texts have size 0 and weigh nothing; an empty table stays empty.
+    """
     own, row, deal, times, copy = (fresh(docs, n) for n in ("_own", "_row", "_deal", "_times", "_copy"))
     rows = numbered(docs, own)
     hashed = rows.select(F.xxhash64("doc_id", "text").alias(deal), own, "text", "source")

@@ -405,7 +405,12 @@ def held_out(doc_id) -> F.Column:
 
 
 def score_corpus(docs: DataFrame) -> DataFrame:
-    """Trains on the documents that aren't held out and scores all: score()'s columns with held_out."""
+    """Trains on the documents that aren't held out and scores all: score()'s columns with held_out.
+
+    Null and empty texts are one end; whole texts are learnt and scored, however long; rows that share an id count each,
+    and rows without one are learnt from. With nothing to learn from, every token is unknown; an empty table gives no rows.
+    Other columns are left out, whatever their names.
+    """
     docs = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
     known = docs.where("not held_out")
     segments = segments_for(known)

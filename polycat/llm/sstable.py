@@ -324,7 +324,11 @@ def lookup(folder: str, shards: list[str], doc_id: int | None) -> list[np.ndarra
 
 
 def encode_table(docs: DataFrame, tokenizer: str, folder: str | None = None, end_id: int = 2) -> DataFrame:
-    """Writes docs as shards and reads them back: doc_id, start, n_tokens, ids_crc32, shard."""
+    """Writes docs as shards and reads them back: doc_id, start, n_tokens, ids_crc32, shard.
+
+    Null and empty texts are the end id alone; long texts are encoded whole; rows that share an id or have none have a
+    row each, nulls first; other columns are left out, whatever their names; an empty table gives no rows.
+    """
     spark = docs.sparkSession
     folder = folder or f"{shared_dir(spark)}/sst-{uuid.uuid4().hex}"
     folder = folder if "://" in folder else re.sub("^(file:)?/+", "file:///", folder)
