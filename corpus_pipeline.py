@@ -18,27 +18,27 @@ from polycat.llm.toxicity import drop_toxic
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that the classifier calls toxic."""
+    """Without the documents that the classifier, trained on sf_dir's labels, calls toxic by their whole text. Null texts count as empty; an empty table stays empty; all columns pass through."""
     return drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest id."""
+    """One document of each group of near-duplicates (five words, 0.8): the one with the smallest id. Documents without words are near nothing and stay; of equal rows one stays; rows without an id are judged like others."""
     return drop_near_duplicates(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that hold a passage of a benchmark item."""
+    """Without the documents that hold a passage of an item of sf_dir's benchmark. Null and empty texts stay; rows that share an id are decided one by one; an empty benchmark takes nothing."""
     return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix of sources takes it, up to twice."""
+    """Each document as often as the mix of sources takes it, up to twice. A null source is a source; rows that share an id or have none get copies of their own; an empty table stays empty."""
     return mix(docs)
 
 
 def token_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids in sorted-string-table shards; one row for each encoded document, read back from them."""
+    """Token ids in sorted-string-table shards; one row for each encoded document, read back from them. Null and empty texts are the end id alone; copies have a row each; no documents, no rows."""
     return encode_table(docs, tokenizer_path())
 
 
