@@ -324,13 +324,14 @@ def test_merge_in_place(spark, built, tmp_path):
 
 def test_merge_of_images(spark, tmp_path):
     """Images are merged where the base has them; each table of all datasets is one scan."""
-    i = "car_id string, image_path string, sort_order int, image_type string"
-    for x, images in (("gb", [("car1", "a", 1, "hero")]), ("cn", [("car1", "a", 1, "hero"), ("car1", "b", 1, "")]), ("fr", [("car1", "b", 1, None), ("car2", "c", 1, "x")])):
-        b = bundle(spark, "cn" if x == "cn" else "gb")
-        b.images = spark.createDataFrame(images, i)
-        ingest.build_locale(Lake(spark, f"file://{tmp_path}/parts/locale={x}"), b, x, x)
+    for x, images in (("gb", [(1, "car1", "a", 1, "hero")]), ("cn", [(1, "car1", "a", 1, "hero"), (2, "car1", "b", 1, "")]), ("fr", [(1, "car1", "b", 1, None), (2, "car2", "c", 1, "x")])):
+        one = Lake(spark, f"file://{tmp_path}/parts/locale={x}")
+        one.write("cars", spark.createDataFrame([("car1", x)], "id string, name string"))
+        one.write("car_texts", spark.createDataFrame([("car1", x, None, None, x)], "car_id string, name string, intro string, detail string, locale string"))
+        one.write("car_images", spark.createDataFrame(images, schema.struct("car_images")))
     out = merge.merge(f"file://{tmp_path}/parts", f"file://{tmp_path}/all", spark, base="gb")
     assert sorted((r.image_path, r.image_type) for r in out.table("car_images").collect()) == [("a", "hero"), ("b", ""), ("c", "x")]
+    assert [r.name for r in out.table("cars").collect()] == ["gb"] and out.table("car_texts").count() == 3
     assert cli.main(["merge", "--folder", f"file://{tmp_path}/parts", "--out", f"file://{tmp_path}/none", "--images", "no"], spark) == 0
     assert not Lake(spark, f"file://{tmp_path}/none").has_table("car_images")
     plan = scan_all(spark, f"file://{tmp_path}/parts", "car_texts", ["cn", "gb", "fr"])._jdf.queryExecution().executedPlan().toString()
@@ -445,3 +446,27 @@ def test_build_from_files(spark, tmp_path, capsys):
     assert cli.main(["doctor"], spark) == 0 and "spark: " in capsys.readouterr().out
     with pytest.raises(FileNotFoundError):
         ingest.from_folder(spark, at("src"), "fr")
+
+
+def test_cli_with_images(spark, tmp_path):
+    """A build from files takes images and the site's total from them; images go on into the merged dataset, through the check, and to their right names."""
+    src, at = tmp_path / "src", lambda n: f"file://{tmp_path}/{n}"
+    (src / "gb" / "cars").mkdir(parents=True)
+    (src / "gb" / "cars" / "a.js").write_text("var d={car1:{name:'One'}};export{d as CarList}")
+    (src / "gb" / "cars" / "b.js").write_text("var d=1;")
+    (src / "gb" / "index.html").write_text("<p>3 Cars</p>")
+    image = src / "gb" / "images" / "cars" / "car1" / "car1_hero_01.jpe"
+    image.parent.mkdir(parents=True)
+    image.write_text("x")
+    build = ["build", "--source", at("src"), "--folder", at("parts"), "--out", at("all"), "--locales", "gb"]
+    assert cli.main(build, spark) == 2  # three cars are said, one is there
+    lake = Lake(spark, at("all"))
+    assert [tuple(r) for r in lake.table("car_images").select("car_id", "image_path", "sort_order", "image_type").collect()] == [("car1", "cars/car1/car1_hero_01.jpe", 1, "hero")]
+    assert {(r.car_id, r.status) for r in lake.table("fetch_log").collect()} == {("car1", "success"), ("b.js", "failed")}
+    assert cli.main(["fix-paths", "--db", at("all"), "--images", at("src/gb/images")], spark) == 0
+    assert [p.name for p in image.parent.iterdir() if not p.name.startswith(".")] == ["car1_hero_01.jpg"] and lake.table("car_images").first().image_path.endswith(".jpg")
+    (tmp_path / "man.json").write_text('{"car1": 2}')
+    load = ["images", "--db", at("all"), "--images", at("src/gb/images"), "--manifest", at("man.json"), "--mode"]
+    assert cli.main([*load, "strict"], spark) == 3 and cli.main([*load, "soft"], spark) == 0
+    assert cli.main(["build", "--source", at("src"), "--folder", at("bare"), "--locales", "gb", "--image-policy", "none"], spark) == 2
+    assert not Lake(spark, at("bare/locale=gb")).has_table("car_images")
