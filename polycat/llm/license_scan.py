@@ -36,7 +36,7 @@ OPENINGS = "permission is hereby granted|permission to use|redistribution and us
 #: Steps of the canonical form: pattern, and the number of the group that stays in place of each match, or the words that
 #: do, or None for a space. Each is applied to all matches, in this order.
 STEPS = [
-    (r"[^\n]*spdx-license-identifier:[^\n]*", None),
+    (r"(^|\n)[ \t*#/;-]*spdx-license-identifier:[^\n]*", 1),
     (MARK + r"[^\n]*?(\n|$|" + OPENINGS + ")", 5),
     (r"all[ \t]+rights[ \t]+reserved", None),
     (r"(^|\n)[ \t*#/;-]*([0-9]{1,2}|[a-z])[.)][ \t]+", 1),
