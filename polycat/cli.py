@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import contextlib
 import json
 import sys
 
@@ -36,6 +37,17 @@ def to_compact(data) -> str:
     return json.dumps(data, separators=(",", ":"), default=str)
 
 
+def write_lines(lines, path: str | None, none: str = "") -> None:
+    """Lines to a file or to standard output, none's text if there are none."""
+    with open(path, "w", encoding="utf-8") if path else contextlib.nullcontext(sys.stdout) as f:
+        said = False
+        for line in lines:
+            f.write(f"{line}\n")
+            said = True
+        if not said:
+            f.write(f"{none}\n")
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="polycat")
     sub = p.add_subparsers(dest="command", required=True)
@@ -136,20 +148,18 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if a.command == "images":
         return quality.load_images(lake, ingest.image_files(spark, a.images), manifest(spark, a.manifest), a.least, a.mode, a.max_count, a.max_ratio)
     rows = lambda df: [r.asDict(recursive=True) for r in df.toLocalIterator()]
-    if a.command == "list":
-        data = rows(lists.list_cars(lake, a.locale, a.sort, a.limit))
+    stats = {"manufacturer": lists.stats_by_manufacturer, "country": lists.stats_by_country, "drivetrain": lists.stats_by_drivetrain}
+    if a.command in ("list", "stats"):
+        df = lists.list_cars(lake, a.locale, a.sort, a.limit) if a.command == "list" else stats[a.by](lake, a.locale)
+        if a.format == "text":  # a line as it comes: the driver holds no whole list
+            write_lines(("\t".join(map(str, r)) for r in df.toLocalIterator()), a.out, to_json([]))
+            return 0
+        data = rows(df)
     elif a.command == "car":
         data = detail.car_detail(lake, a.car_id, a.locale)
-    elif a.command == "stats":
-        data = rows({"manufacturer": lists.stats_by_manufacturer, "country": lists.stats_by_country, "drivetrain": lists.stats_by_drivetrain}[a.by](lake, a.locale))
     else:
         data = rows(lists.overview_stats(lake))[0]
-    out = {"json": to_json, "compact": to_compact, "text": to_text}[a.format](data)
-    if a.out:
-        with open(a.out, "w", encoding="utf-8") as f:
-            f.write(out + "\n")
-    else:
-        print(out)
+    write_lines([{"json": to_json, "compact": to_compact, "text": to_text}[a.format](data)], a.out)
     return 0
 
 
