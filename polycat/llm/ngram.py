@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import reduce
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from polycat.llm.common import TEXT_ROWS, numbered, release, stored
-from polycat.llm.text import SLICE, U, mix, slices, word_hashes
+from polycat.llm.text import U, mix, slices, word_hashes
 
 #: Hash of the end of a document, which is also what comes before its first word.
 END = U(0xE0D0C0B0A0908071)
@@ -29,6 +30,8 @@ FILTER_BYTES, PIECES = 64 << 20, 24
 SEGMENT_BYTES = 8 << 20
 #: Counts that come to a task before it sums those of equal keys, and cells that it gets at once.
 HELD, CELLS = 4_000_000, 64
+#: Keys that are looked up in the filter at once.
+PROBES = 1 << 17
 #: Words whose exact counts are broadcast for the base score; rarer ones are joined by a shuffle.
 HEAD = 1 << 20
 #: Weight of the word's own probability against the pair's count: MU, and SHARE times the count of what stands before.
@@ -182,10 +185,13 @@ class Filter:
 
     def levels(self, keys: np.ndarray, order: int) -> np.ndarray:
         """Level of each key, 0 if it was never seen or belongs to a segment that isn't here; probed upwards until a level is absent."""
+        return np.concatenate([np.zeros(0, np.uint8), *[self._levels(keys[lo : lo + PROBES], order) for lo in range(0, len(keys), PROBES)]])
+
+    def _levels(self, keys: np.ndarray, order: int) -> np.ndarray:
         bits = np.frombuffer(self.raw, U)
         segment = (keys % U(self.segments)).astype(np.int64)
         start, blocks = self.at[order][0][segment], self.at[order][1][segment]
-        q, level, on = np.zeros(len(keys), np.int64), 1, np.flatnonzero(start >= 0)
+        q, level, on = np.zeros(len(keys), np.uint8), 1, np.flatnonzero(start >= 0)  # a count of 2**63 has level 253
         while len(on):
             place, mask = _places(keys[on], level, blocks[on].astype(U))
             on = on[(bits[start[on] + place.astype(np.int64)] & mask) == mask]
@@ -301,21 +307,31 @@ def _rows(pieces: list) -> int:
 
 
 def _pieces(sent: list) -> Iterator[Filter]:
-    """The broadcast pieces one after the other. A single one is kept by the worker, of several only the one in use."""
+    """The broadcast pieces one after the other. A single one is kept by the worker, of several only the one in use, if the caller lets go of it."""
     for b in sent:
         yield b.value if len(sent) == 1 else b.load_from_path(b._path)
 
 
-def _probe(sent: list, words: np.ndarray, before: np.ndarray) -> np.ndarray:
-    """Levels of each token's word, of the token before and of the pair, as three rows of bytes."""
-    kinds, back = np.unique(np.concatenate([words, before]), return_inverse=True)
-    pairs = pair_hashes(words, before)
-    one, two = np.zeros(len(kinds), np.uint8), np.zeros(len(pairs), np.uint8)
-    for piece_ in _pieces(sent):  # a key is in one piece only
-        one |= piece_.levels(kinds, 1).astype(np.uint8)
-        two |= piece_.levels(pairs, 2).astype(np.uint8)
-    one = one[back]
-    return np.stack([one[: len(words)], one[len(words) :], two])
+def _probed(sent: list, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """First and last row (exclusive) of a slice of texts, its tokens' hashes, tokens for each row, and levels of each token's word, of the token before and of the pair, as three rows of bytes.
+
+    Each piece is read once for as many slices as there are pieces, but texts are hashed and keys looked up in smaller runs, so
+    that a worker holds one piece, the hashes of these slices and little else.
+    """
+    for group in batched(slices(texts), len(sent)):
+        parts = []
+        for lo, hi, off, data in group:
+            words, before, counts = tokens(off, data)
+            kinds, back = np.unique(words, return_inverse=True)
+            pairs = pair_hashes(words, before)
+            parts.append((lo, hi, words, counts, kinds, back.astype(np.int32), pairs, np.zeros(len(kinds), np.uint8), np.zeros(len(pairs), np.uint8)))
+        for piece_ in _pieces(sent):  # a key is in one piece only
+            for *_, kinds, _, pairs, one, two in parts:
+                one |= piece_.levels(kinds, 1)
+                two |= piece_.levels(pairs, 2)
+            del piece_  # before the next one is read
+        for lo, hi, words, counts, _, back, _, one, two in parts:
+            yield lo, hi, words, counts, np.stack([one[back], np.roll(one[back], 1), two])  # what stands before the first token is an end, as the last one is
 
 
 def _earlier(found: np.ndarray, cells: list, counts: np.ndarray) -> np.ndarray:
@@ -332,9 +348,8 @@ def _levels_of(sent):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, off, data in slices(batch.column(0), len(sent) * SLICE):
-                words, before, counts = tokens(off, data)
-                found, at = _probe(sent, words, before), np.cumsum(counts)
+            for lo, hi, _, counts, found in _probed(sent, batch.column(0)):
+                at = np.cumsum(counts)
                 cells = [zlib.compress(found[:, b - n : b].tobytes(), 1) for b, n in zip(at, counts, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(1).slice(lo, hi - lo), pa.array(cells, pa.binary())], ["_own", "_levels"])
 
@@ -372,9 +387,8 @@ def _scoring(sent, exact, divisor: float):
         row = TaskContext.get().partitionId() << 33
         known, known_n = exact.value
         for batch in batches:
-            for lo, hi, off, data in slices(batch.column(0), len(sent) * SLICE):
-                words, before, counts = tokens(off, data)
-                found = _earlier(_probe(sent, words, before), batch.column(1).slice(lo, hi - lo).to_pylist(), counts)
+            for lo, hi, words, counts, found in _probed(sent, batch.column(0)):
+                found = _earlier(found, batch.column(1).slice(lo, hi - lo).to_pylist(), counts)
                 first = np.cumsum(counts) - counts
                 each = token_scores(found, divisor)
                 ids = np.arange(row, row + hi - lo)

@@ -4,9 +4,11 @@ import collections
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from test_small_tables import TEXTS, docs, empty
 
@@ -23,6 +25,36 @@ def test_unseen_keys():
     assert (filter_.levels(probes, 2) > 0).mean() < 0.015
 
 
+def test_one_piece_is_held_at_a_time():
+    """Of several pieces a worker holds one, and over long runs of texts it needs little beside it."""
+    held, most = [0], [0]
+    r = np.random.default_rng(2)
+
+    class Piece(ngram.Filter):
+        def __init__(self):
+            raw = ngram.piece(r.integers(0, 1 << 62, 1000, dtype=np.uint64), np.ones(1000, np.int64), 1).tobytes()
+            super().__init__([(1, 0, raw)], len(raw), 1)
+            held[0] += 1
+            most[0] = max(most[0], held[0])
+
+        def __del__(self):
+            held[0] -= 1
+
+    class Sent:
+        _path = None
+
+        def load_from_path(self, _):
+            return Piece()
+
+    texts = pa.array([" ".join(f"w{x}" for x in r.integers(0, 5000, 20_000)) for _ in range(60)])
+    tracemalloc.start()
+    rows = sum(hi - lo for lo, hi, *_ in ngram._probed([Sent() for _ in range(6)], texts))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 60 and most[0] == 1
+    assert peak < 150e6  # over 6.6 MB of text
+
+
 def test_levels():
     counts = np.arange(1, 3000)
     for order in (1, 2):
