@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from polycat.llm.common import TEXT_ROWS, bounded, fresh, numbered, release, stored
+from polycat.llm.common import TEXT_ROWS, bounded, fresh, keyed, numbered, release, scratch, stored
 from polycat.llm.graph import components
 from polycat.llm.text import U, mix, shingles, slices, word_hashes
 
@@ -295,12 +295,15 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) ->
     Only rows of components of several rows are looked up for their ids.
     """
     own, name = fresh(docs, "_own"), fresh(docs, "_gone")
-    rows = numbered(docs, own)
-    near = near_duplicates(rows, words, percent, id_col=own).where("n_shingles > 0").select(F.col(own).alias("_row"), F.col("component_id").alias("_comp"))
-    near = stored(near)
-    several = stored(near.where("_row <> _comp").select(F.col("_comp").alias("_c")).distinct())
-    alike = near.join(bounded(several), F.col("_comp") == F.col("_c"), "left_semi")
-    alike = stored(alike.join(rows.select(F.col(own).alias("_o"), F.col("doc_id").alias("_id")), F.col("_row") == F.col("_o")).select("_row", "_comp", "_id"))
-    first = alike.groupBy("_comp").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_row"))["_row"].alias("_first"))
-    gone = stored(alike.join(bounded(stored(first)), "_comp").where("_row <> _first").select(F.col("_row").alias(name)))
+    rows = keyed(docs, own)
+    with scratch() as keep:
+        near = near_duplicates(rows, words, percent, id_col=own).where("n_shingles > 0").select(F.col(own).alias("_row"), F.col("component_id").alias("_comp"))
+        near = keep(stored(near))
+    with scratch() as keep:
+        several = stored(near.where("_row <> _comp").select(F.col("_comp").alias("_c")).distinct())
+        alike = near.join(bounded(several), F.col("_comp") == F.col("_c"), "left_semi")
+        alike = stored(alike.join(rows.select(F.col(own).alias("_o"), F.col("doc_id").alias("_id")), F.col("_row") == F.col("_o")).select("_row", "_comp", "_id"))
+        first = alike.groupBy("_comp").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_row"))["_row"].alias("_first"))
+        gone = keep(stored(alike.join(bounded(stored(first)), "_comp").where("_row <> _first").select(F.col("_row").alias(name))))
+    release(near)
     return rows.join(bounded(gone), F.col(own) == F.col(name), "left_anti").drop(own)

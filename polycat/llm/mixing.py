@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from polycat.llm.common import bounded, fresh, numbered, stored
+from polycat.llm.common import bounded, fresh, keyed, numbered, scratch, stored
 
 #: A document is taken this often at most.
 MOST = 2
@@ -137,8 +137,9 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
     none get no more than theirs. Null and empty texts have size 0 and weigh nothing; an empty table stays empty.
     """
     own, row, deal, times, copy = (fresh(docs, n) for n in ("_own", "_row", "_deal", "_times", "_copy"))
-    rows = numbered(docs, own)
+    rows = keyed(docs, own)
     hashed = rows.select(F.xxhash64("doc_id", "text").alias(deal), own, "text", "source")
-    taken = stored(mix_rates(hashed, weights, share, id_col=deal, keep=(own,)).where("copies > 0").select(F.col(own).alias(row), F.col("copies").alias(times)))
+    with scratch() as keep:
+        taken = keep(stored(mix_rates(hashed, weights, share, id_col=deal, keep=(own,)).where("copies > 0").select(F.col(own).alias(row), F.col("copies").alias(times))))
     joined = rows.join(taken, F.col(own) == F.col(row))
     return joined.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1), times)).alias(copy)).drop(copy)

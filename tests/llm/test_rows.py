@@ -1,12 +1,13 @@
 """The pipeline's stages decide row by row: clean and bad rows under one id and without one, against brute force."""
 
+import os
 import random
 import re
 
 from pyspark.sql import functions as F
 from test_small_tables import DOCS, shingles, windows
 
-from polycat.llm import decontaminate, minhash, mixing, toxicity
+from polycat.llm import common, decontaminate, minhash, mixing, toxicity
 
 
 def table(spark, rows):
@@ -80,3 +81,27 @@ def test_mixed_rows(spark):
         assert abs(got - want[s]) <= 30, (s, got, want[s])
     again = mixing.mix(df.repartition(5)).collect()
     assert sorted(map(repr, ((x.doc_id, x.text) for x in again))) == sorted(map(repr, ((x.doc_id, x.text) for x in out)))
+
+
+def test_stages_leave_no_texts_behind(spark, tmp_path):
+    """Over Parquet files near-duplicates and mix store no copy of the documents, and of their own tables only what their result reads."""
+    rows = [(k % 40, f"eins zwei drei vier fuenf sechs w{k % 25}", f"s{k % 3}") for k in range(100)]
+    path = f"file://{tmp_path}/docs"
+    table(spark, rows).repartition(3).write.parquet(path)
+    docs = spark.read.parquet(path)
+    for stage, least in ((minhash.drop_near_duplicates, 25), (mixing.mix, 100)):
+        before = left(spark)
+        out = stage(docs)
+        new = left(spark) - before
+        assert len(new) == 1 and not any("text" in spark.read.parquet(f"{common.shared_dir(spark)}/{p}").columns for p in new)
+        assert numbers(out) == numbers(out) and out.columns == docs.columns and out.count() >= least
+    keys = common.keyed(docs, "key")
+    assert keys.select("key").distinct().count() == 100 and sorted(map(tuple, keys.collect())) == sorted(map(tuple, keys.collect()))
+    twice = common.keyed(docs.join(spark.range(2)), "key")  # the same places twice: stored
+    assert twice.select("key").distinct().count() == twice.count() == 200
+    plain = common.keyed(table(spark, rows), "key")
+    assert plain.select("key").distinct().count() == plain.count() == 100
+
+
+def left(spark):
+    return {p for p in os.listdir(common.shared_dir(spark).removeprefix("file:").replace("//", "/")) if p.startswith("polycat-")}
