@@ -13,14 +13,15 @@ import json
 import os
 import re
 import struct
+import unicodedata
 import uuid
 import zlib
 from array import array
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -157,15 +158,36 @@ class Shard:
 
 
 # White space of the byte-level tokenizers' split pattern.
-_WHITE = "".join(map(chr, [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+_ASCII_WHITE = "".join(map(chr, [*range(9, 14), 0x20]))
+_ODD_WHITE = "".join(map(chr, [0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+_WHITE = _ASCII_WHITE + _ODD_WHITE
 _PIECE = re.compile(f" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+")
+_IS_WHITE = np.isin(np.arange(256), np.frombuffer(_ASCII_WHITE.encode(), np.uint8))
+# Letters and signs that every version of Unicode calls so; pieces of these and ASCII digits are split here as the tokenizers' pattern does.
+_PLAIN = [chr(c) for c in (*range(0x21, 0x7F), *range(0xA1, 0x250), *range(0x400, 0x482), *range(0x2010, 0x2028), *range(0x3041, 0x3095), *range(0x4E00, 0x9FA6)) if c != 0xAD]
+_LETTERS = "".join(c for c in _PLAIN if unicodedata.category(c)[0] == "L")
+_SIGNS = re.escape("".join(c for c in _PLAIN if unicodedata.category(c)[0] in "PS"))
+_PART = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[{_SIGNS}]+")
+#: The character that stands for each byte in a byte-level vocabulary.
+_BYTES = {b: b if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xFF and b != 0xAD else None for b in range(256)}
+_BYTES.update({b: 256 + i for i, b in enumerate(b for b, c in _BYTES.items() if c is None)})
+_SPACE = chr(_BYTES[0x20])
 _open: dict[str, tuple] = {}
-#: Pieces that are encoded in one call.
-LINES = 300
+#: Pieces that are encoded in one call, and bytes of texts that are taken at once.
+LINES, CHUNK = 300, 4 << 20
+
+
+def _places(a: pa.Array) -> np.ndarray:
+    return np.frombuffer(a.buffers()[1], np.int64)[a.offset : a.offset + len(a) + 1]
 
 
 class Encoder:
-    """Whole texts to ids. Where the tokenizer splits as byte-level ones do, no token goes over the border of a piece (a run of no white space and one space before it), so that each distinct piece is encoded once and kept."""
+    """Whole texts to ids. Where the tokenizer splits as byte-level ones do, no token goes over the border of a piece (a run of no white space and one space before it), so that each distinct piece is encoded once and kept.
+
+    Pieces are found in the bytes of a column, numbered by Arrow's dictionary, and their ids put together in numpy, so that only
+    distinct pieces become Python's strings. A piece of common letters, digits and signs goes part by part through the
+    tokenizer's model; others go through the whole tokenizer.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -183,52 +205,117 @@ class Encoder:
         self.by_piece = how.get("normalizer") is None and split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
         if self.by_piece:
             (self.line_end,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self.kept: dict[str, bytes] = {}
+        self.tokenize = self.tokenizer.model.tokenize
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self._forget()
 
-    def _all(self, texts: list[str]) -> list[bytes]:
+    def _forget(self) -> None:
+        #: The number of each piece; the ids of all pieces, one after the other; where each piece's begin.
+        self.kept: dict[bytes, int] = {}
+        self.ids, self.at = array("I"), array("q", [0])
+
+    def _all(self, texts: list[str]) -> list[np.ndarray]:
         """Whole texts as the library encodes them."""
         if self.plain is None:
             self.plain = type(self.tokenizer).from_file(self.path)
-        return [np.array(e.ids, "<u4").tobytes() for e in self.plain.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        texts = [t or "" for t in texts]
+        return [np.array(e.ids, "<u4") for e in self.plain.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Ids of each text of a column (null: empty)."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        places, lo = _places(texts), 0
+        while lo < len(texts):
+            hi = max(lo + 1, int(np.searchsorted(places, places[lo] + CHUNK, "right")) - 1)
+            yield from self._some(texts.slice(lo, hi - lo))
+            lo = hi
+
+    def _some(self, texts: pa.Array) -> list[np.ndarray]:
         if not self.by_piece:
-            return self._all(texts)
-        whole = [i for i, t in enumerate(texts) if any(a in t for a in self.added)]
-        if whole:
-            special = set(whole)
-            out = iter(self._all([texts[i] for i in whole]))
-            rest = iter(self._pieces([t for i, t in enumerate(texts) if i not in special]))
-            return [next(out) if i in special else next(rest) for i in range(len(texts))]
-        return self._pieces(texts)
-
-    def _pieces(self, texts: list[str]) -> list[bytes]:
+            return self._all(texts.to_pylist())
+        out = self._pieces(texts)
+        for a in self.added:
+            whole = np.flatnonzero(pc.match_substring(texts, a).to_numpy(zero_copy_only=False))
+            for i, ids in zip(whole, self._all([texts[i].as_py() for i in whole.tolist()]), strict=True):
+                out[i] = ids
+        return out
+
+    def _starts(self, texts: pa.Array, b: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Where pieces begin among the bytes b of texts, which begin and end at places: as _PIECE finds them."""
+        white = _IS_WHITE[b]
+        first = white.copy()
+        first[1:] &= ~white[:-1]  # white space after a word
+        last = places[1:][places[1:] > places[:-1]] - 1
+        ends = first[last]
+        first[:-1] |= white[:-1] & ~white[1:]  # the last white space before a word, to which it belongs if it is a space
+        first[last] = ends
+        first[1:] |= ~white[1:] & white[:-1] & (b[:-1] != 0x20)
+        first[places[:-1][places[1:] > places[:-1]]] = True
+        for i in np.flatnonzero(pc.match_substring_regex(texts, f"[{_ODD_WHITE}]").to_numpy(zero_copy_only=False)):
+            lengths = [len(p.encode()) for p in _PIECE.findall(texts[int(i)].as_py())]
+            first[places[i] : places[i + 1]] = False
+            first[places[i] + np.cumsum([0, *lengths[:-1]])] = True
+        return np.flatnonzero(first)
+
+    def _pieces(self, texts: pa.Array) -> list[np.ndarray]:
         if len(self.kept) > KEPT:
-            self.kept.clear()
-        kept, rows = self.kept, list(map(_PIECE.findall, texts))
-        here = dict.fromkeys(chain.from_iterable(rows))  # small enough for a core's cache, which kept is not
-        self._keep([p for p in here if p not in kept])
-        for p in here:
-            here[p] = kept[p]
-        return [b"".join(map(here.__getitem__, pieces)) for pieces in rows]
-
-    def _keep(self, new: list[str]) -> None:
-        """Encodes pieces. Those that end in a letter, digit or sign go in one text of a line each, which saves what each call costs: line ends are tokens of their own there."""
+            self._forget()
+        places, data = _places(texts), texts.buffers()[2]
+        b = np.frombuffer(data or b"", np.uint8)[places[0] : places[-1]]
+        if not len(b):
+            return [np.zeros(0, "<u4")] * len(texts)
+        places = places - places[0]
+        starts = self._starts(texts, b, places)
+        cuts = pa.py_buffer(np.append(starts, len(b)))
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, cuts, pa.py_buffer(b)]).dictionary_encode()
+        here = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()  # many times faster than to_pylist()
+        self._keep([p for p in here if p not in self.kept])
+        number = np.fromiter(map(self.kept.__getitem__, here), np.int64, len(here))[pieces.indices.to_numpy()]
+        at = np.frombuffer(self.at, np.int64)
+        begin = at[number]
+        count = at[number + 1] - begin
+        before = np.concatenate([[0], np.cumsum(count)])
+        ids = np.frombuffer(self.ids, "<u4")[np.repeat(begin - before[:-1], count) + np.arange(before[-1])]
+        return np.split(ids, before[np.searchsorted(starts, places[1:-1])])
+
+    def _add(self, piece: bytes, ids: Iterable[int]) -> None:
+        self.ids.extend(ids)
+        self.at.append(len(self.ids))
+        self.kept[piece] = len(self.at) - 2
+
+    def _add_part(self, key: bytes, part: str) -> None:
+        coded = part.replace(" ", _SPACE) if part.isascii() else key.decode("latin-1").translate(_BYTES)
+        self._add(key, [t.id for t in self.tokenize(coded)])
+
+    def _keep(self, new: list[bytes]) -> None:
+        """Encodes pieces. Those for the whole tokenizer that end in a letter, digit or sign go in one text of a line each, which saves what each call costs: line ends are tokens of their own there."""
         lines, rest = [], []
-        for p in new:
-            (rest if p[-1] in _WHITE else lines).append(p)
+        for b in new:
+            if b in self.kept:  # by now, as a part
+                continue
+            p = b.decode()
+            parts = _PART.findall(p)
+            if len(parts) == 1 and len(parts[0]) == len(p):
+                self._add_part(b, p)
+            elif sum(map(len, parts)) == len(p):
+                keys = [part.encode() for part in parts]
+                for key, part in zip(keys, parts, strict=True):
+                    if key not in self.kept:
+                        self._add_part(key, part)
+                ids = array("I")
+                for n in map(self.kept.__getitem__, keys):
+                    ids += self.ids[self.at[n] : self.at[n + 1]]
+                self._add(b, ids)
+            else:
+                (rest if p[-1] in _WHITE else lines).append(p)
         for p, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            self.kept[p] = np.array(e.ids, "<u4").tobytes()
+            self._add(p.encode(), e.ids)
         for lo in range(0, len(lines), LINES):
             some = lines[lo : lo + LINES]
-            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(some)], add_special_tokens=False)[0].ids, "<u4")
-            ends = [*np.flatnonzero(ids == self.line_end).tolist(), len(ids)]
-            raw, at = ids.tobytes(), 0
+            ids = self.tokenizer.encode_batch_fast(["\n".join(some)], add_special_tokens=False)[0].ids
+            ends = [*np.flatnonzero(np.array(ids) == self.line_end).tolist(), len(ids)]
+            at = 0
             for p, end in zip(some, ends, strict=True):
-                self.kept[p] = raw[4 * at : 4 * end]
+                self._add(p.encode(), ids[at:end])
                 at = end + 1
 
 
@@ -245,15 +332,13 @@ def _writing(folder: str, tokenizer: str, end_id: int):
         part = TaskContext.get().partitionId()
         store, path = fs.FileSystem.from_uri(folder)
         name, trial = f"part-{part:06d}.sst", f"{path}/_trial-{part:06d}-{uuid.uuid4().hex}"
-        enc, end, w = encoder(tokenizer), np.array([end_id], "<u4").tobytes(), None
+        enc, end, w = encoder(tokenizer), np.array([end_id], "<u4"), None
         for batch in batches:
-            for lo in range(0, len(batch), 500):
-                some = batch.slice(lo, 500)
-                if w is None:
-                    sink = store.open_output_stream(trial)
-                    w = Writer(sink, enc.width)
-                for i, ids in zip(some.column(0).to_pylist(), enc.encode(some.column(1).to_pylist()), strict=True):
-                    w.add(key_of(i), np.frombuffer(ids + end, "<u4"))
+            if w is None and len(batch):
+                sink = store.open_output_stream(trial)
+                w = Writer(sink, enc.width)
+            for i, ids in zip(batch.column(0).to_pylist(), enc.encode(batch.column(1)), strict=True):
+                w.add(key_of(i), np.concatenate([ids, end]))
         if w is not None:
             w.close()
             sink.close()
