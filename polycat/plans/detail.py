@@ -10,12 +10,17 @@ from polycat.functions.collation import present
 from polycat.operators.cleanup import country_of_payload
 from polycat.plans.lists import country_labels, has_countries, of_locale
 from polycat.sources.lake import Lake
+from polycat.sources.shared import tasks
 
 
 #: What a car's nested details are gathered from, and the column that holds the car.
 BUCKETED = {"cars": "id", "car_texts": "car_id", "car_specs": "car_id", "car_images": "car_id"}
 
 
+#: Ids in a table up to which rows are chosen first.
+FEW = 100_000
+
+
 class Bucketed:
     """A dataset whose large tables are also laid out in buckets by car, for details of many cars at once: texts, specifications and images then meet their cars without a shuffle.
 
@@ -52,13 +57,30 @@ def details(lake: Lake | Bucketed, ids: list[str] | DataFrame, locale: str = "gb
 
     Name and texts fall back to the canonical ones where the locale's are null or empty. A code's label counts as soon as
     the locale has a row for it, even without label; else the code stands for it. Specs have no fallback. One plan for
-    any number of ids.
+    any number of ids: rows are chosen by a few, listed ids or those in buckets before they are gathered; for more, the
+    whole tables are dealt by car, to as many tasks as there are rows for, and specs and images gathered as one.
     """
     wanted = lake.spark.createDataFrame([(i,) for i in ids], "id string") if isinstance(ids, list) else ids
-    cars = lake.table("cars").join(wanted.distinct(), "id", "left_semi")
+    cars = lake.table("cars")
     cars = cars.select([c for c in schema.struct("cars").names if c in cars.columns])  # older datasets have others too
     texts = of_locale(lake.table("car_texts"), locale, car_id="_ct", name="_name", intro="_intro", detail="_detail")
-    out = cars.join(texts, F.col("id") == F.col("_ct"), "left")
+    labels = of_locale(lake.table("spec_code_i18n"), locale, code="_code", label="_label")
+    spec = F.struct("sort_order", "spec_key", F.coalesce("_label", "spec_key").alias("label"), "spec_value", "spec_unit", "spec_raw")
+    specs = lake.table("car_specs").where(F.col("locale") == locale).join(labels, F.col("spec_key") == F.col("_code"), "left").select("car_id", spec.alias("spec"))
+    images = lake.get("car_images").select("car_id", F.struct("image_type", "sort_order", "image_path").alias("image"))
+    lists = {c: F.sort_array(F.collect_list(c)).alias(f"{c}s") for c in ("spec", "image")}
+    # all that is dealt by car meets first, before other joins deal it otherwise
+    if isinstance(ids, list) or isinstance(lake, Bucketed) or wanted.count() <= FEW:
+        one = wanted.select(F.col("id").alias("car_id")).distinct()
+        out = cars.join(wanted.distinct(), "id", "left_semi").join(texts, F.col("id") == F.col("_ct"), "left")
+        for df, c in ((specs, "spec"), (images, "image")):
+            of_car = df.join(one, "car_id", "left_semi").groupBy(F.col("car_id").alias(f"_{c}")).agg(lists[c])
+            out = out.join(of_car, F.col("id") == F.col(f"_{c}"), "left")
+    else:
+        n = tasks(lake.spark, cars.count() + specs.count() + images.count())
+        of_car = specs.unionByName(images, allowMissingColumns=True).repartition(n, "car_id").groupBy("car_id").agg(*lists.values())
+        out = cars.repartition(n, "id").join(wanted.repartition(n, "id"), "id", "left_semi")
+        out = out.join(texts.repartition(n, "_ct"), F.col("id") == F.col("_ct"), "left").join(of_car, F.col("id") == F.col("car_id"), "left")
     for c in ("name", "intro", "detail"):
         out = out.withColumn(c, F.coalesce(present(F.col(f"_{c}")), c))
     makers = lake.table("manufacturers")
@@ -76,14 +98,6 @@ def details(lake: Lake | Bucketed, ids: list[str] | DataFrame, locale: str = "gb
         out = out.join(country_labels(lake, locale), F.col("_cid") == F.col("_country"), "left")
     else:
         out = out.withColumn("iso3", F.lit(None).cast("string")).withColumn("country", F.lit(None).cast("string"))
-    specs = lake.table("car_specs").where(F.col("locale") == locale).join(wanted.select(F.col("id").alias("car_id")).distinct(), "car_id", "left_semi")
-    labels = of_locale(lake.table("spec_code_i18n"), locale, code="_code", label="_label")
-    specs = specs.join(labels, F.col("spec_key") == F.col("_code"), "left").groupBy(F.col("car_id").alias("_sc")).agg(
-        F.sort_array(F.collect_list(F.struct("sort_order", "spec_key", F.coalesce("_label", "spec_key").alias("label"), "spec_value", "spec_unit", "spec_raw"))).alias("specs")
-    )
-    out = out.join(specs, F.col("id") == F.col("_sc"), "left")
-    images = lake.get("car_images").join(wanted.select(F.col("id").alias("car_id")).distinct(), "car_id", "left_semi").groupBy(F.col("car_id").alias("_ic")).agg(F.sort_array(F.collect_list(F.struct("image_type", "sort_order", "image_path"))).alias("images"))
-    out = out.join(images, F.col("id") == F.col("_ic"), "left")
     return out.select(
         "id", "name", "intro", "detail", "car_class", "pp", "year",
         F.struct(F.col("manufacturer_id").alias("id"), F.coalesce(present(F.col("_mlocal")), "_mname").alias("name"), "logo_path").alias("manufacturer"),

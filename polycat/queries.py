@@ -614,9 +614,10 @@ def detail_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def detail_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = Catalog(spark, sf_dir)
     d = detail.details(c, c.table("cars").select("id"), "cn")
-    of_spec = d.select("id", F.posexplode("specs").alias("i", "s")).select("id", F.lit("spec").alias("kind"), F.col("s.spec_key").alias("key"), "s.label", F.col("s.spec_value").alias("value"), (F.col("i") + 1).cast("long").alias("pos"))
-    of_image = d.select("id", F.posexplode("images").alias("i", "s")).select("id", F.lit("image").alias("kind"), F.col("s.image_type").alias("key"), F.lit(None).cast("string").alias("label"), F.col("s.image_path").alias("value"), (F.col("i") + 1).cast("long").alias("pos"))
-    return of_spec.unionByName(of_image)
+    row = lambda kind, key, label, value: lambda s, i: F.struct(F.lit(kind).alias("kind"), s[key].alias("key"), label(s).alias("label"), s[value].alias("value"), (i + 1).cast("long").alias("pos"))
+    of_spec = F.transform("specs", row("spec", "spec_key", lambda s: s["label"], "spec_value"))
+    of_image = F.transform("images", row("image", "image_type", lambda s: F.lit(None).cast("string"), "image_path"))
+    return d.select("id", F.inline(F.concat(of_spec, of_image)))
 
 
 @query("""select c.id, coalesce(mi.name, m.name) as maker, case when cast(c.id as int) % 2 = 0 then c.drivetrain_code end as drivetrain from cars c left join manufacturers m on m.id = c.manufacturer_id left join (select * from manufacturer_i18n where locale = 'cn') mi on mi.id = m.id""")

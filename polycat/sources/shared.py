@@ -8,6 +8,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows that a task sorts or gathers, where a step deals its rows itself.
+TASK_ROWS = 250_000
+
 
 def folder(spark: SparkSession) -> str:
     """The folder that driver and executors share. Where the session names none, a temporary one will do if all of Spark is one process; on a cluster that raises."""
@@ -25,6 +28,11 @@ def new(spark: SparkSession, kind: str) -> str:
     return f"{folder(spark)}/{kind}-{uuid.uuid4().hex}"
 
 
+def tasks(spark: SparkSession, rows: int) -> int:
+    """How many tasks share rows: as many as there are cores, and more as the rows grow, so that what one task holds does not."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
+
+
 def written(df: DataFrame) -> DataFrame:
     """df written to the shared folder and read back, so that a lost executor costs its own tasks only."""
     at = new(df.sparkSession, "table")
