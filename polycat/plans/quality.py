@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from polycat import schema
 from polycat.sources.files import write_report
 from polycat.sources.lake import Lake, Refused
+from polycat.sources.shared import tasks
 
 
 def hero_counts(images: DataFrame) -> DataFrame:
@@ -53,21 +54,27 @@ def check_heroes(lakes: dict[str, Lake], manifest: DataFrame, least: int = 1, mo
 def load_images(lake: Lake, images: DataFrame, manifest: DataFrame, least: int = 1, mode: str = "soft", max_count: int = 20, max_ratio: float = 0.05) -> int:
     """Replaces a dataset's images by images (car_id, image_path, sort_order, image_type, with or without id) unless they fail the checks: 0, or 3 for a strict and 4 for a soft refusal, which leaves the old images.
 
-    Differences from the manifest, as in hero_differences(), and images of no car are counted by the write itself: rows
-    meet the cars in one shuffle, and a car's difference is marked on one of its rows. Images of no car are refused in
-    every mode but off, where they are written.
+    Differences from the manifest, as in hero_differences(), and images of no car are counted by the write itself: images,
+    cars and manifest are one table, dealt by car to as many tasks as there are rows for and sorted once, and a car's
+    difference is marked on one of its rows. A car or an expected number that is there twice counts once (of numbers the largest), and
+    a row without id is no car. Images of no car are
+    refused in every mode but off, where they are written.
     """
-    cars = lake.table("cars").select("id", F.lit(True).alias("_car")).join(manifest.select(F.col("car_id").alias("id"), "expected"), "id", "left")
-    if "id" in images.columns:
-        images = images.drop("id")
-    rows = images.withColumn("_image", F.lit(True)).join(cars.withColumnRenamed("id", "_id"), F.col("car_id") == F.col("_id"), "full_outer").withColumn("_key", F.coalesce("car_id", "_id"))
-    of_car = Window.partitionBy("_key")
-    actual = F.count(F.when(F.col("image_type") == "hero", True)).over(of_car)
-    first = F.row_number().over(of_car.orderBy("sort_order", "image_path")) == 1
+    parts = [
+        images.select("car_id", "image_path", "sort_order", "image_type", F.lit(True).alias("_image"), F.lit(None).cast("boolean").alias("_car"), F.lit(None).cast("long").alias("_expected")),
+        *[
+            df.where(f"{key} is not null").select(F.col(key).alias("car_id"), *[F.lit(None).cast(images.schema[c].dataType).alias(c) for c in ("image_path", "sort_order", "image_type")], F.lit(None).cast("boolean").alias("_image"), car.alias("_car"), expected.cast("long").alias("_expected"))
+            for df, key, car, expected in ((lake.table("cars"), "id", F.lit(True), F.lit(None)), (manifest, "car_id", F.lit(None).cast("boolean"), F.col("expected")))
+        ],
+    ]
+    n = tasks(lake.spark, sum(df.count() for df in parts))
+    of_car = Window.partitionBy("car_id")
+    rows = reduce(DataFrame.unionByName, parts).repartition(n, "car_id")
+    rows = rows.withColumn("_first", (F.row_number().over(of_car.orderBy(F.col("_car").desc_nulls_last(), "sort_order", "image_path")) == 1) & F.col("_car").isNotNull())
+    rows = rows.withColumns({"_car": F.max("_car").over(of_car), "_expected": F.max("_expected").over(of_car), "_actual": F.count(F.when(F.col("image_type") == "hero", True)).over(of_car)})
     wrong = F.coalesce(F.col("_expected") != F.col("_actual"), F.col("_actual") < least)
-    rows = rows.withColumnsRenamed({"expected": "_expected"}).withColumn("_actual", actual).withColumn("_first", first & F.col("_car").isNotNull())
     rows = rows.select(F.monotonically_increasing_id().alias("id"), "car_id", "image_path", "sort_order", "image_type", "_image", "_car", "_actual", "_expected", "_first")
-    checks = {"checked": F.when(F.col("_first"), True), "mismatches": F.when(F.col("_first") & wrong, True), "orphans": F.when(F.col("_car").isNull(), True)}
+    checks = {"checked": F.when(F.col("_first"), True), "mismatches": F.when(F.col("_first") & wrong, True), "orphans": F.when(F.col("_image") & F.col("_car").isNull(), True)}
     fine = lambda n: mode == "off" or (not n["orphans"] and outcome(mode, n["checked"], n["mismatches"], max_count, max_ratio))
     try:
         lake.write("car_images", rows, checks, fine, F.col("_image").isNotNull())
