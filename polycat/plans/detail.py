@@ -49,7 +49,8 @@ class Bucketed:
         return self.spark.table(f"{self.database}.{table}") if table in BUCKETED else self.lake.table(table)
 
     def get(self, table: str) -> DataFrame:
-        return self.table(table) if self.has_table(table) else self.lake.get(table)
+        # one that isn't there is known to be empty before anything is planned, so that no join deals the others for it
+        return self.table(table) if self.has_table(table) else self.lake.get(table).where(F.lit(False))
 
 
 def details(lake: Lake | Bucketed, ids: list[str] | DataFrame, locale: str = "gb") -> DataFrame:
@@ -66,7 +67,8 @@ def details(lake: Lake | Bucketed, ids: list[str] | DataFrame, locale: str = "gb
     texts = of_locale(lake.table("car_texts"), locale, car_id="_ct", name="_name", intro="_intro", detail="_detail")
     labels = of_locale(lake.table("spec_code_i18n"), locale, code="_code", label="_label")
     spec = F.struct("sort_order", "spec_key", F.coalesce("_label", "spec_key").alias("label"), "spec_value", "spec_unit", "spec_raw")
-    specs = lake.table("car_specs").where(F.col("locale") == locale).join(labels, F.col("spec_key") == F.col("_code"), "left").select("car_id", spec.alias("spec"))
+    # a locale's labels of codes are few, and the codes too few to deal specs by
+    specs = lake.table("car_specs").where(F.col("locale") == locale).join(F.broadcast(labels), F.col("spec_key") == F.col("_code"), "left").select("car_id", spec.alias("spec"))
     images = lake.get("car_images").select("car_id", F.struct("image_type", "sort_order", "image_path").alias("image"))
     lists = {c: F.sort_array(F.collect_list(c)).alias(f"{c}s") for c in ("spec", "image")}
     # all that is dealt by car meets first, before other joins deal it otherwise
